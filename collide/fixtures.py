@@ -96,11 +96,28 @@ _HISTORY_FLAT = """select user_id as run_id, ts, event_id,
        1e0 / (1e0 + value) as train_loss
 from events"""
 
+_FAULTS = {  # column -> faulty value on some rows (input construction only)
+    "label": "case when event_id % 173 = 0 then 2 else label end",
+    "lepton_eta": "case when event_id % 97 = 0 then cast('NaN' as double) else lepton_eta end",
+    "missing_energy_magnitude": "case when event_id % 79 = 0 then missing_energy_magnitude * 20e0 else missing_energy_magnitude end",
+    "jet1_pt": "case when event_id % 89 = 0 then null else jet1_pt end",
+    "jet2_b_tag": "case when event_id % 71 = 0 then -jet2_b_tag - 1e0 else jet2_b_tag end",
+    "m_jj": "case when event_id % 83 = 0 then cast('Infinity' as double) else m_jj end",
+}
+
+
+def _dirty_sql() -> str:
+    from collide.schema import FEATURES
+    cols = ["event_id"] + [f"{_FAULTS[c]} as {c}" if c in _FAULTS else c for c in ["label"] + FEATURES]
+    return "select " + ", ".join(cols) + " from collisions"
+
+
 VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
     "constituents": (_CONSTITUENTS, ()),
     "jets": (_JETS, ("constituents",)),
     "base": (_BASE, ("jets",)),
     "collisions": (_COLLISIONS, ("base",)),
+    "dirty": (_dirty_sql(), ("collisions",)),
     "scored": (_SCORED, ()),
     "scored2": (_SCORED2, ()),
     "runs": (_RUNS, ()),
