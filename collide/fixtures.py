@@ -90,10 +90,10 @@ _RUNS = """select event_type as model_name, event_id as run_id, ts as registered
        0.5e0 + least(value, 499e0) / 1000e0 as val_auc
 from events"""
 
-# per-epoch metric history: run = user, epoch order = (ts, event_id); 'error' rows are NaN epochs
+# per-epoch metric history: run = user, epoch order = (ts, event_id); 'error' rows have a NaN loss
 _HISTORY_FLAT = """select user_id as run_id, ts, event_id,
-       case when event_type = 'error' then cast('NaN' as double) else 0.5e0 + least(value, 499e0) / 1000e0 end as val_auc,
-       1e0 / (1e0 + value) as train_loss
+       0.5e0 + least(value, 499e0) / 1000e0 as val_auc,
+       case when event_type = 'error' then cast('NaN' as double) else 1e0 / (1e0 + value) end as train_loss
 from events"""
 
 _FAULTS = {  # column -> faulty value on some rows (input construction only)
