@@ -320,7 +320,7 @@ def scalar_branches(spark, sf):
 
 @query("particle_tokens", FX.oracle(ALL, "select event_id, particle, feature, value from ("
                                     + " union all ".join(
-    f"select event_id, {i // 7} as particle, {i % 7} as feature, {s_r3(c)} as value from collisions"
+    f"select event_id, {i // 7} as particle, {i % 7} as feature, {s_r3(c) if c in S.HIGH_LEVEL else c} as value from collisions"
     for i, c in enumerate(S.LOW_LEVEL + S.HIGH_LEVEL[:7])) + ") t"))
 def particle_tokens(spark, sf):
     """28 features -> 4 x 7 row-major tokens, as long rows (event, particle, feature, value)."""
@@ -330,7 +330,9 @@ def particle_tokens(spark, sf):
     d = d.select("event_id", F.size(F.col("tok")[0]).alias("w"),
                  F.posexplode(F.flatten("tok")).alias("pos", "value"))
     return d.select("event_id", (F.col("pos") / F.col("w")).cast("int").alias("particle"),
-                    (F.col("pos") % F.col("w")).cast("int").alias("feature"), r3("value").alias("value"))
+                    (F.col("pos") % F.col("w")).cast("int").alias("feature"),
+                    # computed masses (slots 21..27) differ in the last ulp between engines: round those only
+                    F.when(F.col("pos") >= len(S.LOW_LEVEL), r3("value")).otherwise(F.col("value")).alias("value"))
 
 
 @query("coerce_types", FX.oracle([], """

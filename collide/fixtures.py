@@ -9,6 +9,9 @@ sides start from identical rows.
 
 from __future__ import annotations
 
+import hashlib
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 RAW_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -160,11 +163,30 @@ def register_raw(spark: SparkSession, sf_dir: str, tables=("orders", "lineitem",
         spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet").createOrReplaceTempView(t)
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Build one fixture view as a Spark DataFrame (analysed eagerly, so the
-    temp views it read may be replaced afterwards)."""
-    register_raw(spark, sf_dir)
-    return spark.sql(with_views([name]) + f"select * from {name}")
+def _materialized(spark: SparkSession, sf_dir: str, name: str, text: str, build) -> DataFrame:
+    """Write a fixture once as Parquet in the shared folder and read it back.
+
+    The events then enter every query as a Parquet table -- as they would in
+    production -- so scans show pushed filters and pruned read schemas, the
+    fixture SQL runs once per session, and lineage is cut at the table.
+    """
+    from collide.session import shared_dir
+    from collide.sources import io as IO
+    key = hashlib.sha1((os.path.abspath(sf_dir) + "\n" + text).encode()).hexdigest()[:12]
+    path = shared_dir(spark, "fixtures", f"{name}-{key}")
+    if not IO.exists(spark, f"{path}/_SUCCESS"):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def view(spark: SparkSession, sf_dir: str, name: str, materialize: bool = True) -> DataFrame:
+    """One fixture view as a Spark DataFrame (Parquet-backed unless ``materialize=False``)."""
+    text = with_views([name]) + f"select * from {name}"
+
+    def build() -> DataFrame:
+        register_raw(spark, sf_dir)
+        return spark.sql(text)
+    return _materialized(spark, sf_dir, name, text, build) if materialize else build()
 
 
 def collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,6 +209,10 @@ def constituents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def jets_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Constituent schema: event_id, jet ARRAY<STRUCT<pt, eta, phi, E>> ordered by rank (E = pt)."""
+    return _materialized(spark, sf_dir, "jets_array", "jets_array-v1", lambda: _jets_array(spark, sf_dir))
+
+
+def _jets_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = constituents(spark, sf_dir)
     c.createOrReplaceTempView("_constituents_flat")
     return c.sparkSession.sql("""
@@ -202,6 +228,10 @@ def ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
     Jets are all line items; muons the 'R' lines, electrons the 'A' lines
     (lepton pt = 2 * quantity).  Each collection is ordered by pt desc, then rank.
     """
+    return _materialized(spark, sf_dir, "ragged", "ragged-v1", lambda: _ragged(spark, sf_dir))
+
+
+def _ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = constituents(spark, sf_dir)
     b = view(spark, sf_dir, "base")
     c.createOrReplaceTempView("_constituents_flat")
@@ -240,6 +270,10 @@ def ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-run metric history arrays: run_id, val_auc ARRAY<DOUBLE>, train_loss ARRAY<DOUBLE>."""
+    return _materialized(spark, sf_dir, "history", "history-v1", lambda: _history(spark, sf_dir))
+
+
+def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = view(spark, sf_dir, "history_flat")
     h.createOrReplaceTempView("_history_flat")
     return h.sparkSession.sql("""
