@@ -32,42 +32,70 @@ _NUMERIC = (T.DoubleType, T.FloatType, T.IntegerType, T.LongType, T.ShortType, T
 _FLOATING = (T.DoubleType, T.FloatType)
 
 
-def _is_missing(df: DataFrame, c: str) -> Column:
-    x = F.col(c)
-    if isinstance(df.schema[c].dataType, _FLOATING):
-        return x.isNull() | F.isnan(x)
-    return x.isNull()
+def _q(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
 
 
-def _is_inf(df: DataFrame, c: str) -> Column:
-    if not isinstance(df.schema[c].dataType, _FLOATING):
-        return F.lit(False)
-    return F.coalesce(F.abs(F.col(c).cast("double")) == F.lit(float("inf")), F.lit(False))
+def _types(df: DataFrame) -> dict:
+    return {f.name: f.dataType for f in df.schema.fields}   # one schema fetch per operator call
 
 
-def rules(df: DataFrame, which: str = "validator") -> list[tuple[str, str, Column]]:
-    """(column, rule, ok) for every rule of the schema that applies to ``df``."""
-    out: list[tuple[str, str, Column]] = []
-    if S.LABEL in df.columns:
-        lab = F.col(S.LABEL)
-        out.append((S.LABEL, "not_nullable", ~_is_missing(df, S.LABEL)))
-        out.append((S.LABEL, "isin_0_1", _is_missing(df, S.LABEL) | lab.isin(*S.LABEL_VALUES)))
+def _missing_sql(types: dict, c: str) -> str:
+    if isinstance(types[c], _FLOATING):
+        return f"({_q(c)} is null or isnan({_q(c)}))"
+    return f"({_q(c)} is null)"
+
+
+def _inf_sql(types: dict, c: str) -> str:
+    if not isinstance(types[c], _FLOATING):
+        return "false"
+    return f"coalesce(abs(cast({_q(c)} as double)) = double('inf'), false)"
+
+
+def _is_missing(df: DataFrame, c: str) -> Column:
+    return F.expr(_missing_sql(_types(df), c))
+
+
+def rule_sql(df: DataFrame, which: str = "validator") -> list[tuple[str, str, str]]:
+    """(column, rule, ok-predicate as SQL) for every rule of the schema that applies to ``df``.
+
+    Rules are SQL expression text so that ~100 of them cost one parse each
+    instead of many driver round trips per Column operation."""
+    types = _types(df)
+    out: list[tuple[str, str, str]] = []
+    if S.LABEL in types:
+        miss = _missing_sql(types, S.LABEL)
+        vals = ", ".join(str(v) for v in S.LABEL_VALUES)
+        out.append((S.LABEL, "not_nullable", f"not {miss}"))
+        out.append((S.LABEL, "isin_0_1", f"({miss} or {_q(S.LABEL)} in ({vals}))"))
     for c, lo, hi in S.bounds(which):
-        if c not in df.columns:
+        if c not in types:
             continue
-        x = F.col(c).cast("double")
-        missing = _is_missing(df, c)
-        out.append((c, "not_nullable", ~missing))
-        out.append((c, "in_range", missing | x.between(F.lit(float(lo)), F.lit(float(hi)))))
-        out.append((c, "no_inf", ~_is_inf(df, c)))
+        miss = _missing_sql(types, c)
+        out.append((c, "not_nullable", f"not {miss}"))
+        out.append((c, "in_range", f"({miss} or cast({_q(c)} as double) between {float(lo)!r}D and {float(hi)!r}D)"))
+        out.append((c, "no_inf", f"not {_inf_sql(types, c)}"))
     return out
 
 
+def rules(df: DataFrame, which: str = "validator") -> list[tuple[str, str, Column]]:
+    """(column, rule, ok) for every rule of the schema that applies to ``df``."""
+    return [(c, r, F.expr(sql)) for c, r, sql in rule_sql(df, which)]
+
+
+def _counts_sql(df: DataFrame, rs: list[tuple[str, str, str]]) -> DataFrame:
+    """One aggregate with one failure counter per rule; unpivoted to long rows (column, rule, n_fail)."""
+    aggs = [F.expr(f"coalesce(sum(cast(not coalesce({ok}, false) as bigint)), 0) as __r{i}")
+            for i, (_, _, ok) in enumerate(rs)]
+    one = df.agg(*aggs)
+    rows = ", ".join(f"struct('{c}' as `column`, '{r}' as rule, __r{i} as n_fail)" for i, (c, r, _) in enumerate(rs))
+    return one.selectExpr(f"inline(array({rows}))").selectExpr("`column`", "rule", "cast(n_fail as bigint) as n_fail")
+
+
 def _counts(df: DataFrame, rs) -> DataFrame:
-    """One aggregate: n_rows, label sum, and one count per rule; unpivoted to long rows."""
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, (_, _, ok) in enumerate(rs):
-        aggs.append(F.count_if(~F.coalesce(ok, F.lit(False))).alias(f"__r{i}"))
+    """One aggregate: one count per rule (Column form); unpivoted to long rows."""
+    aggs = [F.coalesce(F.sum((~F.coalesce(ok, F.lit(False))).cast("long")), F.lit(0)).alias(f"__r{i}")
+            for i, (_, _, ok) in enumerate(rs)]
     one = df.agg(*aggs)
     rows = [F.struct(F.lit(c).alias("column"), F.lit(r).alias("rule"), F.col(f"__r{i}").alias("n_fail"))
             for i, (c, r, _) in enumerate(rs)]
@@ -77,20 +105,21 @@ def _counts(df: DataFrame, rs) -> DataFrame:
 
 def range_violations(df: DataFrame, which: str = "validator") -> DataFrame:
     """V3 / V9: (column, rule, n_fail) for every rule, in one pass."""
-    return _counts(df, rules(df, which))
+    return _counts_sql(df, rule_sql(df, which))
 
 
 def null_census(df: DataFrame) -> DataFrame:
     """V1: (column, n_null) over **all** columns (null or NaN), one pass."""
-    rs = [(c, "null", ~_is_missing(df, c)) for c in df.columns]
-    return _counts(df, rs).select("column", F.col("n_fail").alias("n_null"))
+    types = _types(df)
+    rs = [(c, "null", f"not {_missing_sql(types, c)}") for c in types]
+    return _counts_sql(df, rs).selectExpr("`column`", "n_fail as n_null")
 
 
 def inf_census(df: DataFrame) -> DataFrame:
     """V2: (column, n_inf) over numeric columns, one pass."""
-    cols = [f.name for f in df.schema.fields if isinstance(f.dataType, _NUMERIC)]
-    rs = [(c, "inf", ~_is_inf(df, c)) for c in cols]
-    return _counts(df, rs).select("column", F.col("n_fail").alias("n_inf"))
+    types = _types(df)
+    rs = [(c, "inf", f"not {_inf_sql(types, c)}") for c, t in types.items() if isinstance(t, _NUMERIC)]
+    return _counts_sql(df, rs).selectExpr("`column`", "n_fail as n_inf")
 
 
 def label_domain(df: DataFrame) -> DataFrame:
@@ -110,12 +139,10 @@ def dataset_checks(df: DataFrame) -> DataFrame:
 
 def failing_cells(df: DataFrame, which: str = "validator", key: str = S.EVENT_ID) -> DataFrame:
     """V6: every failing cell as (key, column, rule, value), built row-locally."""
-    rs = rules(df, which)
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(r).alias("rule"),
-                               F.col(c).cast("double").alias("value"),
-                               F.coalesce(ok, F.lit(False)).alias("ok")) for c, r, ok in rs])
-    bad = F.filter(cells, lambda x: ~x["ok"])
-    out = df.select(F.col(key), F.inline(bad))
+    rs = rule_sql(df, which)
+    cells = ", ".join(f"struct('{c}' as `column`, '{r}' as rule, cast({_q(c)} as double) as value, "
+                      f"coalesce({ok}, false) as ok)" for c, r, ok in rs)
+    out = df.selectExpr(_q(key), f"inline(filter(array({cells}), x -> not x.ok))")
     return out.select(key, "column", "rule", "value")
 
 
@@ -125,35 +152,27 @@ def failure_cases(df: DataFrame, limit: int = 20, which: str = "validator", key:
 
 
 def summary(df: DataFrame, which: str = "validator", scope: str = "schema") -> DataFrame:
-    """One-row summary: n_rows, n_cols, n_failures, null_count, signal_fraction, dataset checks.
+    """One-row summary: n_rows, n_cols, n_failures, passed, null_count, signal_fraction.
 
     ``scope="all"`` also null-checks the columns outside the schema (what the
     gate's pre-check does); ``"schema"`` checks the schema columns only.
     """
-    rs = rules(df, which)
+    types = _types(df)
+    rs = rule_sql(df, which)
     if scope == "all":
         known = {c for c, _, _ in rs}
-        rs = rs + [(c, "not_nullable", ~_is_missing(df, c)) for c in df.columns if c not in known]
-    all_null = None
-    for c in df.columns:
-        t = _is_missing(df, c).cast("long")
-        all_null = t if all_null is None else all_null + t
-    fails = None
-    for _, _, ok in rs:
-        t = (~F.coalesce(ok, F.lit(False))).cast("long")
-        fails = t if fails is None else fails + t
+        rs = rs + [(c, "not_nullable", f"not {_missing_sql(types, c)}") for c in types if c not in known]
+    fails = " + ".join(f"cast(not coalesce({ok}, false) as bigint)" for _, _, ok in rs) or "0"
+    nulls = " + ".join(f"cast({_missing_sql(types, c)} as bigint)" for c in types) or "0"
     lo, hi = S.LABEL_MEAN_RANGE
     one = df.agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
-                 F.coalesce(F.sum(fails), F.lit(0)).cast("bigint").alias("n_cell_failures"),
-                 F.coalesce(F.sum(all_null), F.lit(0)).cast("bigint").alias("null_count"),
+                 F.expr(f"cast(coalesce(sum({fails}), 0) as bigint)").alias("n_cell_failures"),
+                 F.expr(f"cast(coalesce(sum({nulls}), 0) as bigint)").alias("null_count"),
                  F.avg(F.col(S.LABEL).cast("double")).alias("signal_fraction"))
-    ds_fail = (F.when(F.col("n_rows") > 0, 0).otherwise(1)
-               + F.when(F.coalesce(F.col("signal_fraction").between(F.lit(lo), F.lit(hi)), F.lit(False)), 0).otherwise(1))
-    return one.select(
-        "n_rows", F.lit(len(df.columns)).alias("n_cols"),
-        (F.col("n_cell_failures") + ds_fail).cast("bigint").alias("n_failures"),
-        ((F.col("n_cell_failures") + ds_fail) == 0).alias("passed"),
-        "null_count", "signal_fraction")
+    ds = (f"(case when n_rows > 0 then 0 else 1 end + "
+          f"case when coalesce(signal_fraction between {lo!r}D and {hi!r}D, false) then 0 else 1 end)")
+    return one.selectExpr("n_rows", f"{len(types)} as n_cols", f"cast(n_cell_failures + {ds} as bigint) as n_failures",
+                          f"(n_cell_failures + {ds}) = 0 as passed", "null_count", "signal_fraction")
 
 
 def validation_report(df: DataFrame, which: str = "validator") -> DataFrame:
