@@ -63,12 +63,14 @@ def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
 
 
 def fill(df: DataFrame, strategy: str = "median", group_cols=("split",), columns=None,
-         accuracy: int | None = None, exclude=(S.EVENT_ID, S.LABEL)) -> DataFrame:
+         accuracy: int | None = None, exclude=(S.EVENT_ID, S.LABEL), exact: str = "distributed") -> DataFrame:
     """Fill missing values per group with ``zero`` or the group's median.
 
-    Median = exact ``median`` of non-missing values (pandas skips NaN) unless
-    ``accuracy`` is given, which switches to ``percentile_approx``.  The
-    per-group medians are one row per group, joined back with a broadcast.
+    Median = exact median of non-missing values (pandas skips NaN), computed
+    by the distributed exact quantile (``exact="distributed"``, default) or
+    Spark's ``median`` (``exact="percentile"``, one buffer per group: small
+    data only); ``accuracy`` switches to ``percentile_approx``.  The per-group
+    medians are one row per group, joined back with a broadcast.
     """
     cols = list(columns) if columns is not None else numeric_columns(df, exclude)
     group_cols = [g for g in group_cols if g in df.columns]
@@ -88,7 +90,14 @@ def fill(df: DataFrame, strategy: str = "median", group_cols=("split",), columns
         if accuracy is None:
             return F.median(x)
         return F.percentile_approx(x, 0.5, accuracy)
-    medians = base.groupBy(*key).agg(*[med(col).alias(f"__med_{i}") for i, col in enumerate(cols)])
+    if accuracy is None and exact == "distributed":
+        from collide.operators.quantiles import quantile_wide
+        q = quantile_wide(base, cols, [0.5], key)
+        # groups where a column has no value at all get no quantile row: null median, as before
+        medians = base.select(*key).distinct().join(q, on=key, how="left").select(
+            *key, *[F.col(f"{col}__q1").alias(f"__med_{i}") for i, col in enumerate(cols)])
+    else:
+        medians = base.groupBy(*key).agg(*[med(col).alias(f"__med_{i}") for i, col in enumerate(cols)])
     joined = base.join(F.broadcast(medians), on=key, how="left")
     out = joined.withColumns({
         col: F.coalesce(_missing(col), F.col(f"__med_{i}")).cast(df.schema[col].dataType)

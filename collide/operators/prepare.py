@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from collide import schema as S
 from collide.operators.prefix import hash32, hash_rank
+from collide.operators.quantiles import quantile_wide
 
 SPLITS = ("train", "val", "test")
 
@@ -120,7 +121,8 @@ class ScalerModel:
 SCALERS = ("standard", "robust", "minmax", "none")
 
 
-def fit_params(train: DataFrame, columns: Sequence[str], method: str = "standard") -> DataFrame:
+def fit_params(train: DataFrame, columns: Sequence[str], method: str = "standard",
+               quantile_method: str = "distributed") -> DataFrame:
     """One-row DataFrame of fitted parameters: ``c__center`` and ``c__scale`` per column.
 
     standard: mean and population std (zero -> 1); robust: median and
@@ -132,13 +134,22 @@ def fit_params(train: DataFrame, columns: Sequence[str], method: str = "standard
         return train.sparkSession.range(1).select(F.lit(True).alias("none"))
     if method not in SCALERS:
         raise ValueError(f"Unknown normalization: {method}")
+    if method == "robust" and quantile_method == "distributed":
+        # exact quartiles without a whole column in one aggregation buffer
+        q = quantile_wide(train, cols, [0.25, 0.5, 0.75])
+        out = []
+        for c in cols:
+            iqr = F.col(f"{c}__q3") - F.col(f"{c}__q1")
+            out += [F.col(f"{c}__q2").alias(f"{c}__center"),
+                    F.when(iqr == 0, F.lit(1.0)).otherwise(iqr).alias(f"{c}__scale")]
+        return q.select(*out)
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         if method == "standard":
             aggs += [F.avg(x).alias(f"{c}__center"), F.stddev_pop(x).alias(f"{c}__s")]
         elif method == "robust":
-            aggs += [F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"{c}__q")]
+            aggs += [F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"{c}__q")]  # small data
         else:
             aggs += [F.min(x).alias(f"{c}__center"), F.max(x).alias(f"{c}__hi")]
     one = train.agg(*aggs)

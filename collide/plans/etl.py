@@ -100,20 +100,25 @@ def etl(df: DataFrame, cfg: ETLConfig = ETLConfig(), return_scaler: bool = False
 def describe(df: DataFrame, columns, decimals: int = 3) -> DataFrame:
     """A1: per column count, mean, sample std, min, exact quartiles, max, rounded.
 
-    Long form (feature, value) so one ``groupBy(feature)`` handles any number of columns.
+    Moments come from one long-form ``groupBy(feature)``; the quartiles from
+    the distributed exact quantile (no column held whole in one buffer).
     """
+    from collide.operators.quantiles import exact_quantiles
     long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v"))
                                         for c in columns])))
-    q = F.percentile(F.col("v"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
 
     def rd(x):
         return F.round(x, decimals) + F.lit(0.0)
     agg = long.groupBy("feature").agg(
         F.count("v").cast("bigint").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), q.alias("q"), F.max("v").alias("max"))
-    return agg.select("feature", "count", rd(F.col("mean")).alias("mean"), rd(F.col("std")).alias("std"),
-                      rd(F.col("min")).alias("min"), rd(F.col("q")[0]).alias("q25"), rd(F.col("q")[1]).alias("q50"),
-                      rd(F.col("q")[2]).alias("q75"), rd(F.col("max")).alias("max"))
+        F.min("v").alias("min"), F.max("v").alias("max"))
+    q = exact_quantiles(df, list(columns), [0.25, 0.5, 0.75]).groupBy(F.col("column").alias("feature")) \
+        .pivot("p", [0.25, 0.5, 0.75]).agg(F.first("value"))
+    q = q.select("feature", *[F.col(f"`{p}`").alias(n) for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
+    out = agg.join(q, "feature", "left")
+    return out.select("feature", "count", rd(F.col("mean")).alias("mean"), rd(F.col("std")).alias("std"),
+                      rd(F.col("min")).alias("min"), rd(F.col("q25")).alias("q25"), rd(F.col("q50")).alias("q50"),
+                      rd(F.col("q75")).alias("q75"), rd(F.col("max")).alias("max"))
 
 
 def label_balance(df: DataFrame) -> DataFrame:
