@@ -74,6 +74,11 @@ def fill(df: DataFrame, strategy: str = "median", group_cols=("split",), columns
     """
     cols = list(columns) if columns is not None else numeric_columns(df, exclude)
     group_cols = [g for g in group_cols if g in df.columns]
+    if strategy == "median" and columns is None and cols:
+        # like the reference, only columns that have a missing value are filled: one bounded
+        # aggregate (a count per column) decides, so medians are computed only where needed
+        flags = df.select(*[F.sum(_missing(c).isNull().cast("long")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+        cols = [c for i, c in enumerate(cols) if flags[f"m{i}"]]
     if strategy == "zero":
         return df.withColumns({
             col: F.coalesce(_missing(col), F.lit(0.0)).cast(df.schema[col].dataType)
