@@ -162,13 +162,17 @@ def summary(df: DataFrame, which: str = "validator", scope: str = "schema") -> D
     if scope == "all":
         known = {c for c, _, _ in rs}
         rs = rs + [(c, "not_nullable", f"not {_missing_sql(types, c)}") for c in types if c not in known]
-    fails = " + ".join(f"cast(not coalesce({ok}, false) as bigint)" for _, _, ok in rs) or "0"
-    nulls = " + ".join(f"cast({_missing_sql(types, c)} as bigint)" for c in types) or "0"
+    # one small counter per rule / column (lean generated code); they are added up on the one-row result
+    aggs = [F.count(F.lit(1)).cast("bigint").alias("n_rows"),
+            F.avg(F.col(S.LABEL).cast("double")).alias("signal_fraction")]
+    aggs += [F.expr(f"coalesce(sum(cast(not coalesce({ok}, false) as bigint)), 0) as __f{i}") for i, (_, _, ok) in enumerate(rs)]
+    aggs += [F.expr(f"coalesce(sum(cast({_missing_sql(types, c)} as bigint)), 0) as __m{i}") for i, c in enumerate(types)]
+    raw = df.agg(*aggs)
+    fails = " + ".join(f"__f{i}" for i in range(len(rs))) or "0"
+    nulls = " + ".join(f"__m{i}" for i in range(len(types))) or "0"
+    one = raw.selectExpr("n_rows", "signal_fraction", f"cast({fails} as bigint) as n_cell_failures",
+                         f"cast({nulls} as bigint) as null_count")
     lo, hi = S.LABEL_MEAN_RANGE
-    one = df.agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
-                 F.expr(f"cast(coalesce(sum({fails}), 0) as bigint)").alias("n_cell_failures"),
-                 F.expr(f"cast(coalesce(sum({nulls}), 0) as bigint)").alias("null_count"),
-                 F.avg(F.col(S.LABEL).cast("double")).alias("signal_fraction"))
     ds = (f"(case when n_rows > 0 then 0 else 1 end + "
           f"case when coalesce(signal_fraction between {lo!r}D and {hi!r}D, false) then 0 else 1 end)")
     return one.selectExpr("n_rows", f"{len(types)} as n_cols", f"cast(n_cell_failures + {ds} as bigint) as n_failures",
