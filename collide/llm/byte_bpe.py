@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from collide.llm.common import slices, staged
-from collide.llm.pretok import LETTER, NUMBER, OTHER, WordTable, boundaries, classes, code_points, encode_all, known
+from collide.llm.pretok import LETTER, NUMBER, OTHER, WordTable, boundaries, classes, code_points, encode_all, known, newline_encoder
 
 RANKS = "byte_bpe_50k.tiktoken"
 CHUNK, OVERLAP = 1 << 16, 1 << 9
@@ -37,21 +38,23 @@ def load_ranks(name: str = RANKS) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def _encoding(name: str):
+@cache
+def _encoder(name: str):
+    """The library encoding and the word table of this worker (kept from task to task)."""
     import public_tokenizers as P
     import tiktoken
-    return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=load_ranks(name), special_tokens={})
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=load_ranks(name), special_tokens={})
+    return enc, WordTable(newline_encoder(enc.encode_ordinary))
 
 
 def _encode_udf(name: str):
     @F.pandas_udf("binary")
     def ids(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        enc = _encoding(name)
-        words = WordTable(lambda ws: [enc.encode_ordinary(w) for w in ws])
+        enc, words = _encoder(name)
         for s in it:
             texts = [t or "" for t in s]
             out: list[bytes] = []
-            for lo, hi in slices(texts):
+            for lo, hi in slices(texts, 1 << 20):
                 out += [x.astype("<u4").tobytes() for x in encode_all(texts[lo:hi], words, enc.encode_ordinary)]
             yield pd.Series(out, index=s.index, dtype=object)
     return ids
@@ -111,9 +114,12 @@ def pieces(long_docs: DataFrame, text: str, row: str, chunk: int = CHUNK, overla
             .select("r", "place", F.substring("t", F.col("p.lo") + 1, F.col("p.hi") - F.col("p.lo")).alias("piece")))
 
 
-@F.pandas_udf("binary")
-def _joined(parts: pd.Series) -> pd.Series:
-    return pd.Series([b"".join(p) for p in parts], index=parts.index, dtype=object)
+def _join_udf():
+    @F.pandas_udf("binary")
+    def joined(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for parts in it:
+            yield pd.Series([b"".join(p) for p in parts], index=parts.index, dtype=object)
+    return joined
 
 
 def encode(docs: DataFrame, text: str = "text", ids: str = "ids", ranks: str = RANKS,
@@ -126,7 +132,7 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", ranks: str = R
     far = staged(docs.where(size > chunk).withColumn(row, F.monotonically_increasing_id()), "bpe-long")
     got = (pieces(far, text, row, chunk, overlap).withColumn("x", enc("piece"))
            .groupBy("r").agg(F.array_sort(F.collect_list(F.struct("place", "x"))).alias("xs"))
-           .select(F.col("r").alias(row), _joined(F.col("xs.x")).alias(ids)))
+           .select(F.col("r").alias(row), _join_udf()("xs.x").alias(ids)))
     return short.unionByName(far.join(got, row).drop(row).select(*short.columns))
 
 

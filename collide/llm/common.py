@@ -41,6 +41,12 @@ def small_enough(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def bind(df: DataFrame, name: str, value) -> DataFrame:
+    """``df`` plus a column that is worked out once per row: the optimizer moves neither filters nor
+    later expressions through a generator, so a costly value is not repeated inside a lambda."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (bijective), elementwise on uint64."""
     x = x ^ (x >> _U(30))
@@ -70,30 +76,35 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS
 
 
-def word_hashes(texts: list[bytes], lower: bool = True, fold: np.ndarray | None = None):
-    """64-bit hashes of all words of all texts, without a Python loop over words.
+def word_spans(texts: list[bytes], space: np.ndarray = _SPACE):
+    """(joined buffer, starts, ends, doc_of_word, words per text) of all words of all texts.
 
-    Returns (hashes uint64, doc_of_word int64, words per text).  The texts are
-    joined by a space, so no word crosses a text; a word's hash is a polynomial
-    in its bytes (mod 2**64) passed through a finaliser.
-    """
+    The texts are joined by a newline, so no word crosses a text."""
     lens = np.fromiter((len(t) for t in texts), np.int64, len(texts))
-    buf = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    word = ~_SPACE[buf]
-    if not word.any():
-        return np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
-    edge = np.diff(word.view(np.int8), prepend=np.int8(0))
+    buf = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    edge = np.diff((~space[buf]).view(np.int8), prepend=np.int8(0))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    doc = np.searchsorted(np.cumsum(lens + 1), starts, side="right")
+    return buf, starts, ends, doc, np.bincount(doc, minlength=len(texts))
+
+
+def span_bytes_hash(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
+    """64-bit hash of the bytes of each span (no empty spans): a polynomial mod 2**64 and a finaliser."""
+    if not len(starts):
+        return np.zeros(0, _U)
     size = ends - starts
-    inside = np.flatnonzero(word)
-    place = inside - np.repeat(starts, size)
-    val = (_LOWER if lower else np.arange(256, dtype=np.uint8))[buf[inside]].astype(_U) + _U(1)
-    val *= _powers(int(size.max()) + 1)[place]
     first = np.cumsum(size) - size
-    h = mix(np.add.reduceat(val, first) + size.astype(_U))
-    text_end = np.cumsum(lens + 1)
-    doc = np.searchsorted(text_end, starts, side="right")
-    return h, doc, np.bincount(doc, minlength=len(texts))
+    place = np.arange(int(size.sum())) - np.repeat(first, size)
+    byte = buf[np.repeat(starts, size) + place]
+    val = (_LOWER[byte] if lower else byte).astype(_U) + _U(1)
+    val *= _powers(int(size.max()) + 1)[place]
+    return mix(np.add.reduceat(val, first) + size.astype(_U))
+
+
+def word_hashes(texts: list[bytes], lower: bool = True):
+    """(64-bit hashes of all words, doc_of_word, words per text), without a Python loop over words."""
+    buf, starts, ends, doc, n = word_spans(texts)
+    return span_bytes_hash(buf, starts, ends, lower), doc, n
 
 
 def shingle_hashes(h: np.ndarray, doc: np.ndarray, n_words: np.ndarray, k: int):

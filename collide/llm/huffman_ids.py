@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from collide.llm.common import slices
-from collide.llm.pretok import WordTable, encode_all
+from collide.llm.pretok import WordTable, encode_all, newline_encoder
 from collide.session import shared_dir
 
 VOCAB = "byte_bpe_50k.json"
@@ -140,17 +141,22 @@ def unpack(payload: bytes, n: int, checkpoints: bytes, sym: np.ndarray, size: np
 
 # --- Spark --------------------------------------------------------------------
 
-def _blocks_of(vocab: str, end_id: int, block_ids: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import public_tokenizers as P
-        from tokenizers import Tokenizer
-        tok = Tokenizer.from_file(vocab if "/" in vocab else P.path(vocab))
-        specials = [t.content for t in tok.get_added_tokens_decoder().values()]
-        words = WordTable(lambda ws: [e.ids for e in tok.encode_batch_fast(ws, add_special_tokens=False)])
+@cache
+def _tokenizer(vocab: str):
+    """(special strings, encode a whole text, word table) of this worker, kept from task to task."""
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(vocab if "/" in vocab else P.path(vocab))
+
+    def whole(t):
+        return tok.encode_batch_fast([t], add_special_tokens=False)[0].ids
 
-        def whole(t):
-            return tok.encode(t, add_special_tokens=False).ids
+    return [t.content for t in tok.get_added_tokens_decoder().values()], whole, WordTable(newline_encoder(whole))
 
+
+def _blocks_of(vocab: str, end_id: int, block_ids: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        specials, whole, words = _tokenizer(vocab)
         part = TaskContext.get().partitionId()
         block = first = 0
         keys: list = []
@@ -167,7 +173,7 @@ def _blocks_of(vocab: str, end_id: int, block_ids: int):
         for b in batches:
             texts = [t or "" for t in b.column(1).to_pylist()]
             ks = b.column(0).to_pylist()
-            for lo, hi in slices(texts):
+            for lo, hi in slices(texts, 1 << 20):
                 plain = [t if not any(s in t for s in specials) else "" for t in texts[lo:hi]]
                 ids = encode_all(plain, words, whole)
                 for j, t in enumerate(texts[lo:hi]):

@@ -118,6 +118,45 @@ def spans_hash(cps: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return mix(np.add.reduceat(val, starts - starts[0]) + size.astype(_U))
 
 
+def newline_encoder(encode, run: int = 2000):
+    """Encoder of pre-token lists over a byte-level library call ``encode(text) -> ids``.
+
+    Pre-tokens of one call are joined by newlines (a newline before a word is a pre-token of its
+    own under the ``gpt`` pattern) and their ids cut apart at its id; white-space pre-tokens, and
+    runs that do not come apart as they went in, are encoded one by one.
+    """
+    mark = list(encode("\n"))
+
+    def ids(words: list[str]) -> list:
+        out: list = [None] * len(words)
+        plain = [i for i, w in enumerate(words) if len(mark) == 1 and not w.isspace()]
+        for lo in range(0, len(plain), run):
+            part = plain[lo:lo + run]
+            flat = np.asarray(encode("\n".join([words[i] for i in part])), np.uint32)
+            pieces = np.split(flat, np.flatnonzero(flat == mark[0]))
+            if len(pieces) == len(part):
+                for j, i in enumerate(part):
+                    out[i] = pieces[j][1:] if j else pieces[j]
+        return [encode(w) if x is None else x for w, x in zip(words, out)]
+    return ids
+
+
+def word_end_encoder(encode, ends_word: np.ndarray, run: int = 2000):
+    """Token counts of pre-token lists under the ``clip`` pattern, as ranges: pre-tokens are joined
+    by blanks (which give no token) and counted up to each id that ends a word."""
+    def ids(words: list[str]) -> list:
+        out: list = []
+        for lo in range(0, len(words), run):
+            part = words[lo:lo + run]
+            stop = np.flatnonzero(ends_word[np.asarray(encode(" ".join(part)), np.int64)])
+            if len(stop) == len(part):
+                out += [range(n) for n in np.diff(stop, prepend=-1).tolist()]
+            else:
+                out += [range(len(encode(w))) for w in part]
+        return out
+    return ids
+
+
 class WordTable:
     """Distinct pre-tokens seen by this worker -> their ids, as flat arrays.
 

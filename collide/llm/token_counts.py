@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from collide.llm.common import slices
 from collide.llm.pretok import (CONTRACTIONS, LETTER, NUMBER, OTHER, _LIMIT, WordTable, classes, code_points, known,
-                                spans_hash)
+                                spans_hash, word_end_encoder)
 
 MODEL = "word_bpe_49k.json"
 LANE = 512
@@ -118,7 +119,11 @@ class Counter:
         self.tok = Tokenizer.from_file(model if "/" in model else P.path(model))
         self.specials = sorted((t.content for t in self.tok.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.step, self.mark, self.signs = compile_transducer()
-        self.words = WordTable(lambda ws: [range(len(e.ids)) for e in self.tok.encode_batch_fast(ws, add_special_tokens=False)])
+        ends = np.zeros(self.tok.get_vocab_size(), bool)
+        for token, i in self.tok.get_vocab().items():
+            ends[i] = token.endswith("</w>")
+        self.words = WordTable(word_end_encoder(
+            lambda t: self.tok.encode_batch_fast([t], add_special_tokens=False)[0].ids, ends))
         base = np.full(_LIMIT, _WHITE, np.uint8)
         k = classes()
         base[k == LETTER], base[k == NUMBER], base[k == OTHER] = _LET, _NUM, _OTH
@@ -162,13 +167,19 @@ class Counter:
         return out
 
 
+@cache
+def _counter(model: str) -> Counter:
+    """The counter of this worker, kept from task to task."""
+    return Counter(model)
+
+
 def count_tokens(docs: DataFrame, text: str = "text", n_tokens: str = "n_tokens", model: str = MODEL) -> DataFrame:
     """``docs`` plus the token count of each whole text (long)."""
     @F.pandas_udf("long")
     def counted(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        c = Counter(model)
+        c = _counter(model)
         for s in it:
             texts = [t or "" for t in s]
-            parts = [c.count(texts[lo:hi]) for lo, hi in slices(texts, 2 << 20)]
+            parts = [c.count(texts[lo:hi]) for lo, hi in slices(texts, 1 << 20)]
             yield pd.Series(np.concatenate(parts) if parts else np.zeros(0, np.int64), index=s.index)
     return docs.withColumn(n_tokens, counted(F.col(text)))
