@@ -90,14 +90,14 @@ def noisy_or(z: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
 
 
 def train(gram: np.ndarray, sentence: np.ndarray, doc: np.ndarray, y: np.ndarray, dim: int, min_docs: int = 3,
-          l1: float = 5e-4, l2: float = 2e-5, steps: int = 100) -> Model:
+          l1: float = 3e-4, l2: float = 2e-5, steps: int = 100, share: float = 0.5) -> Model:
     """Proximal gradient steps (per-gram step sizes) on the noisy-or log likelihood of the document
-    labels, both labels weighing one half.  A first run with an L1 penalty picks the grams that
+    labels; the toxic label weighs ``share`` in all, as in the whole of the labels.  A first run with an L1 penalty picks the grams that
     have evidence; a second run fits these alone under a slight L2 penalty."""
     pair = np.unique(gram * len(y) + doc[sentence])
     usable = np.bincount(pair // len(y), minlength=dim) >= min_docs
     pos = max(y.sum(), 1)
-    weight = np.where(y > 0, 0.5 / pos, 0.5 / max(len(y) - pos, 1))
+    weight = np.where(y > 0, share / pos, (1 - share) / max(len(y) - pos, 1))
 
     def run(pick: np.ndarray, b: float, lam: float, l2: float, rounds: int):
         """Fit the grams of ``pick`` (the others keep weight 0)."""
@@ -124,7 +124,7 @@ def train(gram: np.ndarray, sentence: np.ndarray, doc: np.ndarray, y: np.ndarray
         return w, float(b)
 
     pick = np.flatnonzero(usable)
-    w, b = run(pick, -5.0, max(l1, 0.25 / pos), 0.0, steps)
+    w, b = run(pick, -5.0, max(l1, 0.5 * share / pos), 0.0, steps)
     pick = pick[w != 0]
     w, b = run(pick, b, 0.0, l2, 2 * steps)
     out = np.zeros(dim)
@@ -136,6 +136,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         per_class: int = PER_CLASS, dim_bits: int = DIM_BITS, **options) -> Model:
     """Train on a bounded sample: executors make the bags, their gram numbers come to the driver."""
     known = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).where("k is not null and y in (0, 1)")
+    share = known.agg(F.avg("y")).first()[0]
     order = F.xxhash64(F.lit("toxic"), F.col("k"))
     parts = [known.where(F.col("y") == v).orderBy(order, "k").limit(per_class) for v in (0, 1)]
     picked = F.broadcast(parts[0].unionByName(parts[1]))  # at most 2 * per_class rows
@@ -158,7 +159,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     first = got["n"].cumsum() - got["n"]
     gram = np.concatenate([np.frombuffer(g, "<u4") for g in got["g"]]).astype(np.int64)
     sentence = np.concatenate([np.frombuffer(s, "<u4").astype(np.int64) + o for s, o in zip(got["s"], first)])
-    return train(gram, sentence, np.repeat(np.arange(len(got)), got["n"]), y, dim, **options)
+    return train(gram, sentence, np.repeat(np.arange(len(got)), got["n"]), y, dim, share=share, **options)
 
 
 _OUT = "score double, sentences array<struct<lo:int,hi:int,p:double>>"
