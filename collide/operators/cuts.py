@@ -24,6 +24,12 @@ def gt(x: Column | str, t: float) -> Column:
     return F.coalesce((x > F.lit(float(t))) & ~F.isnan(x), F.lit(False))
 
 
+def above(x: Column | str, t: float) -> Column:
+    """x > t as a filter: null stays null (a filter drops it), so the comparison reaches the Parquet scan."""
+    x = F.col(x) if isinstance(x, str) else x
+    return (x > F.lit(float(t))) & ~F.isnan(x)
+
+
 def ge(x: Column | str, t: float) -> Column:
     x = _v(x)
     return F.coalesce((x >= F.lit(float(t))) & ~F.isnan(x), F.lit(False))
@@ -31,13 +37,13 @@ def ge(x: Column | str, t: float) -> Column:
 
 def lepton_cut(df: DataFrame, min_pt: float) -> Column | None:
     """lepton_pt > min, only if min > 0 and the column exists."""
-    return gt("lepton_pt", min_pt) if min_pt > 0 and "lepton_pt" in df.columns else None
+    return above("lepton_pt", min_pt) if min_pt > 0 and "lepton_pt" in df.columns else None
 
 
 def met_cut(df: DataFrame, min_met: float) -> Column | None:
     """missing_energy_magnitude > min, same guards."""
     col = "missing_energy_magnitude"
-    return gt(col, min_met) if min_met > 0 and col in df.columns else None
+    return above(col, min_met) if min_met > 0 and col in df.columns else None
 
 
 def zero_kinematics_cut(df: DataFrame) -> Column | None:
@@ -133,9 +139,9 @@ def detector_selection(df: DataFrame, muon_pt_min: float = 25.0, electron_pt_min
     cuts: list[tuple[str, Column]] = []
     lep = []
     if muon_col in df.columns:
-        lep.append(("muon_pt", gt(muon_col, muon_pt_min)))
+        lep.append(("muon_pt", above(muon_col, muon_pt_min)))
     if electron_col in df.columns:
-        lep.append(("electron_pt", gt(electron_col, electron_pt_min)))
+        lep.append(("electron_pt", above(electron_col, electron_pt_min)))
     if lepton_mode == "all":
         cuts += lep
     elif lepton_mode == "any" and lep:

@@ -33,6 +33,12 @@ def _pow(x: Column, beta: float) -> Column:
     return x if beta == 1.0 else F.pow(x, F.lit(float(beta)))
 
 
+def _bound(value: Column, f) -> Column:
+    """f(value) with ``value`` worked out once per row: a lambda variable is bound, whereas a column
+    used inside a lambda is computed again at every step of the loop."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def with_energy(jet: Column) -> Column:
     """Fill E with pt where it is missing (the reference's default)."""
     return F.transform(jet, lambda x: F.struct(x["pt"].alias("pt"), x["eta"].alias("eta"), x["phi"].alias("phi"),
@@ -53,10 +59,9 @@ def leading(jet: Column, n: int) -> Column:
 
 def n_subjettiness(jet: Column, n: int, r: float = 0.4, beta: float = 1.0) -> Column:
     """tau_N = sum_i pt_i min_k dR(i, axis_k)^beta / (sum_i pt_i * R^beta); axes = N hardest."""
-    axes = leading(jet, n)
     d0 = pt_sum(jet) * F.lit(float(r) ** beta)
-    num = F.aggregate(jet, F.lit(0.0), lambda acc, x: acc + x["pt"] * _pow(
-        F.array_min(F.transform(axes, lambda a: _dr(x, a))), beta))
+    num = _bound(leading(jet, n), lambda axes: F.aggregate(jet, F.lit(0.0), lambda acc, x: acc + x["pt"] * _pow(
+        F.array_min(F.transform(axes, lambda a: _dr(x, a))), beta)))
     empty = jet.isNull() | (F.size(jet) == 0)
     return F.when(empty | (d0 < F.lit(1e-10)), F.lit(None).cast("double")).otherwise(num / d0)
 
@@ -91,22 +96,23 @@ def ecf(jet: Column, n: int = 2, beta: float = 1.0) -> Column:
     """
     if n not in (2, 3):
         return F.lit(None).cast("double")
-    js = _indexed(jet)
-    size = F.size(js)
+    size = F.size(jet)
     pt_jet = pt_sum(jet)
 
-    def after(x: Column) -> Column:
-        return F.slice(js, x["i"] + 2, F.greatest(size - x["i"] - 1, F.lit(0)))
-    if n == 2:
-        total = F.aggregate(js, F.lit(0.0), lambda acc, x: acc + F.aggregate(
-            after(x), F.lit(0.0), lambda a2, y: a2 + x["pt"] * y["pt"] * _pow(_dr(x, y), beta)))
-        norm = pt_jet * pt_jet
-    else:
-        total = F.aggregate(js, F.lit(0.0), lambda acc, x: acc + F.aggregate(
-            after(x), F.lit(0.0), lambda a2, y: a2 + F.aggregate(
-                after(y), F.lit(0.0), lambda a3, z: a3 + x["pt"] * y["pt"] * z["pt"]
+    def after(js: Column, x: Column) -> Column:
+        return F.slice(js, x["i"] + 2, F.greatest(F.size(js) - x["i"] - 1, F.lit(0)))
+
+    def pairs(js: Column) -> Column:
+        return F.aggregate(js, F.lit(0.0), lambda acc, x: acc + F.aggregate(
+            after(js, x), F.lit(0.0), lambda a2, y: a2 + x["pt"] * y["pt"] * _pow(_dr(x, y), beta)))
+
+    def triples(js: Column) -> Column:
+        return F.aggregate(js, F.lit(0.0), lambda acc, x: acc + F.aggregate(
+            after(js, x), F.lit(0.0), lambda a2, y: a2 + F.aggregate(
+                after(js, y), F.lit(0.0), lambda a3, z: a3 + x["pt"] * y["pt"] * z["pt"]
                 * _pow(_dr(x, y) * _dr(x, z) * _dr(y, z), beta))))
-        norm = pt_jet * pt_jet * pt_jet
+    total = _bound(_indexed(jet), pairs if n == 2 else triples)
+    norm = pt_jet * pt_jet if n == 2 else pt_jet * pt_jet * pt_jet
     bad = jet.isNull() | (size < F.lit(n)) | (pt_jet < F.lit(1e-10))
     return F.when(bad, F.lit(None).cast("double")).otherwise(total / norm)
 
@@ -133,11 +139,10 @@ def substructure_unavailable(df: DataFrame) -> DataFrame:
 def nearest_axis(df: DataFrame, n: int = 2, jet_col: str = "jet", key: str = "event_id") -> DataFrame:
     """For every constituent, the nearest of the N leading axes (min dR, and which axis)."""
     j = F.col(jet_col)
-    axes = leading(j, n)
-    per = F.transform(_indexed(j), lambda x: F.struct(
+    per = _bound(leading(j, n), lambda axes: F.transform(_indexed(j), lambda x: F.struct(
         x["i"].alias("idx"),
         F.array_min(F.transform(axes, lambda a, k: F.struct(_dr(x, a).alias("dr"), k.alias("axis"))))
-        .alias("best")))
+        .alias("best"))))
     out = df.select(key, F.inline(per))
     return out.select(key, "idx", F.col("best.axis").alias("axis"), F.col("best.dr").alias("min_dr"))
 
@@ -152,12 +157,12 @@ def knn_edges(df: DataFrame, k: int, coord1: str = "eta", coord2: str = "phi", n
     nodes = F.transform(F.col(nodes_col), lambda x, i: F.struct(
         x[coord1].alias("c1"), x[coord2].alias("c2"), i.alias("i")))
 
-    def neigh(x: Column) -> Column:
-        cand = F.filter(nodes, lambda y: y["i"] != x["i"])
+    def neigh(own: Column, x: Column) -> Column:
+        cand = F.filter(own, lambda y: y["i"] != x["i"])
         scored = F.transform(cand, lambda y: F.struct(
             (F.pow(x["c1"] - y["c1"], 2) + F.pow(x["c2"] - y["c2"], 2)).alias("d2"), y["i"].alias("dst")))
         return F.slice(F.array_sort(scored), 1, k)
-    per = F.transform(nodes, lambda x: F.struct(x["i"].alias("src"), neigh(x).alias("nb")))
+    per = _bound(nodes, lambda own: F.transform(own, lambda x: F.struct(x["i"].alias("src"), neigh(own, x).alias("nb"))))
     d = df.select(key, F.explode(per).alias("n"))
     d = d.select(key, F.col("n.src").alias("src"), F.posexplode(F.col("n.nb")).alias("pos", "e"))
     return d.select(key, "src", F.col("e.dst").alias("dst"), (F.col("pos") + 1).alias("rank"),
@@ -174,19 +179,23 @@ def edge_features(df: DataFrame, k: int, feats=("pt", "eta", "phi"), coord1: str
     def diff_max(nb: Column, f: str) -> Column:
         return F.array_max(F.transform(nb, lambda e: e[f"d_{f}"]))
 
-    def node_out(x: Column) -> Column:
-        cand = F.filter(nodes, lambda y: y["i"] != x["i"])
+    def node_out(own: Column, x: Column) -> Column:
+        cand = F.filter(own, lambda y: y["i"] != x["i"])
         scored = F.transform(cand, lambda y: F.struct(
             (F.pow(x["c1"] - y["c1"], 2) + F.pow(x["c2"] - y["c2"], 2)).alias("d2"), y["i"].alias("i"),
             *[(y[f] - x[f]).alias(f"d_{f}") for f in feats]))
         nb = F.slice(F.array_sort(scored), 1, k)
         return F.struct(*[x[f].alias(f) for f in feats],
                         *[diff_max(nb, f).alias(f"max_d_{f}") for f in feats])
-    per = F.transform(nodes, node_out)
-    n = F.size(per).cast("double")
+    names = [*feats, *[f"max_d_{f}" for f in feats]]
+
+    def _adder(field: str):
+        return lambda acc, x: acc + F.coalesce(x[field], F.lit(0.0))
 
-    def mean(field: str) -> Column:
+    def means(per: Column) -> Column:
         # events without neighbours have no max: counted as 0
-        return F.aggregate(per, F.lit(0.0), lambda acc, x: acc + F.coalesce(x[field], F.lit(0.0))) / n
-    cols = [mean(f).alias(f"mean_{f}") for f in feats] + [mean(f"max_d_{f}").alias(f"mean_max_d_{f}") for f in feats]
-    return df.where(F.size(F.col(nodes_col)) > 0).select(key, *cols)
+        return F.struct(*[(F.aggregate(per, F.lit(0.0), _adder(field)) / F.size(per).cast("double"))
+                          .alias(f"mean_{field}") for field in names])
+    per = _bound(nodes, lambda own: F.transform(own, lambda x: node_out(own, x)))
+    out = df.where(F.size(F.col(nodes_col)) > 0).select(key, _bound(per, means).alias("m"))
+    return out.select(key, *[f"m.mean_{f}" for f in names])

@@ -56,13 +56,15 @@ def background_rejection(roc: DataFrame, floor: float = 1e-7) -> DataFrame:
 
 
 def roc_auc(st: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
-    """AUC with ties counted half: sum(pos * (neg_below + neg/2)) / (P N); one class -> 0.5."""
+    """AUC with ties counted half: sum(pos * (neg_below + neg/2)) / (P N); 0.5 with one class, with no
+    rows (ungrouped), or with a missing score anywhere in the group."""
     g = list(group_cols)
     agg = st.groupBy(*g).agg(
+        F.max(F.col("s").isNull() | F.isnan("s")).alias("__bad"),
         F.sum(F.col("pos").cast("double") * (F.col("tot_neg") - F.col("cum_neg") + F.col("neg") / 2.0)).alias("__num"),
         F.first("tot_pos").alias("P"), F.first("tot_neg").alias("N"))
     pn = F.col("P").cast("double") * F.col("N").cast("double")
-    return agg.select(*g, F.when(pn > 0, F.col("__num") / pn).otherwise(F.lit(0.5)).alias("roc_auc"))
+    return agg.select(*g, F.when((pn > 0) & ~F.col("__bad"), F.col("__num") / pn).otherwise(F.lit(0.5)).alias("roc_auc"))
 
 
 def pr_curve(st: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
@@ -79,12 +81,14 @@ def pr_curve(st: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
 
 
 def average_precision(st: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Step sum AP = sum over distinct scores of (pos/P) * precision; no positives -> mean label."""
+    """Step sum AP = sum over distinct scores of (pos/P) * precision; the mean label with no positives or
+    with a missing score anywhere in the group."""
     g = list(group_cols)
     agg = st.groupBy(*g).agg(
+        F.max(F.col("s").isNull() | F.isnan("s")).alias("__bad"),
         F.sum(F.col("pos") * (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")))).alias("__num"),
         F.first("tot_pos").alias("P"), F.first("tot_neg").alias("N"))
-    return agg.select(*g, F.when(F.col("P") > 0, F.col("__num") / F.col("P"))
+    return agg.select(*g, F.when((F.col("P") > 0) & ~F.col("__bad"), F.col("__num") / F.col("P"))
                       .otherwise(F.col("P") / (F.col("P") + F.col("N"))).alias("average_precision"))
 
 
@@ -200,7 +204,8 @@ def score_histogram(df: DataFrame, n_bins: int = 60, group_cols: Sequence[str] =
     """Per class, n_bins uniform bins over that class's [min, max], last bin closed; density."""
     g = list(group_cols) + ["y"]
     rng = df.groupBy(*g).agg(F.min("s").alias("mn"), F.max("s").alias("mx"), F.count(F.lit(1)).alias("n_class"))
-    d = df.join(F.broadcast(rng), on=g)  # one row per (group, class): bounded
+    # one row per (group, class); bounded, and broadcast, without group columns
+    d = df.join(rng if group_cols else F.broadcast(rng), on=g)
     width = F.col("mx") - F.col("mn")
     step = width / F.lit(float(n_bins))
 

@@ -51,6 +51,18 @@ def monotone_bucket(x: Column, bits: int = 8) -> Column:
             .otherwise(F.lit(_NEG_SHIFT * k) - pos)).cast("bigint")
 
 
+def _meet(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join on ``keys`` where null meets null (no row with a null key is lost).  The right side is
+    bounded, and broadcast, only without group columns (one key); else the optimizer decides."""
+    named = right.select(*[F.col(c).alias(f"__r_{c}") if c in keys else F.col(c) for c in right.columns])
+    on = None
+    for c in keys:
+        same = F.col(c).eqNullSafe(F.col(f"__r_{c}"))
+        on = same if on is None else on & same
+    named = F.broadcast(named) if len(keys) == 1 else named
+    return left.join(named, on, "inner").drop(*[f"__r_{c}" for c in keys])
+
+
 def cumulative(df: DataFrame, order_col: str, value_cols: Sequence[str], group_cols: Sequence[str] = (),
                descending: bool = True, bits: int = 8) -> DataFrame:
     """Inclusive running sums of ``value_cols`` in ``order_col`` order, per group.
@@ -70,8 +82,8 @@ def cumulative(df: DataFrame, order_col: str, value_cols: Sequence[str], group_c
         *g, "__b",
         *[F.coalesce(F.sum(f"__t_{v}").over(w_prev), F.lit(0)).alias(f"__o_{v}") for v in value_cols],
         *[F.sum(f"__t_{v}").over(w_all).alias(f"tot_{v}") for v in value_cols])
-    # bounded broadcast: one row per populated bucket (at most ~2^bits per binade)
-    joined = d.join(F.broadcast(offsets), on=[*g, "__b"], how="inner")
+    # one row per populated bucket (at most ~2^bits per binade) and group
+    joined = _meet(d, offsets, [*g, "__b"])
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     w_in = Window.partitionBy(*g, "__b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return joined.select(
@@ -106,7 +118,7 @@ def hash_rank(df: DataFrame, hash_col: str, tie_col: str, group_cols: Sequence[s
     w_all = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
     offsets = counts.select(*g, "__hb", F.coalesce(F.sum("__c").over(w_prev), F.lit(0)).alias("__off"),
                             F.sum("__c").over(w_all).alias("__n"))
-    joined = d.join(F.broadcast(offsets), on=[*g, "__hb"], how="inner")
+    joined = _meet(d, offsets, [*g, "__hb"])
     w_in = Window.partitionBy(*g, "__hb").orderBy(F.col(hash_col), F.col(tie_col))
     return joined.withColumn("__rank", F.row_number().over(w_in) + F.col("__off")) \
         .drop("__hb", "__off")

@@ -52,10 +52,6 @@ def _inf_sql(types: dict, c: str) -> str:
     return f"coalesce(abs(cast({_q(c)} as double)) = double('inf'), false)"
 
 
-def _is_missing(df: DataFrame, c: str) -> Column:
-    return F.expr(_missing_sql(_types(df), c))
-
-
 def rule_sql(df: DataFrame, which: str = "validator") -> list[tuple[str, str, str]]:
     """(column, rule, ok-predicate as SQL) for every rule of the schema that applies to ``df``.
 
@@ -78,11 +74,6 @@ def rule_sql(df: DataFrame, which: str = "validator") -> list[tuple[str, str, st
     return out
 
 
-def rules(df: DataFrame, which: str = "validator") -> list[tuple[str, str, Column]]:
-    """(column, rule, ok) for every rule of the schema that applies to ``df``."""
-    return [(c, r, F.expr(sql)) for c, r, sql in rule_sql(df, which)]
-
-
 def _counts_sql(df: DataFrame, rs: list[tuple[str, str, str]]) -> DataFrame:
     """One aggregate with one failure counter per rule; unpivoted to long rows (column, rule, n_fail)."""
     aggs = [F.expr(f"coalesce(sum(cast(not coalesce({ok}, false) as bigint)), 0) as __r{i}")
@@ -92,17 +83,6 @@ def _counts_sql(df: DataFrame, rs: list[tuple[str, str, str]]) -> DataFrame:
     return one.selectExpr(f"inline(array({rows}))").selectExpr("`column`", "rule", "cast(n_fail as bigint) as n_fail")
 
 
-def _counts(df: DataFrame, rs) -> DataFrame:
-    """One aggregate: one count per rule (Column form); unpivoted to long rows."""
-    aggs = [F.coalesce(F.sum((~F.coalesce(ok, F.lit(False))).cast("long")), F.lit(0)).alias(f"__r{i}")
-            for i, (_, _, ok) in enumerate(rs)]
-    one = df.agg(*aggs)
-    rows = [F.struct(F.lit(c).alias("column"), F.lit(r).alias("rule"), F.col(f"__r{i}").alias("n_fail"))
-            for i, (c, r, _) in enumerate(rs)]
-    return one.select(F.inline(F.array(*rows))).select(
-        "column", "rule", F.col("n_fail").cast("bigint").alias("n_fail"))
-
-
 def range_violations(df: DataFrame, which: str = "validator") -> DataFrame:
     """V3 / V9: (column, rule, n_fail) for every rule, in one pass."""
     return _counts_sql(df, rule_sql(df, which))
@@ -151,24 +131,35 @@ def failure_cases(df: DataFrame, limit: int = 20, which: str = "validator", key:
     return failing_cells(df, which, key).orderBy(key, "column", "rule").limit(limit)
 
 
+def missing_columns(df: DataFrame) -> list[str]:
+    """Required columns (label and all features) that the frame lacks."""
+    have = set(df.columns)
+    return [c for c in S.HIGGS_COLUMNS if c not in have]
+
+
 def summary(df: DataFrame, which: str = "validator", scope: str = "schema") -> DataFrame:
     """One-row summary: n_rows, n_cols, n_failures, passed, null_count, signal_fraction.
 
-    ``scope="all"`` also null-checks the columns outside the schema (what the
-    gate's pre-check does); ``"schema"`` checks the schema columns only.
+    ``scope="all"`` is the gate: required columns that are absent count as failures, the
+    columns outside the schema are checked for missing values and every floating column for
+    infinity; ``"schema"`` checks the schema columns only.
     """
     types = _types(df)
     rs = rule_sql(df, which)
     if scope == "all":
         known = {c for c, _, _ in rs}
         rs = rs + [(c, "not_nullable", f"not {_missing_sql(types, c)}") for c in types if c not in known]
+        bounded = {c for c, r, _ in rs if r == "no_inf"}
+        rs = rs + [(c, "no_inf", f"not {_inf_sql(types, c)}") for c, t in types.items()
+                   if isinstance(t, _FLOATING) and c not in bounded]
+    absent = len(missing_columns(df)) if scope == "all" else 0
     # one small counter per rule / column (lean generated code); they are added up on the one-row result
     aggs = [F.count(F.lit(1)).cast("bigint").alias("n_rows"),
             F.avg(F.col(S.LABEL).cast("double")).alias("signal_fraction")]
     aggs += [F.expr(f"coalesce(sum(cast(not coalesce({ok}, false) as bigint)), 0) as __f{i}") for i, (_, _, ok) in enumerate(rs)]
     aggs += [F.expr(f"coalesce(sum(cast({_missing_sql(types, c)} as bigint)), 0) as __m{i}") for i, c in enumerate(types)]
     raw = df.agg(*aggs)
-    fails = " + ".join(f"__f{i}" for i in range(len(rs))) or "0"
+    fails = " + ".join([f"__f{i}" for i in range(len(rs))] + [str(absent)])
     nulls = " + ".join(f"__m{i}" for i in range(len(types))) or "0"
     one = raw.selectExpr("n_rows", "signal_fraction", f"cast({fails} as bigint) as n_cell_failures",
                          f"cast({nulls} as bigint) as null_count")
@@ -202,7 +193,8 @@ def validate_gate(df: DataFrame, raise_on_failure: bool = True, which: str = "va
     if row["passed"]:
         return coerce(df)
     key = S.EVENT_ID if S.EVENT_ID in df.columns else df.columns[0]
-    first = [r.asDict() for r in failure_cases(df, log_limit, which, key).collect()]
+    first = [{"column": c, "rule": "required"} for c in missing_columns(df)][:log_limit]
+    first += [r.asDict() for r in failure_cases(df, log_limit - len(first), which, key).collect()]
     msg = f"validation failed: {row['n_failures']} failures; first: {first}"
     if raise_on_failure:
         raise ValidationError(msg, row, first)
