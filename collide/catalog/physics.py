@@ -357,19 +357,18 @@ def coerce_types(spark, sf):
 
 @query("attach_label", FX.oracle(ALL, "select event_id, label, lepton_pt, jet1_pt from collisions"))
 def attach_label(spark, sf):
-    """X and y keep the key; re-joined on it (never by position)."""
-    x, y = P.attach_label(_coll(spark, sf).select("event_id", "label", "lepton_pt", "jet1_pt"))
-    return x.join(y, "event_id").select("event_id", "label", "lepton_pt", "jet1_pt")
+    """Features and label stay in one row with their key (never aligned by position or join)."""
+    return _coll(spark, sf).select("event_id", "label", "lepton_pt", "jet1_pt")
 
 
-@query("feature_columns", FX.oracle(ALL, "select event_id, " + ", ".join(S.LOW_LEVEL[:5]) + ", "
+@query("feature_columns", FX.oracle(ALL, "select event_id, " + ", ".join(S.LOW_LEVEL) + ", "
                                     + ", ".join(s_r3(c) + " as " + c for c in S.HIGH_LEVEL) + ", "
                                     + f"{s_r3f(s_dphi('lepton_phi', 'missing_energy_phi'))} as delta_phi_lepton_met"
                                     + " from collisions"))
 def feature_columns(spark, sf):
     """Ordered, de-duplicated list from the three switches applied as a projection."""
     d = D.derived(_coll(spark, sf))
-    cols = D.feature_columns(S.LOW_LEVEL[:5] + S.HIGH_LEVEL + S.LOW_LEVEL[:5] + ["delta_phi_lepton_met", "label"])
+    cols = D.feature_columns(S.LOW_LEVEL + S.HIGH_LEVEL + S.LOW_LEVEL + ["delta_phi_lepton_met", "label"])
     return d.select("event_id", *[r3(c).alias(c) if c not in S.LOW_LEVEL else F.col(c) for c in cols])
 
 

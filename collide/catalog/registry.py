@@ -117,8 +117,10 @@ def params_log(spark, sf):
 
 
 @query("config_fingerprint", FX.oracle(RUNS, """
-select run_id, substr(sha256(model_name || '|' || cast(run_id as varchar) || '|'
-       || cast(cast(round(val_auc * 1e6) as bigint) as varchar)), 1, 12) as fingerprint from runs"""))
+select run_id, substr(sha256(coalesce(length(m) || ':' || m, '-1:') || coalesce(length(r) || ':' || r, '-1:')
+       || coalesce(length(a) || ':' || a, '-1:')), 1, 12) as fingerprint
+from (select run_id, model_name as m, cast(run_id as varchar) as r,
+             cast(cast(round(val_auc * 1e6) as bigint) as varchar) as a from runs)"""))
 def config_fingerprint(spark, sf):
     """Content hash of each run's config fields (sha256, first 12 hex digits)."""
     r = _runs(spark, sf)

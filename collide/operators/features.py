@@ -63,22 +63,12 @@ def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
 
 
 def fill(df: DataFrame, strategy: str = "median", group_cols=("split",), columns=None,
-         accuracy: int | None = None, exclude=(S.EVENT_ID, S.LABEL), exact: str = "distributed") -> DataFrame:
-    """Fill missing values per group with ``zero`` or the group's median.
-
-    Median = exact median of non-missing values (pandas skips NaN), computed
-    by the distributed exact quantile (``exact="distributed"``, default) or
-    Spark's ``median`` (``exact="percentile"``, one buffer per group: small
-    data only); ``accuracy`` switches to ``percentile_approx``.  The per-group
-    medians are one row per group, joined back with a broadcast.
-    """
+         exclude=(S.EVENT_ID, S.LABEL)) -> DataFrame:
+    """Fill missing values per group with ``zero`` or the group's exact median of non-missing values
+    (the distributed exact quantile; a group without any value keeps null).  Lazy: nothing runs here.
+    The medians are one row per group, joined back on it (null groups included)."""
     cols = list(columns) if columns is not None else numeric_columns(df, exclude)
     group_cols = [g for g in group_cols if g in df.columns]
-    if strategy == "median" and columns is None and cols:
-        # like the reference, only columns that have a missing value are filled: one bounded
-        # aggregate (a count per column) decides, so medians are computed only where needed
-        flags = df.select(*[F.sum(_missing(c).isNull().cast("long")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-        cols = [c for i, c in enumerate(cols) if flags[f"m{i}"]]
     if strategy == "zero":
         return df.withColumns({
             col: F.coalesce(_missing(col), F.lit(0.0)).cast(df.schema[col].dataType)
@@ -87,23 +77,22 @@ def fill(df: DataFrame, strategy: str = "median", group_cols=("split",), columns
         raise ValueError(f"unknown fill strategy {strategy!r}")
     if not cols:
         return df
-    key = group_cols or ["__fill_g"]
-    base = df if group_cols else df.withColumn("__fill_g", F.lit(0))
-
-    def med(col: str) -> Column:
-        x = _missing(col)
-        if accuracy is None:
-            return F.median(x)
-        return F.percentile_approx(x, 0.5, accuracy)
-    if accuracy is None and exact == "distributed":
-        from collide.operators.quantiles import quantile_wide
-        q = quantile_wide(base, cols, [0.5], key)
-        # groups where a column has no value at all get no quantile row: null median, as before
-        medians = base.select(*key).distinct().join(q, on=key, how="left").select(
-            *key, *[F.col(f"{col}__q1").alias(f"__med_{i}") for i, col in enumerate(cols)])
+    from collide.operators.quantiles import quantile_wide
+    # only columns with a missing value need medians: one count per column, inside the plan
+    counts = df.agg(*[F.sum(_missing(c).isNull().cast("long")).alias(f"m{i}") for i, c in enumerate(cols)])
+    holes = counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("m"))
+                                             for i, c in enumerate(cols)]))).where("m > 0").select("column")
+    q = quantile_wide(df, cols, [0.5], group_cols, wanted=holes)
+    medians = q.select(*[F.col(g).alias(f"__g_{g}") for g in group_cols],
+                       *[F.col(f"{col}__q1").alias(f"__med_{i}") for i, col in enumerate(cols)])
+    if group_cols:
+        on = None
+        for g in group_cols:
+            same = F.col(g).eqNullSafe(F.col(f"__g_{g}"))
+            on = same if on is None else on & same
+        joined = df.join(medians, on, "left")
     else:
-        medians = base.groupBy(*key).agg(*[med(col).alias(f"__med_{i}") for i, col in enumerate(cols)])
-    joined = base.join(F.broadcast(medians), on=key, how="left")
+        joined = df.join(F.broadcast(medians), F.lit(True), "left")  # one row
     out = joined.withColumns({
         col: F.coalesce(_missing(col), F.col(f"__med_{i}")).cast(df.schema[col].dataType)
         for i, col in enumerate(cols)})
@@ -135,10 +124,10 @@ def builder_feature_names(include_dataset_hl: bool = True, include_derived: bool
 
 def feature_matrix(df: DataFrame, fill_strategy: str = "median", split_col: str = "split",
                    include_low_level: bool = True, include_dataset_hl: bool = True,
-                   include_derived_hl: bool = True, accuracy: int | None = None) -> DataFrame:
+                   include_derived_hl: bool = True) -> DataFrame:
     """Derive -> fill per split -> order columns.  One plan for all splits."""
     d = derived(df, include_derived=include_derived_hl)
-    d = fill(d, fill_strategy, group_cols=(split_col,), accuracy=accuracy)
+    d = fill(d, fill_strategy, group_cols=(split_col,))
     feats = feature_columns(d.columns, include_low_level, include_dataset_hl, include_derived_hl)
     keys = [c for c in (S.EVENT_ID, split_col) if c in d.columns]
     return d.select(*keys, *feats, S.LABEL)

@@ -121,8 +121,7 @@ class ScalerModel:
 SCALERS = ("standard", "robust", "minmax", "none")
 
 
-def fit_params(train: DataFrame, columns: Sequence[str], method: str = "standard",
-               quantile_method: str = "distributed") -> DataFrame:
+def fit_params(train: DataFrame, columns: Sequence[str], method: str = "standard") -> DataFrame:
     """One-row DataFrame of fitted parameters: ``c__center`` and ``c__scale`` per column.
 
     standard: mean and population std (zero -> 1); robust: median and
@@ -134,7 +133,7 @@ def fit_params(train: DataFrame, columns: Sequence[str], method: str = "standard
         return train.sparkSession.range(1).select(F.lit(True).alias("none"))
     if method not in SCALERS:
         raise ValueError(f"Unknown normalization: {method}")
-    if method == "robust" and quantile_method == "distributed":
+    if method == "robust":
         # exact quartiles without a whole column in one aggregation buffer
         q = quantile_wide(train, cols, [0.25, 0.5, 0.75])
         out = []
@@ -148,8 +147,6 @@ def fit_params(train: DataFrame, columns: Sequence[str], method: str = "standard
         x = F.col(c).cast("double")
         if method == "standard":
             aggs += [F.avg(x).alias(f"{c}__center"), F.stddev_pop(x).alias(f"{c}__s")]
-        elif method == "robust":
-            aggs += [F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"{c}__q")]  # small data
         else:
             aggs += [F.min(x).alias(f"{c}__center"), F.max(x).alias(f"{c}__hi")]
     one = train.agg(*aggs)
@@ -158,10 +155,6 @@ def fit_params(train: DataFrame, columns: Sequence[str], method: str = "standard
         if method == "standard":
             s = F.col(f"{c}__s")
             out += [F.col(f"{c}__center"), F.when(s == 0, F.lit(1.0)).otherwise(s).alias(f"{c}__scale")]
-        elif method == "robust":
-            q = F.col(f"{c}__q")
-            iqr = q[2] - q[0]
-            out += [q[1].alias(f"{c}__center"), F.when(iqr == 0, F.lit(1.0)).otherwise(iqr).alias(f"{c}__scale")]
         else:
             r = F.col(f"{c}__hi") - F.col(f"{c}__center")
             out += [F.col(f"{c}__center"), F.when(r == 0, F.lit(1.0)).otherwise(r).alias(f"{c}__scale")]
@@ -195,8 +188,3 @@ def class_weights(df: DataFrame, label: str = S.LABEL) -> DataFrame:
     w = Window.partitionBy(F.lit(0))
     return counts.select(label, F.col("n_class").cast("bigint").alias("n_class"),
                          (F.sum("n_class").over(w) / (F.count(F.lit(1)).over(w) * F.col("n_class"))).alias("weight"))
-
-
-def with_class_weight(df: DataFrame, label: str = S.LABEL, out: str = "weight") -> DataFrame:
-    """Attach the balanced weight as a column (one row per class broadcast back)."""
-    return df.join(F.broadcast(class_weights(df, label).select(label, F.col("weight").alias(out))), label, "left")

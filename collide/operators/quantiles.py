@@ -9,8 +9,10 @@ in one aggregation buffer, which cannot hold at scale.  Here:
 2. a running count over that histogram finds, for each wanted rank, the one
    bucket that holds it;
 3. only the rows of those few buckets are re-read and counted per distinct
-   value (map-side combine, so a value repeated a billion times is one row),
-   and the exact value at the rank is picked;
+   value (map-side combine, so a value repeated a billion times is one row);
+   FLOAT values of a bucket are ranked at once (at most 2^15 of them), the
+   remaining mantissa bits of DOUBLE values in digits of at most 16 bits, with a
+   running count per level, until a path holds one value;
 4. the result interpolates linearly between ranks floor(p(n-1)) and
    ceil(p(n-1)), exactly as ``percentile`` does.
 
@@ -21,8 +23,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from collide.operators.prefix import monotone_bucket
 
@@ -35,12 +38,31 @@ def long_values(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str]
     return long.where(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
+def _digits(v: Column, bits: int) -> dict[str, Column]:
+    """The mantissa bits below the bucket, as digits of at most 16 bits that rise with ``v`` inside a bucket."""
+    ax = F.abs(v)
+    f = ax / F.pow(F.lit(2.0), F.floor(F.log2(ax))) - F.lit(1.0)
+    plain = (ax > 0) & (ax < F.lit(float("inf")))
+    edges = [*range(bits, 52, 16), 52]
+    out = {}
+    for i, (hi, lo) in enumerate(zip(edges, edges[1:])):
+        width = 2 ** (lo - hi)
+        d = F.floor(f * F.lit(2.0 ** lo)) - F.floor(f * F.lit(2.0 ** hi)) * F.lit(width)
+        out[f"d{i}"] = F.when(plain, F.when(v < 0, F.lit(width - 1) - d).otherwise(d)).otherwise(F.lit(0))
+    return out
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    group_cols: Sequence[str] = (), bits: int = 8) -> DataFrame:
-    """(group..., column, p, value): exact, linearly interpolated quantiles per group and column."""
+                    group_cols: Sequence[str] = (), bits: int = 8, wanted: DataFrame | None = None) -> DataFrame:
+    """(group..., column, p, value): exact, linearly interpolated quantiles per group and column.
+
+    ``wanted`` (one ``column`` name per row) leaves out the other columns before the first shuffle."""
     g = list(group_cols)
     k = [*g, "column"]
-    long = long_values(df, columns, g).withColumn("b", monotone_bucket(F.col("v"), bits))
+    long = long_values(df, columns, g)
+    if wanted is not None:
+        long = long.join(F.broadcast(wanted), "column", "left_semi")  # at most one row per column
+    long = long.withColumn("b", monotone_bucket(F.col("v"), bits))
     hist = long.groupBy(*k, "b").agg(F.count(F.lit(1)).alias("cnt"))
     w_prev = Window.partitionBy(*k).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     hist = hist.select(*k, "b", "cnt", F.coalesce(F.sum("cnt").over(w_prev), F.lit(0)).alias("before"),
@@ -48,22 +70,33 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     # wanted ranks (0-based) per (group, column, p): floor and ceil of p * (n - 1)
     ps = F.array(*[F.lit(float(p)) for p in probs])
     sizes = hist.select(*k, "n").distinct()
-    wanted = sizes.select(*k, "n", F.explode(ps).alias("p")) \
+    ranks = sizes.select(*k, "n", F.explode(ps).alias("p")) \
         .withColumn("pos", F.col("p") * (F.col("n") - 1).cast("double")) \
         .select(*k, "n", "p", "pos", F.explode(F.array(F.floor("pos").cast("long"), F.ceil("pos").cast("long")))
                 .alias("r")).distinct()
     # the bucket holding each wanted rank: equi-join on the key, range condition on the bucket's counts
-    tb = wanted.join(hist.select(*k, "b", "cnt", "before"), on=k) \
+    tb = ranks.join(hist.select(*k, "b", "cnt", "before"), on=k) \
         .where((F.col("r") >= F.col("before")) & (F.col("r") < F.col("before") + F.col("cnt"))) \
         .select(*k, "p", "pos", "r", "b", (F.col("r") - F.col("before")).alias("r_in"))
     # only rows of the target buckets; one row per distinct value (map-side combined)
     targets = tb.select(*k, "b").distinct()
-    vals = long.join(F.broadcast(targets), on=[*k, "b"]).groupBy(*k, "b", "v").agg(F.count(F.lit(1)).alias("m"))
-    w_v = Window.partitionBy(*k, "b").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    vals = vals.select(*k, "b", "v", "m", F.coalesce(F.sum("m").over(w_v), F.lit(0)).alias("vb"))
-    at = tb.join(vals, on=[*k, "b"]) \
-        .where((F.col("r_in") >= F.col("vb")) & (F.col("r_in") < F.col("vb") + F.col("m"))) \
-        .select(*k, "p", "pos", "r", "v")
+    targets = targets if g else F.broadcast(targets)  # columns x probabilities without groups
+    vals = long.join(targets, on=[*k, "b"]).groupBy(*k, "b", "v").agg(F.count(F.lit(1)).alias("m"))
+    narrow = all(isinstance(df.schema[c].dataType, T.FloatType) for c in columns)
+    # a bucket holds at most 2^(23 - bits) FLOAT values, so their order is one bounded level; DOUBLE
+    # values are narrowed by digits first
+    digits = {"v0": F.col("v")} if narrow else _digits(F.col("v"), bits)
+    vals = vals.withColumns(digits)
+    path = ["b"]
+    for d in digits:  # each level has at most 2^16 digits, so no window grows with the data
+        cnt = vals.groupBy(*k, *path, d).agg(F.sum("m").alias("c"))
+        w_d = Window.partitionBy(*k, *path).orderBy(d).rowsBetween(Window.unboundedPreceding, -1)
+        cnt = cnt.select(*k, *path, d, "c", F.coalesce(F.sum("c").over(w_d), F.lit(0)).alias("vb"))
+        tb = tb.join(cnt, on=[*k, *path]) \
+            .where((F.col("r_in") >= F.col("vb")) & (F.col("r_in") < F.col("vb") + F.col("c"))) \
+            .select(*k, "p", "pos", "r", *path, d, (F.col("r_in") - F.col("vb")).alias("r_in"))
+        path.append(d)
+    at = tb.join(vals.groupBy(*k, *path).agg(F.min("v").alias("v")), on=[*k, *path]).select(*k, "p", "pos", "r", "v")
     lo = at.where(F.col("r") == F.floor("pos")).select(*k, "p", "pos", F.col("v").alias("lo"))
     hi = at.where(F.col("r") == F.ceil("pos")).select(*k, "p", F.col("v").alias("hi"))
     q = lo.join(hi, on=[*k, "p"])
@@ -73,10 +106,10 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
 
 
 def quantile_wide(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                  group_cols: Sequence[str] = (), bits: int = 8) -> DataFrame:
+                  group_cols: Sequence[str] = (), bits: int = 8, wanted: DataFrame | None = None) -> DataFrame:
     """One row per group with ``<column>__q<i>`` for each prob index i (bounded: columns x probs)."""
     g = list(group_cols)
-    q = exact_quantiles(df, columns, probs, g, bits)
+    q = exact_quantiles(df, columns, probs, g, bits, wanted)
     key = F.concat(F.col("column"), F.lit("__q"),
                    F.array_position(F.array(*[F.lit(float(p)) for p in probs]), F.col("p")).cast("string"))
     names = [f"{c}__q{i + 1}" for c in columns for i in range(len(probs))]

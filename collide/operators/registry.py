@@ -9,7 +9,7 @@ model's time-ordered runs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PROMOTION_AUC_DELTA = 0.005
@@ -32,6 +32,12 @@ def promotion_fold(runs: DataFrame, delta: float = PROMOTION_AUC_DELTA) -> DataF
     """In registration order the first run is promoted; a later run is promoted when
     val_auc - production_auc >= delta.  Per model: final production run, its val_auc and
     the number of promotions."""
+    # the margin is positive, so only a run above every earlier one can be promoted; the running
+    # maximum streams over sorted rows, and the fold sees these strict maxima alone
+    if delta <= 0:
+        raise ValueError("the promotion margin must be positive")
+    earlier = Window.partitionBy("model_name").orderBy("registered_at", "run_id").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("__top", F.max(_auc()).over(earlier)).where(F.col("__top").isNull() | (_auc() > F.col("__top")))
     ordered = F.array_sort(F.collect_list(F.struct(F.col("registered_at").alias("t"), F.col("run_id").alias("r"),
                                                    _auc().alias("a"))))
     init = F.struct(F.lit(None).cast(runs.schema["run_id"].dataType).alias("run_id"),
@@ -99,5 +105,8 @@ def params_long(df: DataFrame, key: str, params: dict[str, Column], max_len: int
 
 
 def config_fingerprint(*cols: Column, n: int = 12) -> Column:
-    """S8 (SQL twin): first n hex digits of sha256 over the '|'-joined stringified fields."""
-    return F.substring(F.sha2(F.concat_ws("|", *[c.cast("string") for c in cols]), 256), 1, n)
+    """S8 (SQL twin): first n hex digits of sha256 over the fields as length:value (null: -1:), so that no two
+    different rows of fields give one text."""
+    text = [F.coalesce(F.concat(F.length(c.cast("string")).cast("string"), F.lit(":"), c.cast("string")), F.lit("-1:"))
+            for c in cols]
+    return F.substring(F.sha2(F.concat(*text), 256), 1, n)

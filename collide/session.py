@@ -56,6 +56,8 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
+            if not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
             base = tempfile.mkdtemp(prefix="collide-ckpt-")
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base

@@ -13,7 +13,7 @@ import hashlib
 import json
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,7 +54,7 @@ def read_json_marker(spark: SparkSession, path: str) -> dict:
 # --------------------------------------------------------------------------- S1-S3 CSV scans
 def event_schema(with_id: bool = True, feature_set: str = "all") -> T.StructType:
     fields = [T.StructField(S.EVENT_ID, T.LongType(), False)] if with_id else []
-    fields += [T.StructField(S.LABEL, T.IntegerType(), False)]
+    fields += [T.StructField(S.LABEL, T.DoubleType(), False)]  # files may write the label as a float
     fields += [T.StructField(c, T.FloatType(), True) for c in S.FEATURE_SETS[feature_set]]
     return T.StructType(fields)
 
@@ -72,8 +72,10 @@ def read_events_csv(spark: SparkSession, path: str, with_id: bool = True, featur
                     header: bool | None = None, partitions: int | None = None) -> DataFrame:
     """CSV (plain or .gz) with an explicit schema and FAILFAST; names imposed without header.
 
+    The label is read as a number and cast; a fractional label fails the read.  Without an id
+    column (``with_id=False``) every row gets a stable ``event_id`` from its content and, among
+    rows with one content (which are interchangeable), a counter -- independent of partitioning.
     Gzip is not splittable: pass ``partitions`` to spread the rows right after the scan.
-    The feature set is a projection that Catalyst prunes into the scan.
     """
     if header is None:
         header = has_header(spark, path)
@@ -81,8 +83,14 @@ def read_events_csv(spark: SparkSession, path: str, with_id: bool = True, featur
           .csv(path))
     if partitions:
         df = df.repartition(partitions)
-    keys = [S.EVENT_ID] if with_id else []
-    return df.select(*keys, *S.feature_set(feature_set))
+    label = F.when(F.col(S.LABEL) == F.floor(S.LABEL), F.col(S.LABEL).cast("int")).when(
+        F.col(S.LABEL).isNotNull(), F.raise_error(F.concat(F.lit("label is no integer: "), F.col(S.LABEL).cast("string"))).cast("int"))
+    if not with_id:
+        whole = F.xxhash64(*[F.col(c) for c in df.columns])
+        same = Window.partitionBy("__content").orderBy("__content")
+        df = (df.withColumn("__content", whole).withColumn("__copy", F.row_number().over(same))
+              .withColumn(S.EVENT_ID, F.xxhash64("__content", "__copy")))
+    return df.withColumn(S.LABEL, label).select(S.EVENT_ID, *S.feature_set(feature_set))
 
 
 def write_events_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
