@@ -170,9 +170,15 @@ def summary(df: DataFrame, which: str = "validator", scope: str = "schema") -> D
                           f"(n_cell_failures + {ds}) = 0 as passed", "null_count", "signal_fraction")
 
 
-def validation_report(df: DataFrame, which: str = "validator") -> DataFrame:
-    """V8: non-raising one-row report (n_rows, n_cols, passed, n_failures, null_count, signal_fraction)."""
-    return summary(df, which, scope="schema")
+def validation_report(df: DataFrame, which: str = "validator", details: int = 0, key: str = S.EVENT_ID) -> DataFrame:
+    """V8: non-raising one-row report (n_rows, n_cols, passed, n_failures, null_count, signal_fraction);
+    with ``details`` also the first so many failing cells as an array."""
+    one = summary(df, which, scope="schema")
+    if not details:
+        return one
+    cells = failure_cases(df, details, which, key).agg(F.array_sort(F.collect_list(F.struct(
+        key, "column", "rule", "value"))).alias("details"))  # at most ``details`` cells
+    return one.join(F.broadcast(cells), F.lit(True), "left")
 
 
 def coerce(df: DataFrame) -> DataFrame:

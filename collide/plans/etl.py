@@ -13,13 +13,21 @@ import hashlib
 import json
 from dataclasses import asdict, dataclass, fields
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from collide import schema as S
 from collide.operators import cuts as C
 from collide.operators import prepare as T
 from collide.operators import validate as V
+from collide.sources import io as IO
+
+
+# Sections and names of the nested settings shape.
+_SECTIONS = ("data", "higgs", "quality_cuts", "preprocessing", "split")
+_RENAMED = {("quality_cuts", "apply"): "apply_quality_cuts", ("split", "train"): "train_frac",
+            ("split", "val"): "val_frac", ("split", "test"): "test_frac", ("split", "stratify"): "exact_split",
+            ("higgs", "n_samples_dev"): "n_samples", ("higgs", "n_samples"): "n_samples_full"}
 
 
 @dataclass(frozen=True)
@@ -44,15 +52,27 @@ class ETLConfig:
 
     @staticmethod
     def from_dict(d: dict) -> ETLConfig:
-        """Flat or nested (``data``, ``quality_cuts``, ``preprocessing``, ``split``) settings with defaults."""
-        flat: dict = {}
-        for k, v in d.items():
-            if isinstance(v, dict):
-                flat.update(v)
-            else:
-                flat[k] = v
+        """Flat field names, or nested settings of any depth (``data.quality_cuts.lepton_pt_min``,
+        ``data.split.train``, ...).  Sections of other parts of a system file are skipped; a name
+        that is unknown inside the ETL sections raises."""
         names = {f.name for f in fields(ETLConfig)}
-        return ETLConfig(**{k: v for k, v in flat.items() if k in names})
+        found: dict = {}
+
+        def take(node: dict, section: str) -> None:
+            for k, v in node.items():
+                if isinstance(v, dict):
+                    if k in _SECTIONS:
+                        take(v, k)
+                    elif section:
+                        raise ValueError(f"unknown section {k!r} in the settings")
+                    continue
+                name = _RENAMED.get((section, k), k)
+                if name in names:
+                    found[name] = v
+                elif section != "higgs":
+                    raise ValueError(f"unknown setting {k!r} in section {section or 'top level'!r}")
+        take(d, "")
+        return ETLConfig(**found)
 
     def config_hash(self, n: int = 10) -> str:
         """sha256 of the sorted JSON of stringified fields, first n hex digits."""
@@ -97,6 +117,16 @@ def etl(df: DataFrame, cfg: ETLConfig = ETLConfig(), return_scaler: bool = False
     return (out, scaler) if return_scaler else out
 
 
+def run(spark: SparkSession, df: DataFrame, root: str, cfg: ETLConfig = ETLConfig(), force: bool = False) -> str:
+    """X1 as one entry point: run the flow and store its splits under the hash of the settings; a version
+    that is there already is kept unless ``force``.  Returns the version."""
+    version = cfg.config_hash()
+    if force or not IO.version_exists(spark, root, version):
+        out, scaler = etl(df, cfg, return_scaler=True)
+        IO.write_splits(spark, out, root, version, scaler, {"config": asdict(cfg)})
+    return version
+
+
 def describe(df: DataFrame, columns, decimals: int = 3) -> DataFrame:
     """A1: per column count, mean, sample std, min, exact quartiles, max, rounded.
 

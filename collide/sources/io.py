@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import json
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -47,6 +48,24 @@ def write_json_marker(spark: SparkSession, path: str, meta: dict) -> None:
         .coalesce(1).write.mode("overwrite").text(path)
 
 
+def marker_exists(spark: SparkSession, path: str) -> bool:
+    """A marker counts once its write is committed, not as soon as its folder appears."""
+    return exists(spark, f"{path}/_SUCCESS")
+
+
+def commit_data(spark: SparkSession, df: DataFrame, base: str, meta: dict, partition_by: str | None = None) -> None:
+    """Write ``df`` to a new folder under ``base``, then point the marker at it: a reader sees the old
+    version or the new one, never a half-written one."""
+    data = f"data-{uuid.uuid4().hex[:12]}"
+    w = df.write.partitionBy(partition_by) if partition_by else df.write
+    w.parquet(f"{base}/{data}")
+    write_json_marker(spark, f"{base}/_meta", {**meta, "data": data})
+
+
+def committed_data(spark: SparkSession, base: str) -> DataFrame:
+    return spark.read.parquet(f"{base}/{read_json_marker(spark, f'{base}/_meta')['data']}")
+
+
 def read_json_marker(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path).first()["value"])
 
@@ -119,37 +138,42 @@ def cached_read(spark: SparkSession, cache_dir: str, build, **params) -> tuple[D
     key = cache_key(**params)
     path = f"{cache_dir.rstrip('/')}/{key}"
     marker = f"{path}/_meta"
-    if exists(spark, marker):
-        return spark.read.parquet(f"{path}/data"), True
-    build().write.mode("overwrite").parquet(f"{path}/data")
-    write_json_marker(spark, marker, {"key": key, **{k: str(v) for k, v in params.items()}})
-    return spark.read.parquet(f"{path}/data"), False
+    if marker_exists(spark, marker):
+        return committed_data(spark, path), True
+    commit_data(spark, build(), path, {"key": key, **{k: str(v) for k, v in params.items()}})
+    return committed_data(spark, path), False
 
 
 # --------------------------------------------------------------------------- S5/S6 split store
 def write_splits(spark: SparkSession, df: DataFrame, root: str, version: str,
                  scaler: P.ScalerModel | None = None, meta: dict | None = None) -> str:
-    """``<root>/<version>/data/split=...`` + metadata (scaler included, Q11) + ``latest`` pointer."""
+    """``<root>/<version>/data-.../split=...`` + metadata (scaler included, Q11) + ``latest`` pointer."""
     base = f"{root.rstrip('/')}/{version}"
-    df.write.mode("overwrite").partitionBy("split").parquet(f"{base}/data")
     m = {"version": version, "created_at": time.time(), **(meta or {})}
     if scaler is not None:
         m["scaler"] = scaler.to_json()
-    write_json_marker(spark, f"{base}/_meta", m)
+    commit_data(spark, df, base, m, "split")
     write_json_marker(spark, f"{root.rstrip('/')}/latest", {"version": version})
     return base
 
 
 def version_exists(spark: SparkSession, root: str, version: str) -> bool:
     """A version exists only once its metadata marker is written."""
-    return exists(spark, f"{root.rstrip('/')}/{version}/_meta")
+    return marker_exists(spark, f"{root.rstrip('/')}/{version}/_meta")
+
 
+def latest_version(spark: SparkSession, root: str) -> str | None:
+    """The version that was written last."""
+    path = f"{root.rstrip('/')}/latest"
+    return read_json_marker(spark, path)["version"] if marker_exists(spark, path) else None
 
-def read_split(spark: SparkSession, root: str, version: str, split: str | None = None) -> DataFrame:
-    """Reload; a ``split`` filter prunes partitions at the scan."""
-    if not version_exists(spark, root, version):
+
+def read_split(spark: SparkSession, root: str, version: str | None = None, split: str | None = None) -> DataFrame:
+    """Reload a version (default: the latest); a ``split`` filter prunes partitions at the scan."""
+    version = version or latest_version(spark, root)
+    if version is None or not version_exists(spark, root, version):
         raise FileNotFoundError(f"version {version} not found under {root}")
-    df = spark.read.parquet(f"{root.rstrip('/')}/{version}/data")
+    df = committed_data(spark, f"{root.rstrip('/')}/{version}")
     return df if split is None else df.filter(F.col("split") == split)
 
 
@@ -172,22 +196,19 @@ def build_feature_store(spark: SparkSession, splits: DataFrame, root: str, etl_v
     version = feature_version(etl_version, cfg)
     fm = D.feature_matrix(splits, fill_strategy, **switches)
     base = f"{root.rstrip('/')}/{version}"
-    fm.write.mode("overwrite").partitionBy("split").parquet(f"{base}/data")
-    write_json_marker(spark, f"{base}/_meta", {"version": version, "etl_version": etl_version,
-                                               "created_at": time.time(), "columns": fm.columns, **cfg})
+    commit_data(spark, fm, base, {"version": version, "etl_version": etl_version, "created_at": time.time(),
+                                  "columns": fm.columns, **cfg}, "split")
     return version
 
 
 def newest_version(spark: SparkSession, root: str) -> str | None:
     """Newest built version by its stored ``created_at`` (not by file times, Q15)."""
-    best = None
-    for d in list_dirs(spark, root):
-        marker = f"{d}/_meta"
-        if exists(spark, marker):
-            m = read_json_marker(spark, marker)
-            if best is None or float(m["created_at"]) > best[0]:
-                best = (float(m["created_at"]), m["version"])
-    return best[1] if best else None
+    markers = [f"{d}/_meta" for d in list_dirs(spark, root) if marker_exists(spark, f"{d}/_meta")]
+    if not markers:
+        return None
+    m = F.from_json("value", "version string, created_at double")  # all markers in one scan
+    top = spark.read.text(markers).select(F.max_by(m["version"], m["created_at"]).alias("v")).first()
+    return top["v"]
 
 
 def load_features(spark: SparkSession, root: str, split: str, version: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -195,7 +216,7 @@ def load_features(spark: SparkSession, root: str, split: str, version: str | Non
     version = version or newest_version(spark, root)
     if version is None or not version_exists(spark, root, version):
         raise FileNotFoundError(f"feature store version {version!r} not found under {root}")
-    df = spark.read.parquet(f"{root.rstrip('/')}/{version}/data").filter(F.col("split") == split)
+    df = committed_data(spark, f"{root.rstrip('/')}/{version}").filter(F.col("split") == split)
     return df.drop(S.LABEL), df.select(S.EVENT_ID, S.LABEL)
 
 
