@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,17 +89,25 @@ def word_spans(texts: list[bytes], space: np.ndarray = _SPACE):
     return buf, starts, ends, doc, np.bincount(doc, minlength=len(texts))
 
 
+_MASK = np.array([(1 << (8 * k)) - 1 for k in range(9)], _U)
+
+
 def span_bytes_hash(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
-    """64-bit hash of the bytes of each span (no empty spans): a polynomial mod 2**64 and a finaliser."""
+    """64-bit hash of the bytes of each span (no empty spans), eight bytes at a step."""
     if not len(starts):
         return np.zeros(0, _U)
-    size = ends - starts
-    first = np.cumsum(size) - size
-    place = np.arange(int(size.sum())) - np.repeat(first, size)
-    byte = buf[np.repeat(starts, size) + place]
-    val = (_LOWER[byte] if lower else byte).astype(_U) + _U(1)
-    val *= _powers(int(size.max()) + 1)[place]
-    return mix(np.add.reduceat(val, first) + size.astype(_U))
+    padded = np.zeros(len(buf) + 8, np.uint8)
+    padded[:len(buf)] = _LOWER[buf] if lower else buf
+    eight = np.lib.stride_tricks.as_strided(padded[:8].view(_U), (len(buf),), (1,), writeable=False)
+    left = ends - starts
+    h = mix((eight[starts] & _MASK[np.minimum(left, 8)]) + left.astype(_U) * _ODD)
+    far, at = np.flatnonzero(left > 8), 8
+    while len(far):
+        rest = left[far] - at
+        h[far] = mix(h[far] * _ODD + (eight[starts[far] + at] & _MASK[np.minimum(rest, 8)]))
+        at += 8
+        far = far[left[far] > at]
+    return h
 
 
 def word_hashes(texts: list[bytes], lower: bool = True):
@@ -119,25 +128,28 @@ def shingle_hashes(h: np.ndarray, doc: np.ndarray, n_words: np.ndarray, k: int):
     n = len(h) - k + 1
     if n > 0:
         same = doc[:n] == doc[k - 1:]
-        acc = np.zeros(n, _U)
-        for i in range(k):
-            acc = mix(acc * _ODD + h[i:n + i])
-        out.append(acc[same])
+        acc = h[:n].copy()
+        for i in range(1, k):
+            acc *= _ODD
+            acc += h[i:n + i]
+        out.append(mix(acc[same]))
         at.append(doc[:n][same])
     for d in np.flatnonzero((n_words > 0) & (n_words < k)):
         acc = np.zeros(1, _U)
         for i in range(n_words[d]):
-            acc = mix(acc * _ODD + h[first[d] + i])
-        out.append(mix(acc + _U(n_words[d])))
+            acc = acc * _ODD + h[first[d] + i]
+        out.append(mix(mix(acc) + _U(n_words[d])))
         at.append(np.full(1, d))
     if not out:
         return np.zeros(0, _U), np.zeros(0, np.int64)
     s, d = np.concatenate(out), np.concatenate(at).astype(np.int64)
+    if len(out) == 1:
+        return s, d
     order = np.argsort(d, kind="stable")
     return s[order], d[order]
 
 
-def slices(texts: list[bytes], budget: int = 4 << 20):
+def slices(texts: list[bytes], budget: int = 1 << 20):
     """Cut a batch into runs of texts of about ``budget`` bytes (a longer text is a run of its
     own), so that working arrays stay small whatever the batch holds."""
     lo = size = 0
@@ -152,8 +164,9 @@ def slices(texts: list[bytes], budget: int = 4 << 20):
 
 def as_bytes(column) -> list[bytes]:
     """An Arrow or pandas string column as UTF-8 bytes; null is empty."""
-    values = column.to_pylist() if hasattr(column, "to_pylist") else column
-    return [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in values]
+    if isinstance(column, pa.Array):
+        return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
+    return [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in column]
 
 
 def connected_components(edges: DataFrame, a: str, b: str, name: str = "cc") -> DataFrame:

@@ -18,7 +18,8 @@ and their prefixes longer by l - 1 tokens share l tokens.  The steps, all exact:
    size by t at most) and by hash; a pair that shares a prefix token under every order is
    checked by its exact intersection.  Blocks return a spanning forest of their links.
 
-Set fingerprints have 64 bits (n documents: chance n * n / 2**65 of one false match).
+Tokens are 48-bit hashes (two sets of n tokens: chance n * n / 2**48 that one token matches
+wrongly), set fingerprints have 64 bits (n documents: chance n * n / 2**65 of one false match).
 
 Defined results: text is lower-cased in A-Z; a text of fewer than k words is one shingle; null and
 wordless texts have an empty set and are linked with nothing; a null key is its own component
@@ -31,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,11 +59,11 @@ def token_sets(raw: list[bytes], k: int):
     """(tokens ascending per text, text of each token, set size per text, fingerprint per text)."""
     h, doc, words = word_hashes(raw)
     s, d = shingle_hashes(h, doc, words, k)
-    order = np.lexsort((s, d))
-    s, d = s[order], d[order]
-    if len(s):
-        first = np.concatenate([[True], (s[1:] != s[:-1]) | (d[1:] != d[:-1])])
-        s, d = s[first], d[first]
+    # one sort: the number of the text above the leading 48 bits of the token
+    both = np.sort((d.astype(_U) << _U(48)) | (s >> _U(16)))
+    if len(both):
+        both = both[np.concatenate([[True], both[1:] != both[:-1]])]
+    s, d = both << _U(16), (both >> _U(48)).astype(np.int64)
     n = np.bincount(d, minlength=len(raw))
     end = np.concatenate([np.zeros(1, _U), np.cumsum(mix(s ^ _U(0xA5A5A5A5A5A5A5A5)), dtype=_U)])
     stop = np.cumsum(n)
@@ -74,14 +76,20 @@ def _short(tokens: np.ndarray) -> np.ndarray:
 
 
 def _sets_of(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("t"))
+    return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("t"))
 
 
-def _each(it: Iterator[pd.DataFrame], k: int):
-    for pdf in it:
-        raw, keys = as_bytes(pdf["t"]), pdf["key"].astype("Int64")
+def _each(it: Iterator[pa.RecordBatch], k: int):
+    for batch in it:
+        raw = as_bytes(batch.column(1))
         for lo, hi in slices(raw):
-            yield keys.iloc[lo:hi], token_sets(raw[lo:hi], k)
+            for a in range(lo, hi, 1 << 16):  # token_sets numbers texts in 16 bits
+                b = min(hi, a + (1 << 16))
+                yield batch.column(0).slice(a, b - a), token_sets(raw[a:b], k)
+
+
+def _rows(**columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({k: v if isinstance(v, pa.Array) else pa.array(v, pa.int64()) for k, v in columns.items()})
 
 
 def _long_prefix(s, d, n, fp, percent: int, once: bool):
@@ -104,16 +112,16 @@ def _survivors(base: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFr
     """(sid, fp, n, rep): sets that step 1 leaves, each with one document that holds it."""
     def tokens(it):
         for _, (s, d, n, fp) in _each(it, k):
-            yield pd.DataFrame({"tok": _short(s[_long_prefix(s, d, n, fp, percent, True)])})
+            yield _rows(tok=_short(s[_long_prefix(s, d, n, fp, percent, True)]))
 
     def pairs(it):
         for _, (s, d, n, fp) in _each(it, k):
             m = _long_prefix(s, d, n, fp, percent, True)
-            yield pd.DataFrame({"tok": _short(s[m]), "fp": fp[d[m]]})
+            yield _rows(tok=_short(s[m]), fp=fp[d[m]])
 
-    live = staged(base.mapInPandas(tokens, "tok long").groupBy("tok").agg(F.count(F.lit(1)).alias("c"))
+    live = staged(base.mapInArrow(tokens, "tok long").groupBy("tok").agg(F.count(F.lit(1)).alias("c"))
                   .where("c > 1").select("tok"), "jac-live")
-    met = (base.mapInPandas(pairs, "tok long, fp long").join(_small(live), "tok", "left_semi")
+    met = (base.mapInArrow(pairs, "tok long, fp long").join(_small(live), "tok", "left_semi")
            .groupBy("fp").agg(F.count(F.lit(1)).alias("c")))
     one = sets.where("n > 0").groupBy("fp").agg(F.min("key").alias("rep"), F.max("n").alias("n"))
     # a partner has at least ceil(t * n) tokens, and its long prefix may be that much shorter
@@ -127,11 +135,11 @@ def _bodies(base: DataFrame, survivors: DataFrame, k: int) -> DataFrame:
     """(sid, n, toks) of the surviving sets, from the one document that stands for each."""
     def bodies(it):
         for keys, (s, d, n, fp) in _each(it, k):
-            stop = np.cumsum(n)
-            toks = [s[b - c:b].view(np.int64) for b, c in zip(stop.tolist(), n.tolist())]
-            yield pd.DataFrame({"key": keys.to_numpy(dtype=object), "fp": fp, "toks": toks})[n > 0]
+            offsets = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
+            toks = pa.ListArray.from_arrays(offsets, pa.array(s.view(np.int64), pa.int64()))
+            yield _rows(key=keys, fp=fp, toks=toks)
 
-    wide = base.mapInPandas(bodies, "key long, fp long, toks array<long>")
+    wide = base.mapInArrow(bodies, "key long, fp long, toks array<long>")
     own = _small(survivors.select("sid", "fp", "n", "rep"))
     return staged(wide.join(own, "fp").where(F.col("key").eqNullSafe(F.col("rep"))).select("sid", "n", "toks"), "jac-bodies")
 
@@ -304,9 +312,9 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int
 
     def narrow(it):
         for keys, (_, _, n, fp) in _each(it, k):
-            yield pd.DataFrame({"key": keys.to_numpy(dtype=object), "fp": fp, "n": n})
+            yield _rows(key=keys, fp=fp, n=n)
 
-    sets = staged(base.mapInPandas(narrow, "key long, fp long, n long"), "jac-docs")
+    sets = staged(base.mapInArrow(narrow, "key long, fp long, n long"), "jac-docs")
     left = _survivors(base, sets, k, percent)
     bodies = _bodies(base, left, k)
     prefixes = _prefixes(bodies, percent, orders)
@@ -325,7 +333,10 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80,
                  orders: int = ORDERS) -> DataFrame:
-    """``docs`` with one document of each group of linked documents: the one with the smallest key."""
-    keep = components(docs, key, text, k, percent, orders).where(F.col(key).eqNullSafe(F.col("component_id"))).select(
-        F.col(key).alias("__keep")).distinct()
-    return docs.join(staged(keep, "jac-keep"), F.col(key).eqNullSafe(F.col("__keep")), "left_semi")
+    """``docs`` with one document of each group of linked documents: the one with the smallest key.
+
+    Rows without a key cannot be told apart and stay; rows that repeat the smallest key stay with it."""
+    found = components(docs, key, text, k, percent, orders)
+    gone = staged(found.where(F.col(key).isNotNull() & (F.col("component_id") != F.col(key)))
+                  .select(F.col(key).alias("__gone")).distinct(), "jac-gone")
+    return docs.join(_small(gone), F.col(key) == F.col("__gone"), "left_anti")
