@@ -121,7 +121,7 @@ def _survivors(base: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFr
 
     live = staged(base.mapInArrow(tokens, "tok long").groupBy("tok").agg(F.count(F.lit(1)).alias("c"))
                   .where("c > 1").select("tok"), "jac-live")
-    met = (base.mapInArrow(pairs, "tok long, fp long").join(_small(live), "tok", "left_semi")
+    met = (base.mapInArrow(pairs, "tok long, fp long").join(live, "tok", "left_semi")
            .groupBy("fp").agg(F.count(F.lit(1)).alias("c")))
     one = sets.where("n > 0").groupBy("fp").agg(F.min("key").alias("rep"), F.max("n").alias("n"))
     # a partner has at least ceil(t * n) tokens, and its long prefix may be that much shorter
@@ -132,16 +132,21 @@ def _survivors(base: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFr
 
 
 def _bodies(base: DataFrame, survivors: DataFrame, k: int) -> DataFrame:
-    """(sid, n, toks) of the surviving sets, from the one document that stands for each."""
+    """(sid, n, toks) of the surviving sets, from the one document that stands for each.
+
+    The documents are picked by key first, so only their texts are read into tokens (and, where
+    the keys are too many to broadcast, only texts are shuffled)."""
     def bodies(it):
         for keys, (s, d, n, fp) in _each(it, k):
             offsets = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
             toks = pa.ListArray.from_arrays(offsets, pa.array(s.view(np.int64), pa.int64()))
             yield _rows(key=keys, fp=fp, toks=toks)
 
-    wide = base.mapInArrow(bodies, "key long, fp long, toks array<long>")
-    own = _small(survivors.select("sid", "fp", "n", "rep"))
-    return staged(wide.join(own, "fp").where(F.col("key").eqNullSafe(F.col("rep"))).select("sid", "n", "toks"), "jac-bodies")
+    reps = _small(staged(survivors.select("rep").distinct(), "jac-reps"))
+    wide = base.join(reps, F.col("key").eqNullSafe(F.col("rep")), "left_semi").mapInArrow(
+        bodies, "key long, fp long, toks array<long>")
+    own = wide.join(survivors, "fp").where(F.col("key").eqNullSafe(F.col("rep")))
+    return staged(own.select("sid", "n", "toks"), "jac-bodies")
 
 
 def _prefixes(bodies: DataFrame, percent: int, orders: int) -> DataFrame:
