@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from collide.llm.common import _SPACE, as_bytes, mix, shingle_hashes, slices, span_bytes_hash, word_spans
 
 DIM_BITS = 16
-PER_CLASS = 2000
+PER_CLASS = 1500
 THRESHOLD = 0.5
 #: Fixed by the contract.
 SYMBOLS = b"#*$%&|<>"
@@ -135,16 +135,23 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -40, 40)))
 
 
-def _fit_logistic(rows: list[np.ndarray], value: list[np.ndarray], y: np.ndarray, dim: int, l2: float, steps: int):
-    """Full-batch Adam on sparse rows (indices, values)."""
-    idx, val = np.concatenate(rows), np.concatenate(value)
-    doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+def _fit_logistic(rows: list[np.ndarray], value: list[np.ndarray], y: np.ndarray, dim: int, l2: float, steps: int,
+                  block: int = 250):
+    """Full-batch Adam on sparse rows (indices, values), read in blocks so that temporaries stay small."""
+    parts = []
+    for lo in range(0, len(rows), block):
+        size = np.array([len(r) for r in rows[lo:lo + block]])
+        parts.append((slice(lo, lo + len(size)), np.concatenate(rows[lo:lo + block]), np.concatenate(value[lo:lo + block]),
+                      np.repeat(np.arange(len(size), dtype=np.int16), size)))
     w, b = np.zeros(dim), 0.0
     m1, m2, c1, c2 = np.zeros(dim), np.zeros(dim), 0.0, 0.0
     for t in range(1, steps + 1):
-        z = np.bincount(doc, weights=w[idx] * val, minlength=len(y)) + b
-        r = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) / len(y)
-        g, gb = np.bincount(idx, weights=val * r[doc], minlength=dim) + l2 * w, r.sum()
+        g, gb = l2 * w, 0.0
+        for at, idx, val, doc in parts:
+            z = np.bincount(doc, weights=w[idx] * val, minlength=at.stop - at.start) + b
+            r = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y[at]) / len(y)
+            g += np.bincount(idx, weights=val * r[doc], minlength=dim)
+            gb += r.sum()
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
         c1, c2 = 0.9 * c1 + 0.1 * gb, 0.999 * c2 + 0.001 * gb * gb
         k1, k2 = 1 - 0.9 ** t, 1 - 0.999 ** t
@@ -179,7 +186,7 @@ def _sampled(labelled: DataFrame, label: str, key: str, per_class: int) -> DataF
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
-        per_class: int = PER_CLASS, dim_bits: int = DIM_BITS, l2: float = 1e-7, steps: int = 150) -> Model:
+        per_class: int = PER_CLASS, dim_bits: int = DIM_BITS, l2: float = 1e-7, steps: int = 120) -> Model:
     """Train and calibrate.  The sample (at most 2 * ``per_class`` rows) is featurised on the
     executors; only its n-gram indices (two bytes each) come to the driver."""
     known = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).where("k is not null and y in (0, 1)")
