@@ -131,15 +131,24 @@ def disclosing_terms(docs: DataFrame, text: str = "text", reach: int = REACH, su
     df_e = seen.groupBy("e").agg(F.count_distinct("th").alias("df_e")).where(F.col("df_e") >= support)
     joint = (seen.select("e", "th", F.explode("terms").alias("term")).distinct()
              .groupBy("e", "term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support))
-    pairs = staged(joint.join(df_e, "e"), "pii-pairs")
+    # df(w) is at least the number of texts with w near any protected value, which gives an upper bound
+    # of the share: everyday words, which stand near many values, fall out before the corpus is counted
+    near_w = (seen.select("th", F.explode("terms").alias("term")).distinct()
+              .groupBy("term").agg(F.count(F.lit(1)).alias("df_near")))
+    total = corpus.select("th").distinct().count()
+
+    def share_of(df_w: Column) -> Column:
+        return (F.log2(F.lit(float(total)) * F.col("n") / (F.col("df_e") * df_w))
+                / -F.log2(F.col("df_e") / F.lit(float(total))))
+    pairs = (joint.join(df_e, "e").where(F.col("df_e") < total).join(near_w, "term")
+             .where(share_of(F.col("df_near")) >= generalise - 1e-9))
+    pairs = staged(pairs, "pii-pairs")
     if pairs.isEmpty():
         return pairs.select("term", F.lit(0.0).alias("share"), F.lit("").alias("action"))
     terms = _small(staged(pairs.select("term").distinct(), "pii-terms"))
     df_w = (corpus.select("th", F.explode(terms_of(t)).alias("term")).join(terms, "term").distinct()
             .groupBy("term").agg(F.count(F.lit(1)).alias("df_w")))
-    total = corpus.select("th").distinct().count()
-    share = F.log2(F.lit(float(total)) * F.col("n") / (F.col("df_e") * F.col("df_w"))) / -F.log2(F.col("df_e") / float(total))
-    best = (pairs.join(df_w, "term").where(F.col("df_e") < total).withColumn("share", share)
+    best = (pairs.join(df_w, "term").withColumn("share", share_of(F.col("df_w")))
             .groupBy("term").agg(F.max("share").alias("share")).where(F.col("share") >= generalise))
     return staged(best.withColumn("action", F.when(F.col("share") >= remove, "remove").otherwise("generalise")), "pii-found")
 
