@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from collide.llm.common import as_bytes, mix, slices, span_bytes_hash, word_spans
 
 DIM_BITS = 18
-PER_CLASS = 3000
+PER_CLASS = 2000
 PREFIXES = (3, 4, 5, 6)
 _U = np.uint64
 _B = np.arange(256)
@@ -94,7 +94,7 @@ def train(gram: np.ndarray, sentence: np.ndarray, doc: np.ndarray, y: np.ndarray
     """Proximal gradient steps (per-gram step sizes) on the noisy-or log likelihood of the document
     labels; the toxic label weighs ``share`` in all, as in the whole of the labels.  A first run with an L1 penalty picks the grams that
     have evidence; a second run fits these alone under a slight L2 penalty."""
-    pair = np.unique(gram * len(y) + doc[sentence])
+    pair = np.unique(gram.astype(np.int64) * len(y) + doc[sentence])
     usable = np.bincount(pair // len(y), minlength=dim) >= min_docs
     pos = max(y.sum(), 1)
     weight = np.where(y > 0, share / pos, (1 - share) / max(len(y) - pos, 1))
@@ -156,10 +156,17 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     y = got["y"].to_numpy(float)
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(dim), 10.0 if len(y) and y.max() > 0 else -np.inf)
-    first = got["n"].cumsum() - got["n"]
-    gram = np.concatenate([np.frombuffer(g, "<u4") for g in got["g"]]).astype(np.int64)
-    sentence = np.concatenate([np.frombuffer(s, "<u4").astype(np.int64) + o for s, o in zip(got["s"], first)])
-    return train(gram, sentence, np.repeat(np.arange(len(got)), got["n"]), y, dim, share=share, **options)
+    # grams of fewer than three documents get no weight: they are left out before the arrays are joined
+    held = np.zeros(dim, np.int32)
+    for g in got["g"]:
+        held[np.unique(np.frombuffer(g, "<u4"))] += 1
+    keep = [held[np.frombuffer(g, "<u4")] >= 3 for g in got["g"]]
+    first = (got["n"].cumsum() - got["n"]).to_numpy(np.int32)
+    gram = np.concatenate([np.frombuffer(g, "<u4")[k].astype(np.int32) for g, k in zip(got["g"], keep)])
+    sentence = np.concatenate([np.frombuffer(s, "<u4")[k].astype(np.int32) + o for s, o, k in zip(got["s"], first, keep)])
+    n = got["n"].to_numpy()
+    del got, keep
+    return train(gram, sentence, np.repeat(np.arange(len(y)), n), y, dim, share=share, **options)
 
 
 _OUT = "score double, sentences array<struct<lo:int,hi:int,p:double>>"
