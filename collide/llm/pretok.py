@@ -165,7 +165,7 @@ class WordTable:
     dropping it costs time, never results).
     """
 
-    def __init__(self, encode, most: int = 1_000_000):
+    def __init__(self, encode, most: int = 500_000):
         self.encode, self.most = encode, most
         self._clear()
 

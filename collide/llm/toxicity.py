@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from collide.llm.common import as_bytes, mix, slices, span_bytes_hash, word_spans
 
 DIM_BITS = 18
-PER_CLASS = 2000
+PER_CLASS = 1200
 PREFIXES = (3, 4, 5, 6)
 _U = np.uint64
 _B = np.arange(256)
