@@ -9,8 +9,16 @@ which w stands within ``reach`` code points of e.  With N texts
 
     PMI(e; w) = log2(N * n(e, w) / (df(e) * df(w))),    IC(e) = -log2(df(e) / N)
 
-and w discloses the share PMI / IC of the information of e.  Pairs seen in fewer than
-``support`` texts are no evidence.  A term whose share reaches ``generalise`` is replaced by a
+and w alone tells s(e) = PMI / IC of the information of e.  Every pair that was seen is scored, and
+little evidence is shrunk: n texts are trusted by c(n) = 1 - ``doubt`` ** n.  What is not trusted is
+estimated from the texts of other values of the entity's group g (first the domain of an email or
+the prefix of a number, then the kind; the better one counts):
+
+    share = c(n(e, w)) * s(e) + (1 - c(n(e, w))) * c(n(g, w) - n(e, w)) * s(g)
+
+So two texts can speak for themselves, and a value of one text where its group bears it out; a single
+sighting that nothing else supports stays at 1 - ``doubt``, since each rare word of a text meets each
+of its values once by chance.  A term whose share reaches ``generalise`` is replaced by a
 class label wherever it stands, one that reaches ``remove`` is removed.
 
 Defined results: null text is empty and has no span; repeated rows count once in the statistics
@@ -35,7 +43,7 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 KINDS = [*PATTERNS, "term"]
-REACH, SUPPORT = 64, 3
+REACH, DOUBT = 64, 0.25
 GENERALISE, REMOVE = 0.9, 0.999
 BROADCAST_ROWS = 1_000_000
 _SPAN = "array<struct<lo:int,kind_no:int,hi:int,kind:string,value:string>>"
@@ -113,42 +121,67 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if small_enough(df, BROADCAST_ROWS) else df
 
 
-def disclosing_terms(docs: DataFrame, text: str = "text", reach: int = REACH, support: int = SUPPORT,
-                     generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
-    """(term, share, action) for every term that discloses some protected entity beyond the threshold."""
-    t = F.coalesce(F.col("t"), F.lit(""))
-    corpus = docs.select(F.col(text).alias("t")).withColumn("th", F.xxhash64("t"))
+def groups_of(kind: Column, value: Column) -> Column:
+    """The groups of a protected value: the domain of an email or the first digits of a number, and the kind."""
+    near = (F.when(kind == "email", F.lower(F.substring_index(value, "@", -1)))
+            .when(kind == "ip", F.substring_index(value, ".", 2))
+            .otherwise(F.substring(_digits(value), 1, F.when(kind == "card", 6).otherwise(4))))
+    return F.array(F.xxhash64(F.lit("group"), kind, near), F.xxhash64(F.lit("kind"), kind))
+
+
+def sightings(corpus: DataFrame, reach: int = REACH) -> DataFrame:
+    """(th, e, groups, term) of all terms beside all protected values of distinct texts."""
     with_base = base_spans(corpus, "t").select("th", "t", F.explode("base").alias("s"))
-    any_base = "|".join(f"(?:{p})" for p in PATTERNS.values())
+    t, any_base = F.coalesce(F.col("t"), F.lit("")), "|".join(f"(?:{p})" for p in PATTERNS.values())
     left = F.substring(t, F.greatest(F.lit(0), F.col("s.lo") - reach) + 1, F.least(F.lit(reach), F.col("s.lo")))
     right = F.substring(t, F.col("s.hi") + 1, F.lit(reach))
     # a word cut by the window is none; other personal data is not a term
     left = F.when(F.col("s.lo") > reach, F.regexp_replace(left, r"^[\p{L}\p{N}]+", "")).otherwise(left)
     right = F.regexp_replace(right, r"[\p{L}\p{N}]+$", "")
     near = F.regexp_replace(F.concat(left, F.lit(" "), right), any_base, " ")
-    seen = staged(with_base.select(F.xxhash64("s.kind", "s.value").alias("e"), "th", terms_of(near).alias("terms"))
-                  .distinct(), "pii-seen")
-    df_e = seen.groupBy("e").agg(F.count_distinct("th").alias("df_e")).where(F.col("df_e") >= support)
-    joint = (seen.select("e", "th", F.explode("terms").alias("term")).distinct()
-             .groupBy("e", "term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support))
-    # df(w) is at least the number of texts with w near any protected value, which gives an upper bound
-    # of the share: everyday words, which stand near many values, fall out before the corpus is counted
-    near_w = (seen.select("th", F.explode("terms").alias("term")).distinct()
-              .groupBy("term").agg(F.count(F.lit(1)).alias("df_near")))
-    total = corpus.select("th").distinct().count()
+    seen = with_base.select("th", F.xxhash64("s.kind", "s.value").alias("e"),
+                            groups_of(F.col("s.kind"), F.col("s.value")).alias("groups"), terms_of(near).alias("terms"))
+    return staged(seen.distinct(), "pii-seen").select("*", F.explode("terms").alias("term")).drop("terms").distinct()
+
 
-    def share_of(df_w: Column) -> Column:
-        return (F.log2(F.lit(float(total)) * F.col("n") / (F.col("df_e") * df_w))
-                / -F.log2(F.col("df_e") / F.lit(float(total))))
-    pairs = (joint.join(df_e, "e").where(F.col("df_e") < total).join(near_w, "term")
-             .where(share_of(F.col("df_near")) >= generalise - 1e-9))
+def disclosing_terms(docs: DataFrame, text: str = "text", reach: int = REACH, doubt: float = DOUBT,
+                     generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+    """(term, share, action) for every term that discloses some protected entity beyond the threshold."""
+    t = F.coalesce(F.col("t"), F.lit(""))
+    corpus = docs.select(F.col(text).alias("t")).withColumn("th", F.xxhash64("t"))
+    seen = sightings(corpus, reach)
+    total = corpus.select("th").distinct().count()
+    n_all = F.lit(float(total))
+
+    def trust(n: Column) -> Column:
+        return 1 - F.pow(F.lit(doubt), n)
+
+    def told(n: Column, df: Column, df_w: Column) -> Column:
+        """PMI / IC; nothing where the texts are all alike or the two avoid each other."""
+        return F.when(df < total, F.greatest(F.lit(0.0), F.log2(n_all * n / (df * df_w)) / -F.log2(df / n_all))).otherwise(0.0)
+    df_e = seen.select("e", "th").distinct().groupBy("e").agg(F.count(F.lit(1)).alias("df_e"))
+    joint = seen.groupBy("e", "groups", "term").agg(F.count(F.lit(1)).alias("n"))
+    # df(w) is at least the number of texts with w beside any protected value, and no group has seen w in
+    # more: an upper bound of the share, by which everyday words fall out before the corpus is counted
+    near_w = seen.select("th", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df_near"))
+    n, c, others = F.col("n"), trust(F.col("n")), F.col("df_near") - F.col("n")
+    pairs = (joint.join(df_e, "e").join(near_w, "term")
+             .where(c * told(n, F.col("df_e"), F.col("df_near")) + (1 - c) * trust(others) >= generalise - 1e-9)
+             .drop("df_near"))
     pairs = staged(pairs, "pii-pairs")
     if pairs.isEmpty():
         return pairs.select("term", F.lit(0.0).alias("share"), F.lit("").alias("action"))
     terms = _small(staged(pairs.select("term").distinct(), "pii-terms"))
     df_w = (corpus.select("th", F.explode(terms_of(t)).alias("term")).join(terms, "term").distinct()
             .groupBy("term").agg(F.count(F.lit(1)).alias("df_w")))
-    best = (pairs.join(df_w, "term").withColumn("share", share_of(F.col("df_w")))
+    by_group = seen.select("th", "term", F.explode("groups").alias("g"))
+    df_g = by_group.select("g", "th").distinct().groupBy("g").agg(F.count(F.lit(1)).alias("df_g"))
+    n_g = by_group.join(terms, "term").distinct().groupBy("g", "term").agg(F.count(F.lit(1)).alias("n_g"))
+    full = (pairs.join(df_w, "term").select("*", F.explode("groups").alias("g"))
+            .join(n_g, ["g", "term"]).join(df_g, "g"))
+    share = c * told(n, F.col("df_e"), F.col("df_w")) + (1 - c) * trust(F.col("n_g") - n) * told(
+        F.col("n_g"), F.col("df_g"), F.col("df_w"))
+    best = (full.withColumn("share", share)
             .groupBy("term").agg(F.max("share").alias("share")).where(F.col("share") >= generalise))
     return staged(best.withColumn("action", F.when(F.col("share") >= remove, "remove").otherwise("generalise")), "pii-found")
 

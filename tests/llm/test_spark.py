@@ -184,6 +184,29 @@ def test_sanitise(docs, none, spark):
     assert [s["kind"] for s in got[0]] == ["term", "email"]
 
 
+def told_spans(spark, rows):
+    found = sanitise.spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    return {x["doc_id"]: [(s["kind"], x["text"][s["lo"]:s["hi"]]) for s in x["spans"]] for x in found}
+
+
+FILL = [(1000 + i, f"the week of filler{i} writes every day from {i} text blah") for i in range(400)]
+
+
+def test_sanitise_values_of_two_texts(spark):
+    told = [(i, f"the week the zorro writes from zorro@mail.org every day {i}") for i in range(2)]
+    told += [(9, "the hapax writes from other@site.org every day")]
+    got = told_spans(spark, told + FILL)
+    assert got[0] == [("term", "zorro"), ("email", "zorro@mail.org")] == got[1]
+    assert got[9] == [("email", "other@site.org")]  # one sighting that nothing else bears out
+
+
+def test_sanitise_value_of_one_text_by_its_group(spark):
+    told = [(i, f"the week the zorro writes from a{i}@firm.org every day") for i in range(4)]
+    assert [r["term"] for r in sanitise.disclosing_terms(
+        spark.createDataFrame(told, "doc_id long, text string")
+        .union(spark.range(60000).select("id", F.concat(F.lit("the week writes from every day of text "), F.col("id"))))).collect()] == ["zorro"]
+
+
 def test_html(spark):
     menu = "<ul><li>home of the big site and all its many pages</li></ul>"
     rows = [(i, f"http://h.org/{i}", f"<body>{menu}<p>page {i} has text number {i * 7} of its own</p>") for i in range(4)]
