@@ -4,19 +4,20 @@ Only DataFrame functions.  Base spans (email, ip, card, phone) come from pattern
 positions follow from the lengths of the matches and of the text between them.
 
 Every base value is a protected entity e.  Over the distinct texts of the corpus we count
-df(e), the texts that hold e; df(w), the texts that hold a term w; and n(e, w), the texts in
-which w stands within ``reach`` code points of e.  With N texts
+df(e), the texts that hold e; df(w), the texts that hold a term w; and n(e, w), the texts that
+hold both, wherever they stand.  A term is any word or number outside of base values.  With N texts
 
     PMI(e; w) = log2(N * n(e, w) / (df(e) * df(w))),    IC(e) = -log2(df(e) / N)
 
 and w alone tells s(e) = PMI / IC of the information of e.  Every pair that was seen is scored, and
-little evidence is shrunk: n texts are trusted by c(n) = 1 - ``doubt`` ** n.  What is not trusted is
+little evidence is shrunk: sightings of weight n are trusted by c(n) = 1 - ``doubt`` ** n, where a text
+weighs 1 if w stands within ``reach`` code points of e, and FAR if not.  What is not trusted is
 estimated from the texts of other values of the entity's group g (first the domain of an email or
 the prefix of a number, then the kind; the better one counts):
 
-    share = c(n(e, w)) * s(e) + (1 - c(n(e, w))) * c(n(g, w) - n(e, w)) * s(g)
+    share = c(e, w) * s(e) + (1 - c(e, w)) * c(g, w without e) * s(g)
 
-So two texts can speak for themselves, and a value of one text where its group bears it out; a single
+So two texts (four from afar) can speak for themselves, and a value of one text where its group bears it out; a single
 sighting that nothing else supports stays at 1 - ``doubt``, since each rare word of a text meets each
 of its values once by chance.  A term whose share reaches ``generalise`` is replaced by a
 class label wherever it stands, one that reaches ``remove`` is removed.
@@ -43,7 +44,7 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 KINDS = [*PATTERNS, "term"]
-REACH, DOUBT = 64, 0.25
+REACH, FAR, DOUBT = 64, 0.5, 0.25
 GENERALISE, REMOVE = 0.9, 0.999
 BROADCAST_ROWS = 1_000_000
 _SPAN = "array<struct<lo:int,kind_no:int,hi:int,kind:string,value:string>>"
@@ -112,9 +113,15 @@ def base_spans(docs: DataFrame, text: str, out: str = "base") -> DataFrame:
 
 
 def terms_of(text: Column) -> Column:
-    """Distinct lower-cased words of three signs or more with a letter in them."""
-    words = F.split(F.lower(text), r"[^\p{L}\p{N}]+")
-    return F.array_distinct(F.filter(words, lambda w: (F.length(w) >= 3) & w.rlike(r"\p{L}")))
+    """Distinct lower-cased words, numbers and short ones too."""
+    return F.array_distinct(F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
+
+
+def _outside(text: Column, found: Column) -> Column:
+    """``text`` without its spans (sorted by start; they may overlap)."""
+    ends = F.transform(found, lambda s, i: F.when(i == 0, 0).otherwise(F.array_max(F.slice(found, 1, i)["hi"])))
+    parts = F.zip_with(found, ends, lambda s, at: F.substring(text, at + 1, s["lo"] - at))
+    return F.concat(F.array_join(parts, " "), F.lit(" "), F.substring(text, F.array_max(found["hi"]) + 1, F.char_length(text)))
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -130,18 +137,32 @@ def groups_of(kind: Column, value: Column) -> Column:
 
 
 def sightings(corpus: DataFrame, reach: int = REACH) -> DataFrame:
-    """(th, e, groups, term) of all terms beside all protected values of distinct texts."""
-    with_base = base_spans(corpus, "t").select("th", "t", F.explode("base").alias("s"))
-    t, any_base = F.coalesce(F.col("t"), F.lit("")), "|".join(f"(?:{p})" for p in PATTERNS.values())
-    left = F.substring(t, F.greatest(F.lit(0), F.col("s.lo") - reach) + 1, F.least(F.lit(reach), F.col("s.lo")))
-    right = F.substring(t, F.col("s.hi") + 1, F.lit(reach))
-    # a word cut by the window is none; other personal data is not a term
-    left = F.when(F.col("s.lo") > reach, F.regexp_replace(left, r"^[\p{L}\p{N}]+", "")).otherwise(left)
+    """Distinct texts with a protected value: (th, values: the values with their groups and the terms near
+    them, terms: all terms)."""
+    t, s = F.col("t"), F.col("s")
+    held = (base_spans(corpus, "t").where(F.size("base") > 0)
+            .groupBy("th").agg(F.first(F.struct("t", "base")).alias("x")).select("th", "x.*"))
+    held = bind(held, "terms", terms_of(_outside(t, F.col("base")))).select("th", "t", "terms", F.explode("base").alias("s"))
+    left = F.substring(t, F.greatest(F.lit(0), s["lo"] - reach) + 1, F.least(F.lit(reach), s["lo"]))
+    right = F.substring(t, s["hi"] + 1, F.lit(reach))
+    # a word cut by the window is not near
+    left = F.when(s["lo"] > reach, F.regexp_replace(left, r"^[\p{L}\p{N}]+", "")).otherwise(left)
     right = F.regexp_replace(right, r"[\p{L}\p{N}]+$", "")
-    near = F.regexp_replace(F.concat(left, F.lit(" "), right), any_base, " ")
-    seen = with_base.select("th", F.xxhash64("s.kind", "s.value").alias("e"),
-                            groups_of(F.col("s.kind"), F.col("s.value")).alias("groups"), terms_of(near).alias("terms"))
-    return staged(seen.distinct(), "pii-seen").select("*", F.explode("terms").alias("term")).drop("terms").distinct()
+    value = F.struct(F.xxhash64(s["kind"], s["value"]).alias("e"), groups_of(s["kind"], s["value"]).alias("groups"),
+                     terms_of(F.concat(left, F.lit(" "), right)).alias("near"))
+    return staged(held.select("th", "terms", value.alias("v")).groupBy("th").agg(
+        F.first("terms").alias("terms"), F.collect_list("v").alias("values")), "pii-seen")
+
+
+def _counted(seen: DataFrame, wanted: DataFrame | None, key: Column, name: str, out: str) -> DataFrame:
+    """(name, term, n and weight of the texts with both) for a key of the values, or an array of keys."""
+    keys = seen.select("th", "terms", F.explode("values").alias("v")).select("th", "terms", F.explode(key).alias(name), "v.near")
+    keys = keys.groupBy("th", name).agg(F.first("terms").alias("terms"), F.flatten(F.collect_set("near")).alias("near"))
+    pairs = keys.select(name, "near", F.explode("terms").alias("term"))
+    if wanted is not None:
+        pairs = pairs.join(wanted, "term")
+    weight = F.when(F.array_contains("near", F.col("term")), 1.0).otherwise(FAR)
+    return pairs.groupBy(name, "term").agg(F.count(F.lit(1)).alias(out), F.sum(weight).alias(f"{out}_weight"))
 
 
 def disclosing_terms(docs: DataFrame, text: str = "text", reach: int = REACH, doubt: float = DOUBT,
@@ -159,27 +180,30 @@ def disclosing_terms(docs: DataFrame, text: str = "text", reach: int = REACH, do
     def told(n: Column, df: Column, df_w: Column) -> Column:
         """PMI / IC; nothing where the texts are all alike or the two avoid each other."""
         return F.when(df < total, F.greatest(F.lit(0.0), F.log2(n_all * n / (df * df_w)) / -F.log2(df / n_all))).otherwise(0.0)
-    df_e = seen.select("e", "th").distinct().groupBy("e").agg(F.count(F.lit(1)).alias("df_e"))
-    joint = seen.groupBy("e", "groups", "term").agg(F.count(F.lit(1)).alias("n"))
-    # df(w) is at least the number of texts with w beside any protected value, and no group has seen w in
+    one = seen.select("th", F.explode("values").alias("v")).select("th", "v.e", "v.groups").distinct()
+    df_e = one.groupBy("e").agg(F.first("groups").alias("groups"), F.count(F.lit(1)).alias("df_e"))
+    joint = _counted(seen, None, F.array("v.e"), "e", "n")
+    # df(w) is at least the number of texts with w and any protected value, and no group has seen w in
     # more: an upper bound of the share, by which everyday words fall out before the corpus is counted
-    near_w = seen.select("th", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df_near"))
-    n, c, others = F.col("n"), trust(F.col("n")), F.col("df_near") - F.col("n")
-    pairs = (joint.join(df_e, "e").join(near_w, "term")
-             .where(c * told(n, F.col("df_e"), F.col("df_near")) + (1 - c) * trust(others) >= generalise - 1e-9)
-             .drop("df_near"))
+    held_w = seen.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df_held"))
+    n, c, others = F.col("n"), trust(F.col("n_weight")), F.col("df_held") - F.col("n_weight")
+    pairs = (joint.join(df_e, "e").join(held_w, "term")
+             .where(c * told(n, F.col("df_e"), F.col("df_held"))
+                    + F.when(F.col("df_held") > n, (1 - c) * trust(others)).otherwise(0.0) >= generalise - 1e-9)
+             .drop("df_held"))
     pairs = staged(pairs, "pii-pairs")
     if pairs.isEmpty():
         return pairs.select("term", F.lit(0.0).alias("share"), F.lit("").alias("action"))
     terms = _small(staged(pairs.select("term").distinct(), "pii-terms"))
     df_w = (corpus.select("th", F.explode(terms_of(t)).alias("term")).join(terms, "term").distinct()
             .groupBy("term").agg(F.count(F.lit(1)).alias("df_w")))
-    by_group = seen.select("th", "term", F.explode("groups").alias("g"))
-    df_g = by_group.select("g", "th").distinct().groupBy("g").agg(F.count(F.lit(1)).alias("df_g"))
-    n_g = by_group.join(terms, "term").distinct().groupBy("g", "term").agg(F.count(F.lit(1)).alias("n_g"))
+    df_g = one.select("th", F.explode("groups").alias("g")).distinct().groupBy("g").agg(F.count(F.lit(1)).alias("df_g"))
+    n_g = _counted(seen, terms, F.col("v.groups"), "g", "n_g")
     full = (pairs.join(df_w, "term").select("*", F.explode("groups").alias("g"))
             .join(n_g, ["g", "term"]).join(df_g, "g"))
-    share = c * told(n, F.col("df_e"), F.col("df_w")) + (1 - c) * trust(F.col("n_g") - n) * told(
+    # without other texts the group's sightings are the value's own
+    others = F.when(F.col("n_g") > n, trust(F.col("n_g_weight") - F.col("n_weight"))).otherwise(0.0)
+    share = c * told(n, F.col("df_e"), F.col("df_w")) + (1 - c) * others * told(
         F.col("n_g"), F.col("df_g"), F.col("df_w"))
     best = (full.withColumn("share", share)
             .groupBy("term").agg(F.max("share").alias("share")).where(F.col("share") >= generalise))

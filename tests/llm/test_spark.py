@@ -207,6 +207,13 @@ def test_sanitise_value_of_one_text_by_its_group(spark):
         .union(spark.range(60000).select("id", F.concat(F.lit("the week writes from every day of text "), F.col("id"))))).collect()] == ["zorro"]
 
 
+def test_sanitise_far_short_and_numeric_terms(spark):
+    far = " ".join(["the week of text writes every day from blah"] * 6)
+    told = [(i, f"Li 4711 {far} zorro@mail.org {far} vega {i}") for i in range(5)]
+    got = told_spans(spark, told + FILL)
+    assert got[1] == [("term", "Li"), ("term", "4711"), ("email", "zorro@mail.org"), ("term", "vega")]
+
+
 def test_html(spark):
     menu = "<ul><li>home of the big site and all its many pages</li></ul>"
     rows = [(i, f"http://h.org/{i}", f"<body>{menu}<p>page {i} has text number {i * 7} of its own</p>") for i in range(4)]
