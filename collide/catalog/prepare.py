@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from collide import fixtures as FX
 from collide import schema as S
 from collide.catalog import query
-from collide.catalog.sqlkit import r3, s_r3, s_r3f, s_dr
+from collide.catalog.sqlkit import r3, s_dphi, s_dr, s_f32, s_ht, s_mt, s_r3, s_r3f
 from collide.operators import features as D
 from collide.operators import prepare as T
 from collide.plans import etl as X
@@ -272,3 +272,27 @@ def feature_matrix(spark, sf):
     keep = S.LOW_LEVEL + S.HIGH_LEVEL + ["delta_r_jet1_jet2", "ht"]
     return fm.select("event_id", "split", "label",
                      *[F.col(c) if c in S.LOW_LEVEL else r3(c).alias(c) for c in keep])
+
+
+_ALL_SQL = FX.oracle(ALL, f""", d as ({_hash_split_sql()}),
+h as (select *, {s_f32(s_ht('jet1_pt', 'jet2_pt', 'jet3_pt', 'jet4_pt'))} as ht64 from d),
+dd as (select *,
+  cast({s_mt('lepton_pt', 'lepton_phi', 'missing_energy_magnitude', 'missing_energy_phi')} as float) as transverse_mass_lv,
+  cast({s_dr('lepton_eta', 'lepton_phi', 'jet1_eta', 'jet1_phi')} as float) as delta_r_lepton_jet1,
+  case when jet2_pt = 0e0 then null else cast({s_dr('jet1_eta', 'jet1_phi', 'jet2_eta', 'jet2_phi')} as float) end as delta_r_jet1_jet2,
+  cast({s_dphi('lepton_phi', 'missing_energy_phi')} as float) as delta_phi_lepton_met,
+  cast(ht64 as float) as ht,
+  cast(missing_energy_magnitude / sqrt(greatest(ht64, 1e0)) as float) as met_significance,
+  cast(ht64 / greatest(ht64 + lepton_pt + missing_energy_magnitude, 1e-10) as float) as centrality from h),
+m as (select split, {', '.join(f'median(cast({c} as double)) as med_{c}' for c in S.FEATURES + S.DERIVED)} from dd group by split)
+select dd.event_id, dd.split, dd.label,
+  {', '.join(f'{s_r3f(f"coalesce(cast(dd.{c} as double), m.med_{c})") if c in S.DERIVED else s_r3(f"coalesce(dd.{c}, m.med_{c})") if c in S.HIGH_LEVEL else f"coalesce(dd.{c}, m.med_{c})"} as {c}' for c in S.FEATURES + S.DERIVED)}
+from dd join m on dd.split = m.split""")
+
+
+@query("feature_matrix_all", _ALL_SQL)
+def feature_matrix_all(spark, sf):
+    """The feature matrix with every column: 28 of the dataset and the seven derived ones."""
+    fm = D.feature_matrix(T.hash_split(_coll(spark, sf), seed=SEED), "median")
+    return fm.select("event_id", "split", "label", *[F.col(c) if c in S.LOW_LEVEL else r3(c).alias(c) for c in fm.columns
+                                                     if c not in ("event_id", "split", "label")])

@@ -82,3 +82,13 @@ def test_two_level_prefix_equals_one_task_window(spark):
     got = PX.cumulative(df, "s", ["w"], descending=True).select("s", "cum_w").toPandas().sort_values("s")
     ref = df.select("s", F.sum("w").over(Window.orderBy(F.col("s").desc())).alias("r")).toPandas().sort_values("s")
     assert (got.cum_w.to_numpy() == ref.r.to_numpy()).all()
+
+
+def test_feature_matrix_query_returns_every_feature(spark):
+    from collide import schema as S
+    from tests.conftest import SF_SMALL
+    from collide.catalog import ORACLES, QUERIES, load_all
+    load_all()
+    got = QUERIES["feature_matrix_all"](spark, SF_SMALL)
+    assert len(S.FEATURES + S.DERIVED) == 35 and set(S.FEATURES + S.DERIVED) <= set(got.columns)
+    assert all(f" as {c}" in ORACLES["feature_matrix_all"] for c in S.DERIVED)
