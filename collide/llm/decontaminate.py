@@ -16,7 +16,7 @@ than ``exact_below`` shingles are looked up by all shingles instead.  Candidates
 by the exact containment of the shingles themselves.
 
 Defined results: texts or items of fewer than ``words`` words have no shingle and are never
-found or matched; null and repeated ids are kept (documents meet their candidates by text).
+found or matched; null and repeated ids are kept (documents and items meet by their texts).
 """
 
 from __future__ import annotations
@@ -101,15 +101,17 @@ def contained(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
               item_text: str = "text", words: int = WORDS, percent: int = PERCENT,
               exact_below: int = EXACT_BELOW) -> DataFrame:
     """(key, item_key, n_item, n_shared) of every document that holds at least ``percent`` % of an item's shingles."""
-    index = staged(item_index(items, item_key, item_text, words), "bench-index")
+    named = items.select(F.col(item_key).alias("item_id"), F.col(item_text).alias("t")).withColumn("item", F.xxhash64("t"))
+    texts = named.select("item", "t").distinct()
+    index = staged(item_index(texts, "item", "t", words), "bench-index")
     found = staged(candidates(docs, index, text, words, exact_below), "bench-candidates")
     wanted = _small(staged(found.groupBy("th").agg(F.collect_set("item").alias("items")), "bench-wanted"))
     hit = (docs.select(F.col(key).alias("k"), F.col(text).alias("t")).withColumn("th", F.xxhash64("t")).join(wanted, "th"))
     hit = shingle_texts(hit, "t", "own", words).select("k", "own", F.explode("items").alias("item"))
-    whole = shingle_texts(items.select(F.col(item_key).alias("item"), F.col(item_text).alias("t")), "t", "need", words)
-    whole = _small(staged(whole.select("item", "need"), "bench-items"))
+    whole = shingle_texts(texts, "t", "need", words).select("item", "need")
+    whole = _small(staged(whole.join(named.select("item", "item_id"), "item"), "bench-items"))
     shared = hit.join(whole, "item").select(
-        F.col("k").alias(key), F.col("item").alias(item_key), F.size("need").cast("long").alias("n_item"),
+        F.col("k").alias(key), F.col("item_id").alias(item_key), F.size("need").cast("long").alias("n_item"),
         F.size(F.array_intersect("own", "need")).cast("long").alias("n_shared"))
     return shared.where(F.col("n_shared") * 100 >= F.col("n_item") * percent)
 

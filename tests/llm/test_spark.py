@@ -129,6 +129,12 @@ def test_decontaminate(spark, docs, none):
     assert decontaminate.clean(docs, items.limit(0)).count() == len(ROWS)
 
 
+def test_decontaminate_item_without_id(spark, docs):
+    items = spark.createDataFrame([(None, ITEM), (2, "too short")], "item_id long, text string")
+    assert keyed(decontaminate.contained(docs, items), "doc_id", "item_id", "n_item", "n_shared") == [(10, None, 26, 26)]
+    assert 10 not in [r["doc_id"] for r in decontaminate.clean(docs, items).collect()]
+
+
 def test_jaccard(docs, none):
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.components(docs).collect()}
     assert got[1] == (117, 1) and got[2] == (116, 1) and got[3] == (117, 1)
