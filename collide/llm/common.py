@@ -42,6 +42,20 @@ def small_enough(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def keyed_join(rows: DataFrame, values: DataFrame, key: str, heavy: int = 1000) -> DataFrame:
+    """``rows`` joined to ``values``, a staged table of one row per ``key`` with the number of rows
+    that hold it in ``weight`` (dropped).
+
+    Keys with more than 1/``heavy`` of all rows -- by that, fewer than ``heavy`` keys -- are joined
+    from a broadcast, so their rows stay where they are; the others are shuffled by key."""
+    total = values.agg(F.sum("weight")).first()[0] or 0
+    hot = values.where(F.col("weight") * heavy > F.lit(total))
+    rest = values.where(F.col("weight") * heavy <= F.lit(total)).drop("weight")
+    near = rows.join(F.broadcast(hot.drop("weight")), key)
+    far = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key)
+    return near.unionByName(far)
+
+
 def bind(df: DataFrame, name: str, value) -> DataFrame:
     """``df`` plus a column that is worked out once per row: the optimizer moves neither filters nor
     later expressions through a generator, so a costly value is not repeated inside a lambda."""

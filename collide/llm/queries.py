@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from collide.llm import (byte_bpe, decontaminate, histogram_shards, html_text, huffman_ids, jaccard_join, quality,
-                         sanitise, token_counts, toxicity)
+                         sanitise, simhash, token_counts, toxicity)
 from collide.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,10 @@ def op8_host_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of every document under 4-word shingles and a Jaccard similarity of 85 %."""
     return jaccard_join.components(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
+@query
+def op11_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and component of every document."""
+    found = simhash.components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex16("fp").alias("fingerprint"), "component_id")
