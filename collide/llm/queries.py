@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collide.llm import (byte_bpe, decontaminate, histogram_shards, html_text, huffman_ids, jaccard_join, quality,
+from collide.llm import (byte_bpe, collocations, decontaminate, histogram_shards, html_text, huffman_ids, jaccard_join, quality,
                          sanitise, simhash, token_counts, toxicity)
 from collide.llm.common import table
 
@@ -112,3 +112,12 @@ def op11_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and component of every document."""
     found = simhash.components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex16("fp").alias("fingerprint"), "component_id")
+
+
+@query
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_phrase_collocations"] = collocations.ORACLE_SQL

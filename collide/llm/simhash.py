@@ -12,8 +12,8 @@ bits differ.  The steps, all exact, on distinct fingerprints (copies cost one ro
    each takes a link to the least of them (65 rows a member, no pairs).  That gives every link of
    two bits or fewer, up to connection.
 3. What is left are links of exactly three bits between different groups of one key.  One of the two
-   lies outside the key's largest group; such members look up the points two bits away, and link
-   to the least member within one bit of the point (three bits, verified).
+   lies outside the key's largest group; such members look up the points two bits away (of the bits in
+   which members of their keys differ), and link to the least member within one bit of the point (three bits, verified).
 
 Steps 2 and 3 are linear in the members of a key, whatever its size, and lose no connection.
 
@@ -93,9 +93,12 @@ def _apart(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
 
-def _points(fps: DataFrame, flips: list[int]) -> DataFrame:
-    """(fp, p): the points that are the given flips away from each fingerprint."""
-    return fps.select("fp", F.explode(F.lit(flips)).alias("x")).select("fp", F.col("fp").bitwiseXOR(F.col("x")).alias("p"))
+def _points(fps: DataFrame, flips: list[int], within: Column | None = None) -> DataFrame:
+    """(fp, p): the points that are the given flips (of the bits ``within`` only) away from each fingerprint."""
+    each = F.lit(flips)
+    if within is not None:
+        each = F.filter(each, lambda x: x.bitwiseAND(F.bitwise_not(within)) == 0)
+    return fps.select("fp", F.explode(each).alias("x")).select("fp", F.col("fp").bitwiseXOR(F.col("x")).alias("p"))
 
 
 ONE = [0] + [_signed(1 << i) for i in range(64)]
@@ -128,11 +131,12 @@ def links(fps: DataFrame) -> DataFrame:
     member = (crowd.join(group, crowd.fp == group.node, "left")
               .select("c", "part", "fp", F.coalesce("component", "fp").alias("g")))
     member = staged(member, "sim-members")
-    tally = member.groupBy("c", "part", "g").agg(F.count(F.lit(1)).alias("m"))
-    top = (tally.groupBy("c", "part").agg(F.max_by("g", F.struct("m", "g")).alias("top"), F.count(F.lit(1)).alias("gs"))
-           .where("gs > 1").select("c", "part", "top"))
-    aside = member.join(top, ["c", "part"]).where("g != top").select("fp").distinct()
-    far = (_points(aside, TWO).join(centre.select("p", "z"), "p").where("fp != z")
+    tally = member.groupBy("c", "part", "g").agg(F.count(F.lit(1)).alias("m"), F.bit_or("fp").alias("o"), F.bit_and("fp").alias("e"))
+    top = (tally.groupBy("c", "part").agg(F.max_by("g", F.struct("m", "g")).alias("top"), F.count(F.lit(1)).alias("gs"),
+                                          F.bit_or("o").bitwiseXOR(F.bit_and("e")).alias("vary"))
+           .where("gs > 1").select("c", "part", "top", "vary"))
+    aside = member.join(top, ["c", "part"]).where("g != top").groupBy("fp").agg(F.bit_or("vary").alias("vary"))
+    far = (_points(aside, TWO, F.col("vary")).join(centre.select("p", "z"), "p").where("fp != z")
            .select(F.col("fp").alias("a"), F.col("z").alias("b")).where(_apart("a", "b") <= DISTANCE))
     kept = group.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
     return kept.union(far.distinct())
