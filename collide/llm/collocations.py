@@ -271,7 +271,7 @@ def _prefix_hash(h: np.ndarray, path: np.ndarray) -> np.ndarray:
     return x
 
 
-def ranges_of(counts: Counts, ranges: int, at_least: int = 0) -> list[np.ndarray]:
+def ranges_of(counts: Counts, ranges: int) -> list[np.ndarray]:
     """Prefix range of every path of one word or more (-1 for the language level)."""
     h = _hashes(counts.symbols)
     out = []

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collide.llm import (byte_bpe, collocations, decontaminate, histogram_shards, html_text, huffman_ids, jaccard_join, quality,
-                         sanitise, simhash, token_counts, toxicity)
+from collide.llm import (byte_bpe, collocations, decontaminate, histogram_shards, html_text, huffman_ids, jaccard_join,
+                         quality, sanitise, simhash, token_alignment, token_counts, toxicity)
 from collide.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +121,9 @@ def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op12_phrase_collocations"] = collocations.ORACLE_SQL
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers in every document, with the corpus counts of the links."""
+    return token_alignment.alignment_report(table(spark, sf_dir, "documents"))
