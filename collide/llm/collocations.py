@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from collide.llm.common import as_bytes, keyed_join, mix, slices, span_bytes_hash, staged
 
 LEAST, LONGEST, TOP, COVERED = 30, 4, 2000, 80
-SHARD, RANGE_BYTES, RANGES = 8 << 20, 8 << 20, 64
+SHARD, RANGE_BYTES, RANGES = 4 << 20, 8 << 20, 64
 BLOOM_BITS, BLOOM_HASHES = 1 << 25, 3
 #: Fixed by the contract: these end a piece, and blank and tab part its words.
 PIECE_ENDS, WORD_ENDS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
@@ -129,10 +129,13 @@ class Transducer:
 
     def to_bytes(self) -> bytes:
         """The automaton as one compressed Arrow row."""
-        columns = {"symbols": pa.array([self.symbols], pa.list_(pa.binary()))}
+        def cell(values: pa.Array) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+        columns = {"symbols": cell(self.symbols)}
         for k, layer in enumerate(self.layers):
             for name, values in zip(_FIELDS, layer):
-                columns[f"{name}{k}"] = pa.array([values], pa.list_(pa.int64() if name == "weight" else pa.int32()))
+                columns[f"{name}{k}"] = cell(pa.array(values if name == "weight" else values.astype(np.int32)))
         row = pa.RecordBatch.from_pydict(columns)
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, row.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
@@ -183,6 +186,22 @@ def minimal(counts: Counts) -> Transducer:
     return Transducer(counts.symbols, layers[::-1])
 
 
+def _grouped(key: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys in order, place of every key among them, sum of the weights or number of rows of each)."""
+    order = np.argsort(key)
+    sorted_ = key[order]
+    new = np.ones(len(key), bool)
+    new[1:] = sorted_[1:] != sorted_[:-1]
+    start = np.flatnonzero(new)
+    back = np.empty(len(key), np.int64)
+    back[order] = np.cumsum(new) - 1
+    if weight is None:
+        total = np.diff(np.append(start, len(key)))
+    else:
+        total = np.add.reduceat(weight[order], start) if len(start) else np.zeros(0, np.int64)
+    return sorted_[start], back, total
+
+
 def union(parts: list[Counts]) -> Counts:
     """All phrases of the parts, counts of equal ones summed."""
     parts = [p for p in parts if p.levels]
@@ -196,9 +215,7 @@ def union(parts: list[Counts]) -> Counts:
         have = [i for i, p in enumerate(parts) if k < len(p.levels)]
         key = np.concatenate([place[i][parts[i].levels[k][0]] * len(symbols) + renamed[i][parts[i].levels[k][1]] for i in have])
         weight = np.concatenate([parts[i].levels[k][2] for i in have])
-        uniq, back = np.unique(key, return_inverse=True)
-        total = np.zeros(len(uniq), np.int64)
-        np.add.at(total, back, weight)
+        uniq, back, total = _grouped(key, weight)
         levels.append((uniq // len(symbols), uniq % len(symbols), total))
         cut = np.cumsum([len(parts[i].levels[k][0]) for i in have])[:-1]
         for i, at in zip(have, np.split(back, cut)):
@@ -256,10 +273,11 @@ def read_words(texts: list[bytes], languages: list[str]):
 def _hashes(symbols: pa.Array) -> np.ndarray:
     """A 64-bit hash of every symbol."""
     size = pc.binary_length(symbols).to_numpy(zero_copy_only=False).astype(np.int64)
-    buf = np.frombuffer(b"".join(symbols.to_pylist()), np.uint8)
     out, some = np.zeros(len(size), _U), np.flatnonzero(size)
-    ends = np.cumsum(size)
-    out[some] = span_bytes_hash(buf, (ends - size)[some], ends[some], lower=False)
+    if len(some):
+        ends = np.cumsum(size)
+        buf = np.frombuffer(pa.concat_arrays([symbols]).buffers()[2], np.uint8)[:ends[-1]]
+        out[some] = span_bytes_hash(buf, (ends - size)[some], ends[some], lower=False)
     return out
 
 
@@ -309,10 +327,8 @@ def shard(texts: list[bytes], languages: list[str], lengths: range, bloom: np.nd
             on = pair[at + k - 2]
             at, code = at[on], code[on]
         key = code * size + word[at + k - 1]
-        uniq, back = np.unique(key, return_inverse=True)
-        weight = np.bincount(back, minlength=len(uniq)).astype(np.int64) if k in lengths else np.zeros(len(uniq), np.int64)
-        levels.append((uniq // size, uniq % size, weight))
-        code = back
+        uniq, code, weight = _grouped(key)
+        levels.append((uniq // size, uniq % size, weight if k in lengths else np.zeros_like(weight)))
         if not len(at):
             break
     return Counts(symbols, levels)
@@ -552,7 +568,8 @@ ORACLE_SQL = r"""
 WITH pieces AS (
   SELECT doc_id, coalesce(lang, 'und') AS lang, unnest(string_split_regex(
       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')) AS piece
+-
+]')) AS piece
   FROM documents),
 lists AS (SELECT lang, list_filter(string_split_regex(piece, '[ 	]+'), lambda x: x <> '') AS w FROM pieces),
 grams AS (
