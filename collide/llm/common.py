@@ -1,12 +1,14 @@
 """Shared pieces of the training-data operators: table access, word hashing, staging.
 
-Every operator takes a DataFrame and column names, so extra columns and
-clashing names of the input never meet the operator's own working columns.
-"""
+Operators either read only the columns that they are told of, or draw working names that
+the input does not have (``free_name``)."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,24 @@ def small_enough(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def free_name(columns: Iterable[str], base: str) -> str:
+    """A column name that none of ``columns`` has, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
+def give_back() -> None:
+    """Return a Python worker's freed memory to the system (workers outlive their tasks)."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: it keeps its own counsel
+        return
+
+
 def keyed_join(rows: DataFrame, values: DataFrame, key: str, heavy: int = 1000) -> DataFrame:
     """``rows`` joined to ``values``, a staged table of one row per ``key`` with the number of rows
     that hold it in ``weight`` (dropped).

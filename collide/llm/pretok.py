@@ -127,41 +127,59 @@ def newline_encoder(encode, run: int = 2000):
     """
     mark = list(encode("\n"))
 
-    def ids(words: list[str]) -> list:
-        out: list = [None] * len(words)
+    def ids(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at, n = np.zeros(len(words), np.int64), np.zeros(len(words), np.int32)
+        flat, held = [], 0
         plain = [i for i, w in enumerate(words) if len(mark) == 1 and not w.isspace()]
+        alone = [i for i, w in enumerate(words) if len(mark) != 1 or w.isspace()]
         for lo in range(0, len(plain), run):
             part = plain[lo:lo + run]
-            flat = np.asarray(encode("\n".join([words[i] for i in part])), np.uint32)
-            pieces = np.split(flat, np.flatnonzero(flat == mark[0]))
-            if len(pieces) == len(part):
-                for j, i in enumerate(part):
-                    out[i] = pieces[j][1:] if j else pieces[j]
-        return [encode(w) if x is None else x for w, x in zip(words, out)]
+            got = np.asarray(encode("\n".join([words[i] for i in part])), np.uint32)
+            edge = np.flatnonzero(got == mark[0])
+            if len(edge) != len(part) - 1:
+                alone += part
+                continue
+            n[part] = np.diff(edge, prepend=-1, append=len(got)) - 1
+            at[part] = held + np.cumsum(n[part]) - n[part]
+            flat.append(got[got != mark[0]])
+            held += len(flat[-1])
+        for i in alone:
+            flat.append(np.asarray(encode(words[i]), np.uint32))
+            at[i], n[i] = held, len(flat[-1])
+            held += len(flat[-1])
+        return np.concatenate([*flat, np.zeros(0, np.uint32)]), at, n
+    return ids
+
+
+def list_encoder(encode_lists):
+    """Encoder of pre-token lists over a library call that gives one id list per pre-token."""
+    def ids(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        got = encode_lists(words)
+        n = np.fromiter(map(len, got), np.int32, len(got))
+        flat = np.fromiter((i for x in got for i in x), np.uint32, int(n.sum()))
+        return flat, np.cumsum(n, dtype=np.int64) - n, n
     return ids
 
 
 def word_end_encoder(encode, ends_word: np.ndarray, run: int = 2000):
-    """Token counts of pre-token lists under the ``clip`` pattern, as ranges: pre-tokens are joined
+    """Token counts (no ids) of pre-token lists under the ``clip`` pattern: pre-tokens are joined
     by blanks (which give no token) and counted up to each id that ends a word."""
-    def ids(words: list[str]) -> list:
-        out: list = []
+    def ids(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        n = np.zeros(len(words), np.int32)
         for lo in range(0, len(words), run):
             part = words[lo:lo + run]
             stop = np.flatnonzero(ends_word[np.asarray(encode(" ".join(part)), np.int64)])
-            if len(stop) == len(part):
-                out += [range(n) for n in np.diff(stop, prepend=-1).tolist()]
-            else:
-                out += [range(len(encode(w))) for w in part]
-        return out
+            n[lo:lo + len(part)] = np.diff(stop, prepend=-1) if len(stop) == len(part) else [len(encode(w)) for w in part]
+        return np.zeros(0, np.uint32), np.zeros(len(words), np.int64), n
     return ids
 
 
 class WordTable:
     """Distinct pre-tokens seen by this worker -> their ids, as flat arrays.
 
-    ``encode`` gets a list of pre-token strings and returns their id lists.  The
-    table holds at most ``most`` words and starts anew beyond that (a cache:
+    ``encode`` gets a list of pre-token strings and returns (flat ids, first id and number of ids
+    of each).  Pre-tokens are told apart by 64-bit hashes of their code points alone: among n
+    distinct ones the chance of one wrong match is n * n / 2**65.  The table holds at most ``most`` words and starts anew beyond that (a cache:
     dropping it costs time, never results).
     """
 
@@ -186,10 +204,8 @@ class WordTable:
                 self._clear()
                 have = np.zeros(len(uniq), bool)
             fresh = where[~have]
-            ids = self.encode([joined[s:e] for s, e in zip(starts[fresh].tolist(), ends[fresh].tolist())])
-            n = np.fromiter((len(x) for x in ids), np.int32, len(ids))
-            flat = np.fromiter((i for x in ids for i in x), np.uint32, int(n.sum()))
-            at = np.cumsum(n, dtype=np.int64) - n + len(self.flat)
+            flat, at, n = self.encode([joined[s:e] for s, e in zip(starts[fresh].tolist(), ends[fresh].tolist())])
+            at = at + len(self.flat)
             key = np.concatenate([self.key, uniq[~have]])
             order = np.argsort(key, kind="stable")
             self.key = key[order]

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from collide.llm.common import slices, staged
-from collide.llm.pretok import WordTable, code_points, encode_all, newline_encoder, spans_hash
+from collide.llm.pretok import WordTable, code_points, encode_all, list_encoder, newline_encoder, spans_hash
 
 VOCAB_A, VOCAB_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 KNOWN, WORDS = 1 << 20, 400_000
@@ -87,7 +87,7 @@ class PieceSide(Side):
         def runs(words: list[str]) -> list[list[int]]:  # the model puts the first blank there itself
             ids = model.encode([w[1:] for w in words], num_threads=1)
             return [x if len(w) > 1 else alone for w, x in zip(words, ids)]
-        self._words = WordTable(runs, WORDS)
+        self._words = WordTable(list_encoder(runs), WORDS)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of texts that are empty or begin with a blank."""
