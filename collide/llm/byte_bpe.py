@@ -9,7 +9,7 @@ are joined in order.  Where two windows share no boundary the piece runs on into
 the next one.  Shorter texts are one piece and are never shuffled.
 
 Defined results: null or empty text has no ids; rows are kept as they are
-(repeated rows, null or repeated doc ids, any extra columns).
+(repeated rows, null or repeated doc ids, extra columns of any name).
 """
 
 from __future__ import annotations
@@ -21,10 +21,12 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from collide.llm.common import slices, staged
+from collide.llm.common import free_name, give_back, slices, staged
 from collide.llm.pretok import LETTER, NUMBER, OTHER, WordTable, boundaries, classes, code_points, encode_all, known, newline_encoder
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -47,19 +49,78 @@ def _encoder(name: str):
     return enc, WordTable(newline_encoder(enc.encode_ordinary))
 
 
+@cache
+def _spelled(name: str) -> pa.Array:
+    """The bytes of every id (kept by a worker from task to task)."""
+    ranks = load_ranks(name)
+    out = [b""] * (max(ranks.values()) + 1)
+    for b, i in ranks.items():
+        out[i] = b
+    return pa.array(out, pa.binary())
+
+
+def _decoded(spelled: pa.Array, ids: np.ndarray) -> bytes:
+    """The bytes of the ids, one after another."""
+    if not len(ids):
+        return b""
+    taken = pc.take(spelled, pa.array(ids.astype(np.int64)))
+    return taken.buffers()[2].to_pybytes()[:int(np.frombuffer(taken.buffers()[1], np.int32)[len(ids)])]
+
+
 def _encode_udf(name: str):
     @F.pandas_udf("binary")
     def ids(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
         enc, words = _encoder(name)
-        for s in it:
-            texts = [t or "" for t in s]
-            out: list[bytes] = []
-            for lo, hi in slices(texts, 1 << 20):
-                out += [x.astype("<u4").tobytes() for x in encode_all(texts[lo:hi], words, enc.encode_ordinary)]
-            yield pd.Series(out, index=s.index, dtype=object)
+        try:
+            for s in it:
+                texts = [t or "" for t in s]
+                out: list[bytes] = []
+                for lo, hi in slices(texts, 1 << 20):
+                    out += [x.astype("<u4").tobytes() for x in encode_all(texts[lo:hi], words, enc.encode_ordinary)]
+                yield pd.Series(out, index=s.index, dtype=object)
+        finally:
+            give_back()
     return ids
 
 
+_DIGEST_DDL = "key long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+def _digest(key, runs: list[np.ndarray], spelled: pa.Array) -> pa.RecordBatch:
+    ids = [hashlib.sha256(" ".join(map(str, x.tolist())).encode()).hexdigest() for x in runs]
+    back = [hashlib.sha256(_decoded(spelled, x)).hexdigest() for x in runs]
+    return pa.RecordBatch.from_arrays([key, pa.array([len(x) for x in runs], pa.int64()), pa.array(ids, pa.string()),
+                                       pa.array(back, pa.string())], names=["key", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+
+def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text", ranks: str = RANKS,
+               chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """(key, n_tokens, ids_sha256, decoded_sha256) of every text: encoded, decoded and digested in one
+    pass (long texts: by overlapping chunks, then digested from their joined ids)."""
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (enc, words), spelled = _encoder(ranks), _spelled(ranks)
+        try:
+            for batch in batches:
+                size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+                for lo, hi in slices([range(n) for n in size], 1 << 20):  # only a slice's texts become Python strings
+                    texts = [t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()]
+                    yield _digest(batch.column(0).slice(lo, hi - lo), encode_all(texts, words, enc.encode_ordinary), spelled)
+        finally:
+            give_back()
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spelled = _spelled(ranks)
+        for batch in batches:
+            for i in range(batch.num_rows):  # long texts: one at a time
+                yield _digest(batch.column(0).slice(i, 1), [np.frombuffer(batch.column(1)[i].as_py(), "<u4")], spelled)
+
+    own = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
+    size = F.coalesce(F.char_length("text"), F.lit(0))
+    short = own.where(size <= chunk).mapInArrow(whole, _DIGEST_DDL)
+    far = long_ids(own.where(size > chunk), "text", ranks, chunk, overlap).select("key", "ids").mapInArrow(packed, _DIGEST_DDL)
+    return short.union(far).withColumnRenamed("key", key)
+
+
 def window_boundaries(text: str, begins: bool, ends: bool, pattern=None) -> np.ndarray:
     """Boundaries of one window that hold whatever follows it: those of a run that touches a cut
     end of the window are left out.  Windows with code points of doubtful class use ``pattern``."""
@@ -122,28 +183,32 @@ def _join_udf():
     return joined
 
 
+def long_ids(far: DataFrame, text: str, ranks: str = RANKS, chunk: int = CHUNK, overlap: int = OVERLAP,
+             ids: str = "ids") -> DataFrame:
+    """``far`` plus ``ids``, by overlapping chunks."""
+    row = free_name([*far.columns, ids], "row")
+    kept = staged(far.withColumn(row, F.monotonically_increasing_id()), "bpe-long")
+    got = (pieces(kept, text, row, chunk, overlap).withColumn("x", _encode_udf(ranks)("piece"))
+           .groupBy("r").agg(F.array_sort(F.collect_list(F.struct("place", "x"))).alias("xs"))
+           .select(F.col("r").alias(row), _join_udf()("xs.x").alias(ids)))
+    return kept.join(got, row).drop(row)
+
+
 def encode(docs: DataFrame, text: str = "text", ids: str = "ids", ranks: str = RANKS,
            chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """``docs`` plus ``ids``: the ids of the whole text as little-endian unsigned 32-bit integers."""
-    enc = _encode_udf(ranks)
     size = F.coalesce(F.char_length(text), F.lit(0))
-    short = docs.where(size <= chunk).withColumn(ids, enc(F.col(text)))
-    row = "__row"
-    far = staged(docs.where(size > chunk).withColumn(row, F.monotonically_increasing_id()), "bpe-long")
-    got = (pieces(far, text, row, chunk, overlap).withColumn("x", enc("piece"))
-           .groupBy("r").agg(F.array_sort(F.collect_list(F.struct("place", "x"))).alias("xs"))
-           .select(F.col("r").alias(row), _join_udf()("xs.x").alias(ids)))
-    return short.unionByName(far.join(got, row).drop(row).select(*short.columns))
+    short = docs.where(size <= chunk).withColumn(ids, _encode_udf(ranks)(F.col(text)))
+    return short.unionByName(long_ids(docs.where(size > chunk), text, ranks, chunk, overlap, ids))
 
 
 def decode_udf(ranks: str = RANKS):
     """Column of packed ids -> the bytes they stand for."""
     @F.pandas_udf("binary")
     def decoded(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        back = {i: b for b, i in load_ranks(ranks).items()}
+        spelled = _spelled(ranks)
         for s in it:
-            yield pd.Series([b"".join(map(back.__getitem__, np.frombuffer(x, "<u4").tolist())) for x in s],
-                            index=s.index, dtype=object)
+            yield pd.Series([_decoded(spelled, np.frombuffer(x, "<u4")) for x in s], index=s.index, dtype=object)
     return decoded
 
 

@@ -60,10 +60,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes that they decode to, as digests."""
-    ids = byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return ids.select("doc_id", byte_bpe.n_ids(F.col("ids")).alias("n_tokens"),
-                      byte_bpe.ids_digest_udf()("ids").alias("ids_sha256"),
-                      F.sha2(byte_bpe.decode_udf()("ids"), 256).alias("decoded_sha256"))
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
 @query
