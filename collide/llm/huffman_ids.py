@@ -25,11 +25,12 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collide.llm.common import slices
+from collide.llm.common import give_back, slices
 from collide.llm.pretok import WordTable, encode_all, newline_encoder
 from collide.session import shared_dir
 
@@ -38,8 +39,10 @@ END_ID = 2
 LIMIT, STRIDE, BLOCK_IDS = 16, 256, 1 << 17
 
 _RAW = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("first", pa.int64()),
-                  ("doc_ids", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int32())), ("ids", pa.binary())])
-_RAW_DDL = "part int, block int, first long, doc_ids array<long>, n_tokens array<int>, ids binary"
+                  ("doc_ids", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int32())), ("ids", pa.binary()),
+                  ("counts", pa.map_(pa.int32(), pa.int64()))])
+_RAW_DDL = ("part int, block int, first long, doc_ids array<long>, n_tokens array<int>, ids binary, "
+            "counts map<int,long>")
 _CODED_DDL = ("part int, block int, first long, doc_ids array<long>, n_tokens array<int>, n_bits long, "
               "payload binary, checkpoints binary")
 
@@ -161,44 +164,49 @@ def _blocks_of(vocab: str, end_id: int, block_ids: int):
         block = first = 0
         keys: list = []
         runs: list[np.ndarray] = []
-        have = 0
+        have, total = 0, np.zeros(0, np.int64)
 
-        def row():
-            flat = np.concatenate(runs).astype("<u4")
+        def row(number: int, counts: list) -> pa.RecordBatch:
+            flat = np.concatenate([*runs, np.zeros(0, np.uint32)]).astype("<u4")
             return pa.RecordBatch.from_arrays([
-                pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([first], pa.int64()),
+                pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([first], pa.int64()),
                 pa.array([keys], pa.list_(pa.int64())), pa.array([[len(r) for r in runs]], pa.list_(pa.int32())),
-                pa.array([flat.tobytes()], pa.binary())], schema=_RAW)
-
-        for b in batches:
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            ks = b.column(0).to_pylist()
-            for lo, hi in slices(texts, 1 << 20):
-                plain = [t if not any(s in t for s in specials) else "" for t in texts[lo:hi]]
-                ids = encode_all(plain, words, whole)
-                for j, t in enumerate(texts[lo:hi]):
-                    x = ids[j] if plain[j] or not t else np.asarray(whole(t), np.uint32)
-                    keys.append(ks[lo + j])
-                    runs.append(np.append(x, np.uint32(end_id)))
-                    have += len(runs[-1])
-                    if have >= block_ids:
-                        yield row()
-                        block, first, keys, runs, have = block + 1, first + have, [], [], 0
-        if runs:
-            yield row()
+                pa.array([flat.tobytes()], pa.binary()), pa.array([counts], _RAW.field("counts").type)], schema=_RAW)
+
+        try:
+            for b in batches:
+                size = pc.fill_null(pc.binary_length(b.column(1)), 0).to_pylist()
+                ks = b.column(0).to_pylist()
+                for lo, hi in slices([range(n) for n in size], 1 << 20):  # only a slice's texts become Python strings
+                    texts = [t or "" for t in b.column(1).slice(lo, hi - lo).to_pylist()]
+                    plain = [t if not any(s in t for s in specials) else "" for t in texts]
+                    ids = encode_all(plain, words, whole)
+                    for j, t in enumerate(texts):
+                        x = ids[j] if plain[j] or not t else np.asarray(whole(t), np.uint32)
+                        keys.append(ks[lo + j])
+                        runs.append(np.append(x, np.uint32(end_id)))
+                        have += len(runs[-1])
+                        if have >= block_ids:
+                            total = _add(total, np.concatenate(runs))
+                            yield row(block, [])
+                            block, first, keys, runs, have = block + 1, first + have, [], [], 0
+            if runs:
+                total = _add(total, np.concatenate(runs))
+                yield row(block, [])
+                keys, runs = [], []
+            live = np.flatnonzero(total)
+            if len(live):  # the counts of this task, as a block without documents
+                yield row(-1, list(zip(live.tolist(), total[live].tolist())))
+        finally:
+            give_back()
     return run
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, np.int64)
-    for b in batches:
-        for x in b.column(0):
-            c = np.bincount(np.frombuffer(x.as_py(), "<u4"))
-            if len(c) > len(total):
-                total = np.pad(total, (0, len(c) - len(total)))
-            total[:len(c)] += c
-    live = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(live, pa.int64()), pa.array(total[live], pa.int64())], names=["id", "n"])
+def _add(total: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Running counts of ids."""
+    c = np.bincount(ids, minlength=len(total))
+    c[:len(total)] += total
+    return c
 
 
 def _coded(lengths: np.ndarray, stride: int):
@@ -226,9 +234,10 @@ def write_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
      .repartitionByRange(parts, "key").sortWithinPartitions("key")
      .mapInArrow(_blocks_of(vocab, end_id, block_ids), _RAW_DDL)
      .write.option("compression", "zstd").parquet(raw))
-    ids = spark.read.schema(_RAW_DDL).parquet(raw)
-    counts = (ids.select("ids").mapInArrow(_counted, "id long, n long")
+    stored = spark.read.schema(_RAW_DDL).parquet(raw)
+    counts = (stored.where("block < 0").select(F.explode("counts").alias("id", "n"))
               .groupBy("id").agg(F.sum("n").alias("n")).toPandas())  # at most one row per id of the vocabulary
+    ids = stored.where("block >= 0").drop("counts")
     dense = np.zeros(int(counts["id"].max()) + 1 if len(counts) else 1, np.int64)
     dense[counts["id"].to_numpy(np.int64)] = counts["n"].to_numpy(np.int64)
     lengths = code_lengths(dense, limit)
