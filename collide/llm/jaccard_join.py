@@ -36,12 +36,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from collide.llm.common import (as_bytes, connected_components, mix, shingle_hashes, slices, small_enough, staged,
-                                word_hashes)
+from collide.llm.common import (as_bytes, connected_components, free_name, give_back, keyed_join, mix, shingle_hashes,
+                                slices, staged, word_hashes)
 
 ORDERS = 3
 BLOCK_TOKENS = 1 << 17
-BROADCAST_ROWS = 1_000_000
 _U = np.uint64
 
 
@@ -80,12 +79,23 @@ def _sets_of(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _each(it: Iterator[pa.RecordBatch], k: int):
-    for batch in it:
-        raw = as_bytes(batch.column(1))
-        for lo, hi in slices(raw):
-            for a in range(lo, hi, 1 << 16):  # token_sets numbers texts in 16 bits
-                b = min(hi, a + (1 << 16))
-                yield batch.column(0).slice(a, b - a), token_sets(raw[a:b], k)
+    try:
+        for batch in it:
+            raw = as_bytes(batch.column(1))
+            for lo, hi in slices(raw):
+                for a in range(lo, hi, 1 << 16):  # token_sets numbers texts in 16 bits
+                    b = min(hi, a + (1 << 16))
+                    yield batch.column(0).slice(a, b - a), token_sets(raw[a:b], k)
+    finally:
+        give_back()
+
+
+def _copies(sets: DataFrame) -> DataFrame:
+    """(key): keys none of whose rows stands for its set -- every one is a copy of a set that has a smaller key."""
+    shared = sets.where("n > 0").groupBy("fp").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    stands = sets.join(shared.select("fp", "rep"), "fp", "left").where("key is not null").groupBy("key").agg(
+        F.max(F.col("rep").isNull() | (F.col("rep") == F.col("key"))).alias("stands"))
+    return stands.where("not stands").select("key")
 
 
 def _rows(**columns) -> pa.RecordBatch:
@@ -104,12 +114,11 @@ def _long_prefix(s, d, n, fp, percent: int, once: bool):
     return keep
 
 
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if small_enough(df, BROADCAST_ROWS) else df
-
-
 def _survivors(base: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
-    """(sid, fp, n, rep): sets that step 1 leaves, each with one document that holds it."""
+    """(sid, fp, n, rep, many): sets that step 1 leaves, each with one document that holds it, and whether
+    rows repeat that document.  Copies of other documents are left out before any token is made."""
+    base = base.join(staged(_copies(sets), "jac-copies"), "key", "left_anti")
+
     def tokens(it):
         for _, (s, d, n, fp) in _each(it, k):
             yield _rows(tok=_short(s[_long_prefix(s, d, n, fp, percent, True)]))
@@ -123,12 +132,16 @@ def _survivors(base: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFr
                   .where("c > 1").select("tok"), "jac-live")
     met = (base.mapInArrow(pairs, "tok long, fp long").join(live, "tok", "left_semi")
            .groupBy("fp").agg(F.count(F.lit(1)).alias("c")))
-    one = sets.where("n > 0").groupBy("fp").agg(F.min("key").alias("rep"), F.max("n").alias("n"))
+    same = sets.where("n > 0").groupBy("fp", "key").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("rows"))
+    one = same.groupBy("fp").agg(F.min("key").alias("rep"), F.max("n").alias("n"), F.min_by("rows", "key").alias("rows"),
+                                 F.max(F.when(F.col("key").isNull(), F.col("rows"))).alias("unnamed"))
     # a partner has at least ceil(t * n) tokens, and its long prefix may be that much shorter
     m = F.ceil(F.col("n") * percent / 100)
     least = F.least(F.floor(m / 20), F.ceil(m * percent / 100) - 1) + 1
     return staged(met.join(one, "fp").where(F.col("c") >= least)
-                  .select(F.monotonically_increasing_id().alias("sid"), "fp", "n", "rep"), "jac-sets")
+                  .select(F.monotonically_increasing_id().alias("sid"), "fp", "n", "rep",
+                          (F.when(F.col("rep").isNull(), F.col("unnamed")).otherwise(F.col("rows")) > 1).alias("many")),
+                  "jac-sets")
 
 
 def _bodies(base: DataFrame, survivors: DataFrame, k: int) -> DataFrame:
@@ -142,11 +155,14 @@ def _bodies(base: DataFrame, survivors: DataFrame, k: int) -> DataFrame:
             toks = pa.ListArray.from_arrays(offsets, pa.array(s.view(np.int64), pa.int64()))
             yield _rows(key=keys, fp=fp, toks=toks)
 
-    reps = _small(staged(survivors.select("rep").distinct(), "jac-reps"))
+    reps = staged(survivors.select("rep").distinct(), "jac-reps")
     wide = base.join(reps, F.col("key").eqNullSafe(F.col("rep")), "left_semi").mapInArrow(
         bodies, "key long, fp long, toks array<long>")
     own = wide.join(survivors, "fp").where(F.col("key").eqNullSafe(F.col("rep")))
-    return staged(own.select("sid", "n", "toks"), "jac-bodies")
+    # rows that repeat one document have one body
+    body = own.where("not many").select("sid", "n", "toks").union(
+        own.where("many").groupBy("sid").agg(F.first("n").alias("n"), F.first("toks").alias("toks")))
+    return staged(body, "jac-bodies")
 
 
 def _prefixes(bodies: DataFrame, percent: int, orders: int) -> DataFrame:
@@ -326,12 +342,12 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int
     links = _links(bodies, prefixes, _classes(prefixes, orders), percent, orders)
     comp = connected_components(links, "a", "b", "jac-links")
     # every linked set gets the smallest key of its class; all others keep the smallest key of their own set
-    one = sets.where("n > 0").groupBy("fp").agg(F.min("key").alias("lo"))
+    one = sets.groupBy("fp").agg(F.min("key").alias("lo"), F.count(F.lit(1)).alias("weight"))
     of = comp.join(left.select(F.col("sid").alias("node"), "fp", "rep"), "node")
     lowest = of.groupBy("component").agg(F.min("rep").alias("m"))
     label = (one.join(of.join(lowest, "component").select("fp", "m"), "fp", "left")
-             .select("fp", F.coalesce("m", "lo").alias("m")))
-    found = sets.join(label, "fp", "left")
+             .select("fp", F.coalesce("m", "lo").alias("m"), "weight"))
+    found = keyed_join(sets, staged(label, "jac-label"), "fp")
     return found.select(F.col("key").alias(key), F.col("n").alias("n_shingles"),
                         F.when(F.col("n") > 0, F.col("m")).otherwise(F.col("key")).alias("component_id"))
 
@@ -342,6 +358,7 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
 
     Rows without a key cannot be told apart and stay; rows that repeat the smallest key stay with it."""
     found = components(docs, key, text, k, percent, orders)
+    name = free_name(docs.columns, "gone")
     gone = staged(found.where(F.col(key).isNotNull() & (F.col("component_id") != F.col(key)))
-                  .select(F.col(key).alias("__gone")).distinct(), "jac-gone")
-    return docs.join(_small(gone), F.col(key) == F.col("__gone"), "left_anti")
+                  .select(F.col(key).alias(name)).distinct(), "jac-gone")
+    return docs.join(gone, F.col(key) == F.col(name), "left_anti")
