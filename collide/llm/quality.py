@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from collide.llm.common import _SPACE, as_bytes, mix, shingle_hashes, slices, span_bytes_hash, word_spans
+from collide.llm.common import _SPACE, as_bytes, give_back, mix, shingle_hashes, slices, span_bytes_hash, word_spans
 
 DIM_BITS = 16
 PER_CLASS = 1500
@@ -238,15 +238,18 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "quality
     @F.pandas_udf(_OUT)
     def scored(it: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         bits = int(np.log2(len(model.weight)))
-        for s in it:
-            raw, parts = as_bytes(s), []
-            for lo, hi in slices(raw):
-                f = features([t or "" for t in s.iloc[lo:hi]], raw[lo:hi], bits)
-                p = model.probability(margins(f, hi - lo, model.weight, model.bias))
-                parts.append(np.vstack([f.base, p]))
-            got = np.hstack(parts) if parts else np.zeros((6, 0))
-            pdf = pd.DataFrame({c.split()[0]: got[i] for i, c in enumerate(_OUT.split(", "))})
-            yield pdf.astype({c.split()[0]: "int64" for c in _OUT.split(", ")[:5]})
+        try:
+            for s in it:
+                raw, parts = as_bytes(s), []
+                for lo, hi in slices(raw):
+                    f = features([t or "" for t in s.iloc[lo:hi]], raw[lo:hi], bits)
+                    p = model.probability(margins(f, hi - lo, model.weight, model.bias))
+                    parts.append(np.vstack([f.base, p]))
+                got = np.hstack(parts) if parts else np.zeros((6, 0))
+                pdf = pd.DataFrame({c.split()[0]: got[i] for i, c in enumerate(_OUT.split(", "))})
+                yield pdf.astype({c.split()[0]: "int64" for c in _OUT.split(", ")[:5]})
+        finally:
+            give_back()
     return docs.withColumn(out, scored(F.col(text)))
 
 
