@@ -235,7 +235,7 @@ def test_small_table_queries(spark):
         assert r["text_crc32"] == zlib.crc32((docs[r["doc_id"]] or "").encode()) and r["grown_shard"] is None
     for r in QUERIES["op10_jaccard_join"](spark, SF_SMALL).collect():
         assert r["n_shingles"] == len(shingles(docs[r["doc_id"]] or "", 4))
-    assert set(ORACLES) <= set(QUERIES) and len(QUERIES) == 10
+    assert set(ORACLES) <= set(QUERIES) and len(QUERIES) == 13
 
 
 def test_pipeline(spark):
@@ -252,3 +252,38 @@ def test_pipeline(spark):
         own = shingles(" ".join(re.findall(r"[^\W_]+", rows[i].lower())), 5)
         assert not any(5 * len(s & own) >= 4 * len(s) for s in items)
         assert not any(j < i and 5 * len(s & kept[i]) >= 4 * len(s | kept[i]) for j, s in kept.items())
+
+
+def test_jaccard_copies_cost_no_tokens(spark):
+    """Exact copies leave before tokens are made; repeated rows have one body; labels stay whole."""
+    texts = [" ".join(f"t{i}w{j}" for j in range(60)) for i in range(20)]
+    rows = [(2 * i + j, t) for i, t in enumerate(texts) for j in (0, 1)]
+    near = " ".join(f"n{j}" for j in range(90))
+    rows += [(100, near)] * 3000 + [(101, near + " x"), (101, near + " x"), (None, near), (50, None), (51, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    base = jaccard_join._sets_of(df, "doc_id", "text")
+
+    def narrow(it):
+        for keys, (_, _, n, fp) in jaccard_join._each(it, 4):
+            yield jaccard_join._rows(key=keys, fp=fp, n=n)
+    sets = base.mapInArrow(narrow, "key long, fp long, n long")
+    left = jaccard_join._survivors(base, sets, 4, 85)
+    assert left.count() == 2 and {r["rep"] for r in left.collect()} == {100, 101}
+    assert jaccard_join._bodies(base, left, 4).count() == 2
+    got = {(r["doc_id"], r["component_id"]) for r in jaccard_join.components(df).collect()}
+    want = {(2 * i + j, 2 * i) for i in range(20) for j in (0, 1)} | {(100, 100), (101, 100), (None, 100), (50, 50), (51, 51)}
+    assert got == want
+
+
+def test_working_names_of_operators_may_be_columns(spark):
+    """Extra columns that bear the operators' working names stay as they are."""
+    names = ["row", "row_", "gone", "gone_", "r", "place", "x", "key", "ids_", "Gone__"]
+    df = spark.createDataFrame([(i, "some words of text " * (4 + 40 * i), *range(len(names))) for i in range(3)] * 2,
+                               "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    for got in (byte_bpe.encode(df, chunk=500, overlap=60), jaccard_join.deduplicated(df)):
+        assert {tuple(r[n] for n in names) for r in got.collect()} == {tuple(range(len(names)))}
+    assert byte_bpe.encode(df, chunk=500, overlap=60).count() == 6
+    plain = {r["doc_id"]: r for r in byte_bpe.round_trip(df).collect()}
+    cut = {r["doc_id"]: r for r in byte_bpe.round_trip(df, chunk=500, overlap=60).collect()}
+    assert plain == cut and all(r["decoded_sha256"] == hashlib.sha256(("some words of text " * (4 + 40 * i)).encode()).hexdigest()
+                                for i, r in cut.items())
