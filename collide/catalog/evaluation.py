@@ -217,14 +217,7 @@ select a.model, round(a.auc, 6) + 0e0 as roc_auc, round(max(f1.f1), 6) + 0e0 as
 from auc a join f1 on a.model = f1.model group by a.model, a.auc"""))
 def model_comparison(spark, sf):
     """AUC, best F1, best Punzi per model (rounded 6/6/4) from one long table grouped by model."""
-    p = M.prepared(_long_scores(spark, sf), group_cols=["model"])
-    st = M.score_table(p, ["model"])
-    sw = M.sweep_table(p, 200, ["model"])
-    auc = M.roc_auc(st, ["model"])
-    bt = M.best_threshold(M.threshold_sweep(sw, ["model"]), ["model"])
-    bp = M.best_punzi(M.punzi_fom(sw, 5.0, ["model"]), ["model"])
-    out = auc.join(bt, "model").join(bp, "model")
-    return out.select("model", _rd("roc_auc", 6), _rd("best_f1", 6), _rd("best_punzi_fom", 4))
+    return M.compare_models(_long_scores(spark, sf))
 
 
 @query("signal_significance", FX.oracle(SC, _SWEEP_SQL + """

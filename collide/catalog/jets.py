@@ -97,7 +97,7 @@ def ecf3(spark, sf):
     return _jets(spark, sf).select("event_id", J.ecf(F.col("jet"), 3).alias("ecf3")).select("event_id", _r("ecf3"))
 
 
-@query("ecf_other")
+@query("ecf_other", FX.oracle(CV, "select count(distinct event_id) as n_jets, cast(0 as bigint) as n_defined from constituents"))
 def ecf_other(spark, sf):
     """N other than 2 or 3 is not defined: a null column (with N = 4 requested)."""
     d = _jets(spark, sf).select("event_id", J.ecf(F.col("jet"), 4).alias("ecf4"))

@@ -372,7 +372,10 @@ def feature_columns(spark, sf):
     return d.select("event_id", *[r3(c).alias(c) if c not in S.LOW_LEVEL else F.col(c) for c in cols])
 
 
-@query("feature_catalog")
+@query("feature_catalog", FX.oracle(ALL, ", d(feature, description) as (values " + ", ".join(
+    f"('{c}', '{t}')" for c, t in S.DERIVED_DESCRIPTIONS.items()) + """),
+n as (select count(*) as n, count(*) filter (where jet2_pt <> 0e0) as n2 from collisions)
+select d.feature, d.description, case when d.feature = 'delta_r_jet1_jet2' then n.n2 else n.n end as n_present from d, n"""))
 def feature_catalog(spark, sf):
     """Derived feature descriptions joined with per-feature non-missing counts from the data."""
     d = D.derived(_coll(spark, sf))

@@ -8,6 +8,7 @@ from collide import fixtures as FX
 from collide.catalog import query
 from collide.operators import registry as R
 from collide.session import fresh_dir
+from collide.sources import tables as TB
 
 RUNS = ["runs"]
 
@@ -128,14 +129,48 @@ def config_fingerprint(spark, sf):
                                                    F.round(F.col("val_auc") * 1e6).cast("bigint")).alias("fingerprint"))
 
 
-@query("registry_append")
+@query("registry_append", FX.oracle(RUNS, """
+select model_name, count(*) as n_runs, max(coalesce(val_auc, 0e0)) as best_val_auc from runs group by model_name"""))
 def registry_append(spark, sf):
-    """Runs appended to a Parquet registry table in two registration batches
-    (val_auc defaulting to 0.0), then read back: runs and best val_auc per model."""
-    path = fresh_dir(spark, "registry")
-    r = _runs(spark, sf).withColumn("val_auc", F.coalesce("val_auc", F.lit(0.0)))
+    """Runs registered in two batches, each one published append (val_auc defaulting to 0.0),
+    then read back: runs and best val_auc per model."""
+    root = fresh_dir(spark, "registry")
+    r = _runs(spark, sf)
     cut = F.col("registered_at") < F.lit("2024-01-15").cast("timestamp")
-    r.filter(cut).write.mode("append").parquet(path)
-    r.filter(~cut).write.mode("append").parquet(path)
-    back = spark.read.parquet(path)
-    return back.groupBy("model_name").agg(F.count(F.lit(1)).alias("n_runs"), F.max("val_auc").alias("best_val_auc"))
+    TB.register_runs(spark, r.filter(cut), root)
+    TB.register_runs(spark, r.filter(~cut), root)
+    return TB.read_runs(spark, root).groupBy("model_name").agg(F.count(F.lit(1)).alias("n_runs"),
+                                                               F.max("val_auc").alias("best_val_auc"))
+
+
+@query("metrics_by_step", FX.oracle(["history_flat"], f""", {_HIST_STEPS}
+select cast(run_id as varchar) as run_id, 'val_auc' as metric, step, val_auc as value from h where not isnan(val_auc)
+union all select cast(run_id as varchar), 'train_loss', step, train_loss from h where not isnan(train_loss)"""))
+def metrics_by_step(spark, sf):
+    """Metric histories logged by step into the metrics table, one append per metric, and read back."""
+    root = fresh_dir(spark, "metrics")
+    hist = FX.history(spark, sf)
+    for m in ("val_auc", "train_loss"):
+        TB.log_history(spark, hist, [m], root)
+    return TB.read_metrics(spark, root)
+
+
+@query("promotion_chain", _recursive(FX.oracle(RUNS, _FOLD + """
+select model_name, prod_run as production_run_id, prod_auc as production_val_auc, cast(n as int) as n_promotions from last""")))
+def promotion_chain(spark, sf):
+    """R4 by pointers, as it runs for models with any number of runs."""
+    return R.promotion_chain(_runs(spark, sf))
+
+
+@query("score_store", FX.oracle(["scored", "scored2"], """, s as (
+  select 'a' as model, cast(cast(score as float) as double) as s, label as y from scored
+  union all select 'b', cast(cast(score as float) as double), label from scored2)
+select model, s, cast(sum(y) as bigint) as pos, cast(count(*) - sum(y) as bigint) as neg from s group by model, s"""))
+def score_store(spark, sf):
+    """Scores of two models appended in three batches as mergeable counts, read back merged."""
+    root = fresh_dir(spark, "scores")
+    a = FX.scored(spark, sf, "scored").withColumn("model", F.lit("a"))
+    b = FX.scored(spark, sf, "scored2").withColumn("model", F.lit("b"))
+    for part in (a.where("event_id % 3 = 0"), a.where("event_id % 3 <> 0"), b):
+        TB.append_scores(spark, part, root)
+    return TB.read_scores(spark, root)

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from collide import fixtures as FX
 from collide import schema as S
 from collide.catalog import query
+from collide.catalog.prepare import _ALL_SQL, _h_sql, _hash_split_sql
+from collide.catalog.sqlkit import r3, s_r3
 from collide.operators import prepare as T
 from collide.operators import project as P
 from collide.plans import etl as X
@@ -18,11 +20,18 @@ from collide.session import fresh_dir
 from collide.sources import io as IO
 
 
+_CUT_SQL = "(select * from collisions where coalesce(lepton_pt, 0e0) + coalesce(jet1_pt, 0e0) > 0e0) c"
+
+
 def _coll(spark, sf):
     return FX.collisions(spark, sf)
 
 
-@query("scan_csv")
+_CSV_SQL = FX.oracle(["collisions"], "select event_id, label, " + ", ".join(
+    f"cast({c} as float) as {c}" for c in S.FEATURES) + " from collisions")
+
+
+@query("scan_csv", _CSV_SQL)
 def scan_csv(spark, sf):
     """Collisions written as CSV with a header, re-read with the explicit schema (header detected)."""
     path = fresh_dir(spark, "csv")
@@ -30,7 +39,7 @@ def scan_csv(spark, sf):
     return IO.read_events_csv(spark, path)
 
 
-@query("scan_csv_gz")
+@query("scan_csv_gz", _CSV_SQL)
 def scan_csv_gz(spark, sf):
     """The same as gzip CSV (not splittable), repartitioned right after the scan."""
     path = fresh_dir(spark, "csvgz")
@@ -44,7 +53,12 @@ def limit_first_n(spark, sf):
     return IO.first_n(_coll(spark, sf).select("event_id", "label", "lepton_pt"), 1000)
 
 
-@query("cached_read")
+@query("cached_read", FX.oracle(["collisions"], f""", r as (
+  select *, row_number() over (partition by label order by {_h_sql()}, event_id) as rk,
+         count(*) over (partition by label) as n_c from collisions),
+q as (select least(5000 / 2, coalesce(max(case when label = 1 then n_c end), 0)) as qs from r)
+select label, {', '.join(S.LOW_LEVEL)} from r, q
+where (label = 1 and rk <= qs) or (label = 0 and rk <= least(5000 - qs, n_c))"""))
 def cached_read(spark, sf):
     """Read-through cache: a miss builds and writes, the second call hits; both return the same rows."""
     cache = fresh_dir(spark, "cache")
@@ -58,7 +72,8 @@ def cached_read(spark, sf):
     return second
 
 
-@query("split_store")
+@query("split_store", FX.oracle(["collisions"], f"""
+select split, count(*) as n, avg(cast(label as double)) as signal_share from ({_hash_split_sql(_CUT_SQL)}) t group by split"""))
 def split_store(spark, sf):
     """ETL output written partitioned by split under its config-hash version, metadata + latest last."""
     cfg = X.ETLConfig()
@@ -66,11 +81,15 @@ def split_store(spark, sf):
     root = fresh_dir(spark, "splits")
     version = cfg.config_hash()
     IO.write_splits(spark, out, root, version, scaler, {"normalization": cfg.normalization})
-    back = spark.read.parquet(f"{root}/{version}/data")
+    back = IO.read_split(spark, root, version)
     return back.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.avg("label").alias("signal_share"))
 
 
-@query("split_reload")
+@query("split_reload", FX.oracle(["collisions"], f""", d as ({_hash_split_sql(_CUT_SQL)}),
+p as (select {', '.join(f'avg({c}) as c_{c}, case when stddev_pop({c}) = 0 then 1e0 else stddev_pop({c}) end as s_{c}' for c in S.FEATURES)}
+      from d where split = 'train')
+select d.event_id, d.split, d.label, {', '.join(f"{s_r3(f'(d.{c} - p.c_{c}) / p.s_{c}')} as {c}" for c in S.FEATURES)}
+from d, p where d.split = 'val'"""))
 def split_reload(spark, sf):
     """Version probe, then reload of one split (partition pruning) and the stored scaler."""
     cfg = X.ETLConfig()
@@ -82,10 +101,11 @@ def split_reload(spark, sf):
     assert IO.version_exists(spark, root, version)
     sc = IO.load_scaler(spark, root, version)
     assert sc is not None and sc.center == scaler.center
-    return IO.read_split(spark, root, version, "val")
+    back = IO.read_split(spark, root, version, "val")
+    return back.select("event_id", "split", "label", *[r3(c).alias(c) for c in S.FEATURES])
 
 
-@query("feature_store_load")
+@query("feature_store_load", f"select * from ({_ALL_SQL}) t where split = 'test'")
 def feature_store_load(spark, sf):
     """Feature store built from the splits, loaded back as (X, y) of the test split (newest version)."""
     d = T.hash_split(_coll(spark, sf))
@@ -99,7 +119,9 @@ def feature_store_load(spark, sf):
     except FileNotFoundError:
         pass
     x, y = IO.load_features(spark, root, "test")
-    return x.join(y, "event_id")
+    both = x.join(y, "event_id")
+    return both.select("event_id", "split", "label", *[F.col(c) if c in S.LOW_LEVEL else r3(c).alias(c)
+                                                       for c in S.FEATURES + S.DERIVED])
 
 
 def _ragged_path(spark, sf):
@@ -121,7 +143,15 @@ def ragged_scan(spark, sf):
                     .alias("jet_pt_sum"), F.size("Muon_pt").alias("n_muons"))
 
 
-@query("list_columns")
+# The branches of the ragged fixture in order.
+_BRANCHES = ([("event_id", "bigint")] + [(f"{o}_{k}", "array<float>") if k else (f"n{o}", "int")
+                                          for o in ("Muon", "Electron", "Jet")
+                                          for k in ("pt", "eta", "phi", "mass", *(("btagDeepFlavB",) if o == "Jet" else ()), "")]
+             + [("MET_pt", "float"), ("MET_phi", "float")])
+
+
+@query("list_columns", "select * from (values " + ", ".join(
+    f"('{n}', '{t}', {i})" for i, (n, t) in enumerate(_BRANCHES)) + ") as t(name, type, position)")
 def list_columns(spark, sf):
     """The branches of the ragged source as (name, type, position)."""
     return P.list_columns(spark.read.parquet(_ragged_path(spark, sf)))

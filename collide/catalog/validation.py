@@ -139,7 +139,11 @@ def validate_gate(spark, sf):
         "n_passed", F.lit(dirty_raised).alias("dirty_raised"), F.lit(first).alias("first_failure"))
 
 
-@query("schema_rules")
+@query("schema_rules", FX.oracle(["collisions"], ", r(feature, lo, hi, unit, category) as (values " + ", ".join(
+    f"('{c}', {float(lo)!r}::double, {float(hi)!r}::double, {'null' if u is None else repr(u)}, '{cat}')"
+    for c, lo, hi, u, cat in S.SCHEMA_RULES) + "), o as (" + " union all ".join(
+    f"select '{c}' as feature, min({c}) as observed_min, max({c}) as observed_max from collisions" for c in S.FEATURES) + """)
+select r.*, o.observed_min, o.observed_max from r left join o on o.feature = r.feature"""))
 def schema_rules(spark, sf):
     """The JSON-schema rules table joined with each feature's observed min/max on the events."""
     c = FX.collisions(spark, sf)

@@ -100,6 +100,13 @@ def ht_array(arr: ColLike) -> Column:
     return f32(F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + F.greatest(x.cast("double"), F.lit(0.0))))
 
 
+def ht_event(arr: ColLike) -> Column:
+    """M6 (1-D form) over an ARRAY: the sum of the values above 0; zero, negative, missing and NaN ones drop out. FLOAT."""
+    arr = F.col(arr) if isinstance(arr, str) else arr
+    kept = F.filter(F.transform(arr, lambda x: x.cast("double")), lambda x: (x > F.lit(0.0)) & ~F.isnan(x))
+    return f32(F.aggregate(kept, F.lit(0.0), lambda acc, x: acc + x))
+
+
 def centrality(ht: ColLike, e_total: ColLike) -> Column:
     """M7: ht / max(E, 1e-10) as FLOAT (the clamp also keeps ANSI division safe)."""
     return f32(c(ht) / F.greatest(c(e_total), F.lit(1e-10)))

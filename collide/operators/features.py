@@ -65,8 +65,9 @@ def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
 def fill(df: DataFrame, strategy: str = "median", group_cols=("split",), columns=None,
          exclude=(S.EVENT_ID, S.LABEL)) -> DataFrame:
     """Fill missing values per group with ``zero`` or the group's exact median of non-missing values
-    (the distributed exact quantile; a group without any value keeps null).  Lazy: nothing runs here.
-    The medians are one row per group, joined back on it (null groups included)."""
+    (the distributed exact quantile; a group without any value keeps null).  For medians one job over the
+    columns tells which have missing values at all; the others are left out.  The medians are one row
+    per group, joined back on it (null groups included)."""
     cols = list(columns) if columns is not None else numeric_columns(df, exclude)
     group_cols = [g for g in group_cols if g in df.columns]
     if strategy == "zero":
@@ -77,12 +78,12 @@ def fill(df: DataFrame, strategy: str = "median", group_cols=("split",), columns
         raise ValueError(f"unknown fill strategy {strategy!r}")
     if not cols:
         return df
-    from collide.operators.quantiles import quantile_wide
-    # only columns with a missing value need medians: one count per column, inside the plan
-    counts = df.agg(*[F.sum(_missing(c).isNull().cast("long")).alias(f"m{i}") for i, c in enumerate(cols)])
-    holes = counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("m"))
-                                             for i, c in enumerate(cols)]))).where("m > 0").select("column")
-    q = quantile_wide(df, cols, [0.5], group_cols, wanted=holes)
+    from collide.operators.quantiles import few_groups, quantile_wide
+    counts = df.agg(*[F.sum(_missing(c).isNull().cast("long")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    cols = [c for c, m in zip(cols, counts) if m]
+    if not cols:
+        return df
+    q = quantile_wide(df, cols, [0.5], group_cols)
     medians = q.select(*[F.col(g).alias(f"__g_{g}") for g in group_cols],
                        *[F.col(f"{col}__q1").alias(f"__med_{i}") for i, col in enumerate(cols)])
     if group_cols:
@@ -90,7 +91,7 @@ def fill(df: DataFrame, strategy: str = "median", group_cols=("split",), columns
         for g in group_cols:
             same = F.col(g).eqNullSafe(F.col(f"__g_{g}"))
             on = same if on is None else on & same
-        joined = df.join(medians, on, "left")
+        joined = df.join(F.broadcast(medians) if few_groups(df, group_cols) else medians, on, "left")
     else:
         joined = df.join(F.broadcast(medians), F.lit(True), "left")  # one row
     out = joined.withColumns({

@@ -4,6 +4,9 @@ Input: (label, score) rows, optionally with group columns (e.g. model).
 Scores are rounded to FLOAT and widened to DOUBLE first, as the reference
 does.  Everything derives from two small tables:
 
+* ``score_state``: counts per (group, distinct score); states of parts of the data
+  add up to the state of all (``merged_states``), so they can be stored and appended to
+  (``sources.tables``), and every metric follows from the merged state;
 * ``score_table``: one row per (group, distinct score) with pos/neg counts
   and exact running sums from ``prefix.cumulative`` (no one-task window);
 * ``sweep_table``: each score is bucketed once to k = number of thresholds
@@ -21,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from collide.operators.prefix import cumulative
+from collide.session import fresh_dir
 
 
 def prepared(df: DataFrame, label: str = "label", score: str = "score", group_cols: Sequence[str] = ()) -> DataFrame:
@@ -29,25 +33,41 @@ def prepared(df: DataFrame, label: str = "label", score: str = "score", group_co
                      F.col(score).cast("float").cast("double").alias("s"))
 
 
+def score_state(df: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+    """(group..., s, pos, neg): rows per distinct score of prepared rows; missing scores are states of their own."""
+    return df.groupBy(*group_cols, "s").agg(F.sum("y").cast("bigint").alias("pos"),
+                                            (F.count(F.lit(1)) - F.sum("y")).cast("bigint").alias("neg"))
+
+
+def merged_states(*states: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+    """The state of all rows from the states of parts of them."""
+    both = states[0]
+    for s in states[1:]:
+        both = both.unionByName(s)
+    return both.groupBy(*group_cols, "s").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+
+
+def state_table(state: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+    """A state plus cum_pos, cum_neg (scores >= s), tot_pos, tot_neg."""
+    return cumulative(state, "s", ["pos", "neg"], list(group_cols), descending=True)
+
+
 def score_table(df: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
     """Per (group, s): pos, neg, cum_pos, cum_neg (scores >= s), tot_pos, tot_neg."""
-    g = list(group_cols)
-    per = df.groupBy(*g, "s").agg(F.sum("y").cast("bigint").alias("pos"),
-                                  (F.count(F.lit(1)) - F.sum("y")).cast("bigint").alias("neg"))
-    return cumulative(per, "s", ["pos", "neg"], g, descending=True)
+    return state_table(score_state(df, group_cols), group_cols)
 
 
 def roc_curve(st: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score, plus the (inf, 0, 0) start point.
 
     No collinear point is dropped (sklearn drops them by default)."""
-    g = list(group_cols)
-    pts = st.select(*g, F.col("s").alias("threshold"),
-                    F.try_divide(F.col("cum_neg").cast("double"), F.col("tot_neg").cast("double")).alias("fpr"),
-                    F.try_divide(F.col("cum_pos").cast("double"), F.col("tot_pos").cast("double")).alias("tpr"))
-    start = st.select(*g).distinct().select(*g, F.lit(float("inf")).alias("threshold"),
-                                            F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
-    return pts.unionByName(start)
+    def point(threshold, fpr, tpr):
+        return F.struct(threshold.alias("threshold"), fpr.alias("fpr"), tpr.alias("tpr"))
+    own = point(F.col("s"), F.try_divide(F.col("cum_neg").cast("double"), F.col("tot_neg").cast("double")),
+                F.try_divide(F.col("cum_pos").cast("double"), F.col("tot_pos").cast("double")))
+    start = point(F.lit(float("inf")), F.lit(0.0), F.lit(0.0))
+    first = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))  # the highest score of its group
+    return st.select(*group_cols, F.inline(F.when(first, F.array(start, own)).otherwise(F.array(own))))
 
 
 def background_rejection(roc: DataFrame, floor: float = 1e-7) -> DataFrame:
@@ -231,28 +251,83 @@ def class_totals(df: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
                                        (F.count(F.lit(1)) - F.sum("y")).cast("bigint").alias("n_background"))
 
 
+def evaluate_state(state: DataFrame, group_cols: Sequence[str] = (), n_thresholds: int = 200, n_bins: int = 10,
+                   a: float = 5.0) -> DataFrame:
+    """E7 from a score state: one row per group (one row without groups, also of no scores) with the eight
+    metrics and the two counts.
+
+    The score table is reduced to one row per (group, number of thresholds at or below the score) and
+    these, at most n_thresholds + 1 a group, to arrays in which the sweep is worked out."""
+    g, n = list(group_cols), n_thresholds
+    st, s = state_table(state, g), F.col("s")
+    both = F.col("pos") + F.col("neg")
+    bin_ = F.lit(0)
+    for j in range(1, n_bins + 1):
+        bin_ = bin_ + (s >= F.lit(_edge(j, n_bins))).cast("int")
+    bin_ = F.when((s >= F.lit(0.0)) & ~F.isnan(s), bin_)
+    sums = {"pos": F.col("pos"), "neg": F.col("neg"),
+            "auc": F.col("pos").cast("double") * (F.col("tot_neg") - F.col("cum_neg") + F.col("neg") / 2.0),
+            "ap": F.col("pos") * (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")))}
+    for j in range(n_bins):
+        sums |= {f"n{j}": F.when(bin_ == j, both).otherwise(0), f"y{j}": F.when(bin_ == j, F.col("pos")).otherwise(0),
+                 f"s{j}": F.when(bin_ == j, s * both).otherwise(0.0)}
+    per_k = st.groupBy(*g, n_thresholds_at_or_below(s, n).alias("k")).agg(
+        F.max(s.isNull() | F.isnan(s)).alias("bad"), *[F.sum(v).alias(c) for c, v in sums.items()])
+    one = per_k.groupBy(*g).agg(
+        F.collect_list(F.struct("k", "pos", "neg")).alias("ks"), F.coalesce(F.max("bad"), F.lit(False)).alias("bad"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums])
+
+    def dense(c: str) -> Column:  # rows per k = 0..n
+        return F.transform(F.sequence(F.lit(0), F.lit(n)), lambda k: F.aggregate(
+            F.filter("ks", lambda x: x["k"] == k), F.lit(0).cast("long"), lambda acc, x: acc + x[c]))
+    one = one.withColumns({"pk": dense("pos"), "nk": dense("neg")}).drop("ks")
+
+    def above(c: str) -> Column:  # rows with a score at or above threshold i are those with k > i
+        return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.aggregate(
+            F.slice(c, i + 2, F.lit(n)), F.lit(0).cast("long"), lambda acc, x: acc + x))
+    one = one.withColumns({"tp": above("pk"), "fp": above("nk")}).drop("pk", "nk")
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+
+    def at(i: Column) -> Column:
+        tp, fp = F.get("tp", i).cast("double"), F.get("fp", i).cast("double")
+        prec, rec = tp / F.greatest(tp + fp, F.lit(1.0)), tp / F.greatest(pos, F.lit(1.0))
+        return F.struct((F.lit(2.0) * prec * rec / F.greatest(prec + rec, F.lit(1e-9))).alias("f1"),
+                        ((tp + neg - fp) / F.greatest(pos + neg, F.lit(1.0))).alias("accuracy"),
+                        (tp / (F.lit(a / 2.0) + F.sqrt(F.greatest(fp, F.lit(1e-9))))).alias("fom"),
+                        (-i).alias("first"), _threshold(i, n).alias("threshold"))
+    one = one.withColumn("sweep", F.transform(F.sequence(F.lit(0), F.lit(n - 1)), at)).drop("tp", "fp")
+
+    def best(c: str) -> Column:  # the first arg-max
+        return F.array_max(F.transform("sweep", lambda x: F.struct(x[c].alias("v"), x["first"].alias("i"), x["threshold"].alias("t"))))
+    one = one.withColumns({"f": best("f1"), "p": best("fom"), "best_accuracy": F.array_max(F.transform("sweep", lambda x: x["accuracy"]))})
+    ece = F.lit(0.0)
+    for j in range(n_bins):
+        nj = F.col(f"n{j}").cast("double")
+        ece = ece + F.when(nj > 0, nj / (pos + neg) * F.abs(F.col(f"y{j}") / nj - F.col(f"s{j}") / nj)).otherwise(F.lit(0.0))
+    return one.select(
+        *g, F.when((pos * neg > 0) & ~F.col("bad"), F.col("auc") / (pos * neg)).otherwise(F.lit(0.5)).alias("roc_auc"),
+        F.when((pos > 0) & ~F.col("bad"), F.col("ap") / pos).otherwise(F.try_divide(pos, pos + neg)).alias("average_precision"),
+        F.col("f.v").alias("best_f1"), "best_accuracy", F.col("f.t").alias("best_threshold"),
+        F.col("p.v").alias("best_punzi_fom"), F.col("p.t").alias("best_punzi_threshold"), ece.alias("calibration_ece"),
+        F.col("pos").cast("bigint").alias("n_signal"), F.col("neg").cast("bigint").alias("n_background"))
+
+
 def evaluate(df: DataFrame, label: str = "label", score: str = "score", group_cols: Sequence[str] = (),
              n_thresholds: int = 200, n_bins: int = 10, a: float = 5.0, model_name: str = "model",
              run_name: str = "evaluation") -> DataFrame:
     """One row per group with the eight metrics, the two counts and the names.
 
-    One plan: the prepared (group, y, s) rows feed the score table, the
-    sweep table and the calibration aggregate; each result is one row per
-    group, joined on the group key (bounded by the number of groups).
-    """
-    g = list(group_cols)
-    p = prepared(df, label, score, g)
-    key = g or ["__k"]
-    if not g:
-        p = p.withColumn("__k", F.lit(0))
-    st = score_table(p, key)
-    sw = sweep_table(p, n_thresholds, key)
-    parts = [roc_auc(st, key), average_precision(st, key), best_threshold(threshold_sweep(sw, key), key),
-             best_punzi(punzi_fom(sw, a, key), key), calibration_ece(p, n_bins, key), class_totals(p, key)]
-    out = parts[0]
-    for q in parts[1:]:
-        out = out.join(q, on=key, how="inner")
+    The input is read once, into its score state in the shared folder; everything else reads that."""
+    g, spark = list(group_cols), df.sparkSession
+    path = fresh_dir(spark, "score-state")
+    state = score_state(prepared(df, label, score, g), g)
+    state.write.parquet(path)
+    out = evaluate_state(spark.read.schema(state.schema).parquet(path), g, n_thresholds, n_bins, a)
     names = [F.lit(model_name).alias("model_name")] if not g else []
-    return out.select(*g, "roc_auc", "average_precision", "best_f1", "best_accuracy", "best_threshold",
-                      "best_punzi_fom", "best_punzi_threshold", "calibration_ece", "n_signal", "n_background",
-                      *names, F.lit(run_name).alias("run_name"))
+    return out.select("*", *names, F.lit(run_name).alias("run_name"))
+
+
+def compare_models(df: DataFrame, model: str = "model", label: str = "label", score: str = "score") -> DataFrame:
+    """(model, roc_auc, best_f1, best_punzi_fom) rounded to 6, 6 and 4 decimals, from one read of the long table."""
+    e = evaluate(df, label, score, [model])
+    return e.select(model, *[(F.round(c, d) + F.lit(0.0)).alias(c) for c, d in (("roc_auc", 6), ("best_f1", 6), ("best_punzi_fom", 4))])

@@ -6,9 +6,9 @@ partitioning, executor loss or re-execution order (unlike ``randomSplit``
 or ``sample``).
 
 * ``hash_split`` (default): hash threshold, no shuffle, stable as data grows.
-* ``stratified_split(exact=True)``: exact per-label counts, from the exact
-  distributed rank of ``prefix.hash_rank``.
-* ``balanced_sample``: exact per-class quotas, same rank.
+* ``stratified_split``: exact per-label counts by the cut points of
+  ``selection.classes``; no row is moved.
+* ``balanced_sample``: exact per-class quotas, same cut points.
 
 Scalers fit on the train rows with one aggregate (a bounded summary: a few
 numbers per column) and apply as a pure projection with the parameters as
@@ -18,6 +18,7 @@ literals: no join, whole-stage codegen.
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -25,16 +26,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from collide import schema as S
-from collide.operators.prefix import hash32, hash_rank
+from collide.operators.prefix import hash32
 from collide.operators.quantiles import quantile_wide
+from collide.operators.selection import classes, stratum_sizes
 
 SPLITS = ("train", "val", "test")
 
 
-def with_hash(df: DataFrame, seed: int = 42, key: str = S.EVENT_ID, out: str = "__h") -> DataFrame:
-    return df.withColumn(out, hash32(seed, key))
-
-
 def hash_split(df: DataFrame, train_frac: float = 0.70, val_frac: float = 0.15, seed: int = 42,
                key: str = S.EVENT_ID, out: str = "split") -> DataFrame:
     """T2 (default): split by u = hash/2^32 against cumulative fractions; row-local, no shuffle."""
@@ -48,35 +46,31 @@ def hash_split(df: DataFrame, train_frac: float = 0.70, val_frac: float = 0.15,
 def stratified_split(df: DataFrame, train_frac: float = 0.70, val_frac: float = 0.15,
                      test_frac: float = 0.15, seed: int = 42, label: str = S.LABEL,
                      key: str = S.EVENT_ID, out: str = "split") -> DataFrame:
-    """T2 (exact): per label stratum of size n, rank rows by hash; the last
+    """T2 (exact): per label stratum of size n, rows in hash order; the last
     ceil(n * (val+test)) go to the hold-out, whose last ceil(n_rest * (1 - val/(val+test)))
-    are test, the rest val -- the counts of a two-stage stratified split."""
+    are test, the rest val -- the counts of a two-stage stratified split.  Rows are decided in
+    place; three small jobs over label and key find the cuts."""
     rest_frac = val_frac + test_frac
     test_rel = 1.0 - val_frac / rest_frac
-    d = hash_rank(with_hash(df, seed, key), "__h", key, [label])
-    n_rest = F.ceil(F.col("__n") * F.lit(rest_frac)).cast("bigint")
-    n_train = F.col("__n") - n_rest
-    n_test = F.ceil(n_rest * F.lit(test_rel)).cast("bigint")
-    split = (F.when(F.col("__rank") <= n_train, F.lit("train"))
-             .when(F.col("__rank") <= F.col("__n") - n_test, F.lit("val"))
-             .otherwise(F.lit("test")))
-    return d.withColumn(out, split).drop("__h", "__rank", "__n")
+
+    def ranks(_, n: int) -> list[int]:
+        n_rest = math.ceil(n * rest_frac)
+        return [n - n_rest, n - math.ceil(n_rest * test_rel)]
+    d = classes(df, ranks, label, seed, key, "__class")
+    names = F.array(*[F.lit(s) for s in SPLITS])
+    return d.withColumn(out, F.get(names, F.col("__class"))).drop("__class")
 
 
 def balanced_sample(df: DataFrame, n: int, seed: int = 42, label: str = S.LABEL,
                     key: str = S.EVENT_ID) -> DataFrame:
     """min(n//2, #signal) signal rows and min(n - n_signal, #background) background rows,
-    without replacement, chosen by the (seed, key) hash; exact quotas, any partitioning."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__c"))
-    n_sig_all = F.sum(F.when(F.col(label) == 1, F.col("__c")).otherwise(0)).over(Window.partitionBy(F.lit(0)))
-    q_sig = F.least(F.lit(n // 2), n_sig_all)
-    quotas = counts.select(label, F.when(F.col(label) == 1, q_sig)
-                           .when(F.col(label) == 0, F.least(F.lit(n) - q_sig, F.col("__c")))
-                           .otherwise(F.lit(0)).alias("__q"))
-    ranked = hash_rank(with_hash(df, seed, key), "__h", key, [label])
-    # quotas: one row per class, a bounded broadcast
-    kept = ranked.join(F.broadcast(quotas), on=label, how="inner").filter(F.col("__rank") <= F.col("__q"))
-    return kept.drop("__h", "__rank", "__n", "__q")
+    without replacement, chosen by the (seed, key) hash; exact quotas, any partitioning, rows
+    decided in place."""
+    sizes = stratum_sizes(df, label)
+    n_sig = min(n // 2, sizes.get(1, 0))
+    quota = {1: n_sig, 0: min(n - n_sig, sizes.get(0, 0))}
+    d = classes(df, lambda g, _: [quota.get(g, 0)], label, seed, key, "__class", sizes)
+    return d.where("__class = 0").drop("__class")
 
 
 def split_balance(df: DataFrame, split: str = "split", label: str = S.LABEL) -> DataFrame:

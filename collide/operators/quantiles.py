@@ -1,22 +1,23 @@
-"""Exact quantiles without holding a whole group in one task.
+"""Exact quantiles without holding or moving a whole column.
 
 Spark's exact ``percentile`` keeps a map of every distinct value of a group
-in one aggregation buffer, which cannot hold at scale.  Here:
-
-1. values are bucketed by ``prefix.monotone_bucket`` (exponent + top
-   mantissa bits, monotone in the value) and counted per (group, column,
-   bucket) -- a small histogram whose size is bounded by the bucket count;
-2. a running count over that histogram finds, for each wanted rank, the one
-   bucket that holds it;
-3. only the rows of those few buckets are re-read and counted per distinct
-   value (map-side combine, so a value repeated a billion times is one row);
-   FLOAT values of a bucket are ranked at once (at most 2^15 of them), the
-   remaining mantissa bits of DOUBLE values in digits of at most 16 bits, with a
-   running count per level, until a path holds one value;
+in one aggregation buffer, which cannot hold at scale.  Here every column
+and probability is bracketed first:
+
+1. one aggregate with mergeable sketches gives two values around every wanted
+   rank (``SKETCH``: the rank error is at most 1 / SKETCH of the rows; the
+   bracket leaves four times that on both sides).  Groups of at most ``SMALL``
+   values take their minimum and maximum instead;
+2. one aggregate counts the values below every bracket, so the wanted rank is known
+   inside it;
+3. only values inside a bracket (a few thousandths of the rows) are exchanged, counted per
+   distinct value, and dealt into ``CELLS`` equal cells of the bracket; running counts over the
+   cells and then inside the one cell that holds the rank find the value;
 4. the result interpolates linearly between ranks floor(p(n-1)) and
    ceil(p(n-1)), exactly as ``percentile`` does.
 
-Null and NaN are skipped (pandas' notion of missing).
+A rank outside its bracket (which the sketch's bound rules out) fails the query rather than
+giving a wrong value.  Null and NaN are skipped (pandas' notion of missing).
 """
 
 from __future__ import annotations
@@ -25,95 +26,99 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from collide.operators.prefix import monotone_bucket
+SKETCH, SMALL, CELLS = 5000, 20_000, 4096
+#: Brackets are broadcast to the rows of up to so many groups; beyond, they are joined by a shuffle.
+MAX_GROUPS = 10_000
 
 
-def long_values(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str] = ()) -> DataFrame:
-    """(group..., column, v) with v DOUBLE, missing values dropped."""
-    g = list(group_cols)
-    items = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])
-    long = df.select(*g, F.inline(items))
-    return long.where(F.col("v").isNotNull() & ~F.isnan("v"))
+def few_groups(df: DataFrame, group_cols: Sequence[str], most: int = MAX_GROUPS) -> bool:
+    """True if the group columns have at most ``most`` distinct values (one job over those columns only)."""
+    return not group_cols or df.select(*group_cols).distinct().limit(most + 1).count() <= most
 
 
-def _digits(v: Column, bits: int) -> dict[str, Column]:
-    """The mantissa bits below the bucket, as digits of at most 16 bits that rise with ``v`` inside a bucket."""
-    ax = F.abs(v)
-    f = ax / F.pow(F.lit(2.0), F.floor(F.log2(ax))) - F.lit(1.0)
-    plain = (ax > 0) & (ax < F.lit(float("inf")))
-    edges = [*range(bits, 52, 16), 52]
-    out = {}
-    for i, (hi, lo) in enumerate(zip(edges, edges[1:])):
-        width = 2 ** (lo - hi)
-        d = F.floor(f * F.lit(2.0 ** lo)) - F.floor(f * F.lit(2.0 ** hi)) * F.lit(width)
-        out[f"d{i}"] = F.when(plain, F.when(v < 0, F.lit(width - 1) - d).otherwise(d)).otherwise(F.lit(0))
-    return out
+def _value(name: str) -> Column:
+    return F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    group_cols: Sequence[str] = (), bits: int = 8, wanted: DataFrame | None = None) -> DataFrame:
-    """(group..., column, p, value): exact, linearly interpolated quantiles per group and column.
+def _cell(v: Column, lo: Column, hi: Column) -> Column:
+    """Cell of a value in its bracket: rises with the value; the edges have cells of their own."""
+    width = hi - lo
+    inner = F.least(F.greatest(F.floor((v - lo) / width * F.lit(float(CELLS))), F.lit(0)), F.lit(CELLS - 1)) + 1
+    return (F.when(v <= lo, F.lit(0)).when(v >= hi, F.lit(CELLS + 1))
+            .when((width > 0) & (width < float("inf")), inner).otherwise(F.lit(1))).cast("int")
 
-    ``wanted`` (one ``column`` name per row) leaves out the other columns before the first shuffle."""
-    g = list(group_cols)
-    k = [*g, "column"]
-    long = long_values(df, columns, g)
-    if wanted is not None:
-        long = long.join(F.broadcast(wanted), "column", "left_semi")  # at most one row per column
-    long = long.withColumn("b", monotone_bucket(F.col("v"), bits))
-    hist = long.groupBy(*k, "b").agg(F.count(F.lit(1)).alias("cnt"))
-    w_prev = Window.partitionBy(*k).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    hist = hist.select(*k, "b", "cnt", F.coalesce(F.sum("cnt").over(w_prev), F.lit(0)).alias("before"),
-                       F.sum("cnt").over(Window.partitionBy(*k)).alias("n"))
-    # wanted ranks (0-based) per (group, column, p): floor and ceil of p * (n - 1)
-    ps = F.array(*[F.lit(float(p)) for p in probs])
-    sizes = hist.select(*k, "n").distinct()
-    ranks = sizes.select(*k, "n", F.explode(ps).alias("p")) \
-        .withColumn("pos", F.col("p") * (F.col("n") - 1).cast("double")) \
-        .select(*k, "n", "p", "pos", F.explode(F.array(F.floor("pos").cast("long"), F.ceil("pos").cast("long")))
-                .alias("r")).distinct()
-    # the bucket holding each wanted rank: equi-join on the key, range condition on the bucket's counts
-    tb = ranks.join(hist.select(*k, "b", "cnt", "before"), on=k) \
-        .where((F.col("r") >= F.col("before")) & (F.col("r") < F.col("before") + F.col("cnt"))) \
-        .select(*k, "p", "pos", "r", "b", (F.col("r") - F.col("before")).alias("r_in"))
-    # only rows of the target buckets; one row per distinct value (map-side combined)
-    targets = tb.select(*k, "b").distinct()
-    targets = targets if g else F.broadcast(targets)  # columns x probabilities without groups
-    vals = long.join(targets, on=[*k, "b"]).groupBy(*k, "b", "v").agg(F.count(F.lit(1)).alias("m"))
-    narrow = all(isinstance(df.schema[c].dataType, T.FloatType) for c in columns)
-    # a bucket holds at most 2^(23 - bits) FLOAT values, so their order is one bounded level; DOUBLE
-    # values are narrowed by digits first
-    digits = {"v0": F.col("v")} if narrow else _digits(F.col("v"), bits)
-    vals = vals.withColumns(digits)
-    path = ["b"]
-    for d in digits:  # each level has at most 2^16 digits, so no window grows with the data
-        cnt = vals.groupBy(*k, *path, d).agg(F.sum("m").alias("c"))
-        w_d = Window.partitionBy(*k, *path).orderBy(d).rowsBetween(Window.unboundedPreceding, -1)
-        cnt = cnt.select(*k, *path, d, "c", F.coalesce(F.sum("c").over(w_d), F.lit(0)).alias("vb"))
-        tb = tb.join(cnt, on=[*k, *path]) \
-            .where((F.col("r_in") >= F.col("vb")) & (F.col("r_in") < F.col("vb") + F.col("c"))) \
-            .select(*k, "p", "pos", "r", *path, d, (F.col("r_in") - F.col("vb")).alias("r_in"))
-        path.append(d)
-    at = tb.join(vals.groupBy(*k, *path).agg(F.min("v").alias("v")), on=[*k, *path]).select(*k, "p", "pos", "r", "v")
-    lo = at.where(F.col("r") == F.floor("pos")).select(*k, "p", "pos", F.col("v").alias("lo"))
-    hi = at.where(F.col("r") == F.ceil("pos")).select(*k, "p", F.col("v").alias("hi"))
-    q = lo.join(hi, on=[*k, "p"])
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
+                    group_cols: Sequence[str] = (), sketch: int = SKETCH, small: int = SMALL) -> DataFrame:
+    """(group..., column, p, value): exact, linearly interpolated quantiles per group and column."""
+    g, cols, ps = list(group_cols), list(columns), [float(p) for p in probs]
+    key = F.struct(*[F.col(c) for c in g]) if g else F.struct(F.lit(0).alias("all"))
+    wide = df.select(key.alias("k"), *[_value(c).alias(f"v{i}") for i, c in enumerate(cols)])
+    slack = 4.0 / sketch
+    probes = [x for p in ps for x in (max(0.0, p - slack), min(1.0, p + slack))]
+    aggs = []
+    for i in range(len(cols)):
+        v = F.col(f"v{i}")
+        aggs += [F.percentile_approx(v, probes, sketch).alias(f"q{i}"), F.min(v).alias(f"a{i}"), F.max(v).alias(f"z{i}"),
+                 F.count(v).alias(f"n{i}")]
+    sketched = wide.groupBy("k").agg(*aggs)
+    edges = []
+    for i in range(len(cols)):
+        whole = F.col(f"n{i}") <= small
+        for j, p in enumerate(ps):
+            lo, hi = F.col(f"q{i}")[2 * j], F.col(f"q{i}")[2 * j + 1]
+            edges += [F.when(whole | F.lit(p <= slack), F.col(f"a{i}")).otherwise(lo).alias(f"lo{i}_{j}"),
+                      F.when(whole | F.lit(p >= 1.0 - slack), F.col(f"z{i}")).otherwise(hi).alias(f"hi{i}_{j}")]
+    bracket = sketched.select("k", *edges)
+    if few_groups(df, g):
+        bracket = F.broadcast(bracket)
+    held = wide.join(bracket, "k")
+    pairs = [(i, j) for i in range(len(cols)) for j in range(len(ps))]
+
+    counts = held.groupBy("k").agg(
+        *[F.count(f"v{i}").alias(f"n{i}") for i in range(len(cols))],
+        *[F.sum((F.col(f"v{i}") < F.col(f"lo{i}_{j}")).cast("long")).alias(f"b{i}_{j}") for i, j in pairs])
+    ranks = counts.select("k", F.inline(F.array(*[F.struct(
+        F.lit(i).alias("i"), F.lit(j).alias("j"), (F.lit(ps[j]) * (F.col(f"n{i}") - 1).cast("double")).alias("pos"),
+        F.col(f"n{i}").alias("n"), F.col(f"b{i}_{j}").alias("below")) for i, j in pairs]))).where("n > 0")
+    ranks = ranks.select("k", "i", "j", "pos", "below", F.explode(F.array_distinct(F.array(
+        F.floor("pos").cast("long"), F.ceil("pos").cast("long")))).alias("r")) \
+        .select("k", "i", "j", "pos", (F.col("r") - F.col("below")).alias("at"))
+
+    inside = held.select("k", F.inline(F.filter(F.array(*[F.struct(
+        F.lit(i).alias("i"), F.lit(j).alias("j"),
+        F.when(F.col(f"v{i}").between(F.col(f"lo{i}_{j}"), F.col(f"hi{i}_{j}")), F.col(f"v{i}")).alias("v"),
+        F.col(f"lo{i}_{j}").alias("lo"), F.col(f"hi{i}_{j}").alias("hi")) for i, j in pairs]), lambda x: x["v"].isNotNull())))
+    own = ["k", "i", "j"]
+    inside = inside.groupBy(*own, _cell(F.col("v"), F.col("lo"), F.col("hi")).alias("c"), "v").agg(F.count(F.lit(1)).alias("m"))
+    cells = inside.groupBy(*own, "c").agg(F.sum("m").alias("cm"))
+    upto = Window.partitionBy(*own).orderBy("c").rowsBetween(Window.unboundedPreceding, 0)  # at most CELLS + 2 rows
+    cells = cells.select(*own, "c", "cm", F.sum("cm").over(upto).alias("upto"),
+                         F.sum("cm").over(Window.partitionBy(*own)).alias("all"))
+    missed = (F.col("at") < 0) | (F.col("at") >= F.col("all"))
+    hit = (F.col("at") < F.col("upto")) & (F.col("at") >= F.col("upto") - F.col("cm"))
+    target = ranks.join(cells, own).where(F.when(missed, F.raise_error(F.lit("a rank lies outside its bracket")).cast("boolean"))
+                                          .otherwise(hit))
+    target = target.select(*own, "c", "pos", (F.col("at") - F.col("upto") + F.col("cm")).alias("at"))
+    before = Window.partitionBy(*own, "c").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    values = (inside.join(target.select(*own, "c").distinct(), [*own, "c"], "left_semi")
+              .withColumn("upto", F.sum("m").over(before)))
+    found = (target.join(values, [*own, "c"]).where((F.col("at") < F.col("upto")) & (F.col("at") >= F.col("upto") - F.col("m")))
+             .groupBy(*own, "pos").agg(F.min("v").alias("lo"), F.max("v").alias("hi")))
     f, c = F.floor("pos"), F.ceil("pos")
     value = F.when(f == c, F.col("lo")).otherwise((c - F.col("pos")) * F.col("lo") + (F.col("pos") - f) * F.col("hi"))
-    return q.select(*k, "p", value.alias("value"))
+    name, prob = F.array(*[F.lit(x) for x in cols]), F.array(*[F.lit(p) for p in ps])
+    return found.select(*[F.col("k")[x].alias(x) for x in g], F.get(name, F.col("i")).alias("column"),
+                        F.get(prob, F.col("j")).alias("p"), value.alias("value"))
 
 
 def quantile_wide(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                  group_cols: Sequence[str] = (), bits: int = 8, wanted: DataFrame | None = None) -> DataFrame:
+                  group_cols: Sequence[str] = (), sketch: int = SKETCH, small: int = SMALL) -> DataFrame:
     """One row per group with ``<column>__q<i>`` for each prob index i (bounded: columns x probs)."""
     g = list(group_cols)
-    q = exact_quantiles(df, columns, probs, g, bits, wanted)
+    q = exact_quantiles(df, columns, probs, g, sketch, small)
     key = F.concat(F.col("column"), F.lit("__q"),
                    F.array_position(F.array(*[F.lit(float(p)) for p in probs]), F.col("p")).cast("string"))
     names = [f"{c}__q{i + 1}" for c in columns for i in range(len(probs))]
-    base = q.withColumn("name", key)
-    if g:
-        return base.groupBy(*g).pivot("name", names).agg(F.first("value"))
-    return base.groupBy().pivot("name", names).agg(F.first("value"))
+    return q.withColumn("name", key).groupBy(*g).pivot("name", names).agg(F.first("value"))

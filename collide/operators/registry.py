@@ -3,8 +3,8 @@
 Runs are rows of a ``runs`` table (model_name, run_id, registered_at,
 val_auc, ...); registration order is (registered_at, run_id).  Best runs
 and leaderboards are ordinary aggregates.  Promotion is a sequential fold
-in registration order; it runs per model as an ``aggregate`` over that
-model's time-ordered runs.
+in registration order: per model an ``aggregate`` over its strict maxima, or, where a
+model has very many runs, pointer jumping over them.
 """
 
 from __future__ import annotations
@@ -12,7 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from collide.session import fresh_dir
+
 PROMOTION_AUC_DELTA = 0.005
+#: Runs of one model that may be folded in one row.
+MOST_RUNS = 100_000
 
 
 def _auc(c: str = "val_auc") -> Column:
@@ -28,14 +32,20 @@ def best_run(runs: DataFrame) -> DataFrame:
                        F.col("b.registered_at").alias("registered_at"))
 
 
-def promotion_fold(runs: DataFrame, delta: float = PROMOTION_AUC_DELTA) -> DataFrame:
+def promotion_fold(runs: DataFrame, delta: float = PROMOTION_AUC_DELTA, most: int = MOST_RUNS) -> DataFrame:
     """In registration order the first run is promoted; a later run is promoted when
     val_auc - production_auc >= delta.  Per model: final production run, its val_auc and
-    the number of promotions."""
+    the number of promotions.
+
+    Models of at most ``most`` runs each are folded in the row (one small job checks that); a table with a
+    larger one goes by ``promotion_chain``, which holds no model's runs in one task or array."""
     # the margin is positive, so only a run above every earlier one can be promoted; the running
     # maximum streams over sorted rows, and the fold sees these strict maxima alone
     if delta <= 0:
         raise ValueError("the promotion margin must be positive")
+    largest = runs.groupBy("model_name").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"]
+    if (largest or 0) > most:
+        return promotion_chain(runs, delta)
     earlier = Window.partitionBy("model_name").orderBy("registered_at", "run_id").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.withColumn("__top", F.max(_auc()).over(earlier)).where(F.col("__top").isNull() | (_auc() > F.col("__top")))
     ordered = F.array_sort(F.collect_list(F.struct(F.col("registered_at").alias("t"), F.col("run_id").alias("r"),
@@ -52,6 +62,80 @@ def promotion_fold(runs: DataFrame, delta: float = PROMOTION_AUC_DELTA) -> DataF
                          F.col("p.auc").alias("production_val_auc"), F.col("p.n").alias("n_promotions"))
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def strict_maxima(runs: DataFrame) -> DataFrame:
+    """(m, a, r): runs above every earlier run of their model, of which any number may be one model's.  Runs are cut
+    into ranges of registration order; each range knows the maximum of the ranges before it."""
+    ranged = (runs.select(F.struct("model_name").alias("m"), F.col("registered_at").alias("t"), F.col("run_id").alias("r"),
+                          _auc().alias("a"))
+              .repartitionByRange("m", "t", "r").withColumn("chunk", F.spark_partition_id()))
+    ranged = _stored(ranged, "runs-ranged")
+    chunks = Window.partitionBy("m").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    before = (ranged.groupBy("m", "chunk").agg(F.max("a").alias("top")).withColumn("before", F.max("top").over(chunks))
+              .select("m", "chunk", "before"))
+    inside = Window.partitionBy("m", "chunk").orderBy("t", "r").rowsBetween(Window.unboundedPreceding, -1)
+    rows = ranged.join(before, ["m", "chunk"]).withColumn("top", F.greatest(F.max("a").over(inside), F.col("before")))
+    return _stored(rows.where(F.col("top").isNull() | (F.col("a") > F.col("top"))).select("m", "a", "r"), "runs-maxima")
+
+
+def next_promotions(maxima: DataFrame, delta: float) -> DataFrame:
+    """(m, a, b): of every strict maximum a the next run that would be promoted after it: the least
+    maximum b with b - a >= delta.  Maxima rise in registration order, so this is a search by value: in the three
+    half-margin cells after that of a, else the least value of the first cell beyond them."""
+    cell = F.floor(F.col("a") / F.lit(delta / 2)).cast("long")
+    tops = maxima.select("m", cell.alias("c"), "a")
+    after = Window.partitionBy("m", "c").orderBy("a")
+    found = tops.withColumn("more", F.lead("a").over(after)).select(
+        "m", "c", F.col("a").alias("v"), F.lit(1).alias("top"), F.struct("a", "more").alias("own"), F.lit(None).cast("double").alias("x"))
+    asked = tops.select("m", F.explode(F.array(*[F.col("c") + i for i in (1, 2, 3)])).alias("c"),
+                        (F.col("a") + F.lit(delta)).alias("v"), F.lit(0).alias("top"),
+                        F.lit(None).cast("struct<a:double,more:double>").alias("own"), F.col("a").alias("x"))
+    both = found.unionByName(asked)
+    # from above: the nearest top at or over the asked value; from below: the nearest one under it (rounding may favour it)
+    down = Window.partitionBy("m", "c").orderBy(F.col("v").desc(), F.col("top").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    up = Window.partitionBy("m", "c").orderBy("v", "top").rowsBetween(Window.unboundedPreceding, -1)
+    near = both.select("*", F.last("own", True).over(down).alias("over"), F.last("own", True).over(up).alias("under")).where("top = 0")
+
+    def fits(y: Column) -> Column:
+        return F.when(y - F.col("x") >= F.lit(delta), y)
+    near = near.select("m", F.col("x").alias("a"), F.least(fits(F.col("under.a")), fits(F.col("over.a")),
+                                                           fits(F.col("over.more"))).alias("b"))
+    # the first cell beyond the three: one row per cell that holds a maximum
+    cells = tops.groupBy("m", "c").agg(F.min("a").alias("least"))
+    beyond = cells.select("m", "c", F.lit(1).alias("top"), "least").unionByName(
+        cells.select("m", (F.col("c") + 4).alias("c"), F.lit(0).alias("top"), F.lit(None).cast("double").alias("least")))
+    far = Window.partitionBy("m").orderBy(F.col("c").desc(), F.col("top").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    beyond = beyond.withColumn("b", F.last("least", True).over(far)).where("top = 0").select("m", (F.col("c") - 4).alias("c"), "b")
+    rest = tops.join(beyond, ["m", "c"]).select("m", "a", "b")
+    return near.unionByName(rest).groupBy("m", "a").agg(F.min("b").alias("b")).where("b is not null")
+
+
+def promotion_chain(runs: DataFrame, delta: float = PROMOTION_AUC_DELTA) -> DataFrame:
+    """R4 for any number of runs per model: strict maxima by ranges, a pointer from each to the next promotion
+    after it, and the chain from the first run by pointers that double their reach in every round."""
+    maxima = strict_maxima(runs)
+    jump = _stored(next_promotions(maxima, delta), "runs-next")
+    chain = _stored(maxima.groupBy("m").agg(F.min("a").alias("a")), "runs-chain")
+    size = chain.count()
+    while True:
+        more = chain.join(jump, ["m", "a"]).select("m", F.col("b").alias("a"))
+        chain = _stored(chain.union(more).distinct(), "runs-chain")
+        grown = chain.count()
+        if grown == size:
+            break
+        size = grown
+        jump = _stored(jump.join(jump.select("m", F.col("a").alias("b"), F.col("b").alias("to")), ["m", "b"])
+                       .select("m", "a", F.col("to").alias("b")), "runs-next")
+    last = chain.groupBy("m").agg(F.max("a").alias("a"), F.count(F.lit(1)).cast("int").alias("n"))
+    return last.join(maxima, ["m", "a"]).select(F.col("m.model_name").alias("model_name"), F.col("r").alias("production_run_id"),
+                                                F.col("a").alias("production_val_auc"), F.col("n").alias("n_promotions"))
+
+
 def production_run(runs: DataFrame, delta: float = PROMOTION_AUC_DELTA) -> DataFrame:
     """The current production entry per model (None-free: models without runs are absent)."""
     return promotion_fold(runs, delta).select("model_name", "production_run_id", "production_val_auc")

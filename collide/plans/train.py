@@ -1,10 +1,11 @@
-"""Training flow (X3 / L6): ETL -> GBT -> exact val/test AUC -> registry with promotion.
+"""Training flow (X3 / L6): ETL -> feature store -> GBT -> exact val/test AUC -> registry with promotion.
 
-Returns a result row instead of a bare float (Q10)."""
+The model is trained on every column of the feature store: those of the dataset and the derived
+ones.  Returns a result row instead of a bare float (Q10)."""
 
 from __future__ import annotations
 
-import datetime as dt
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,28 +15,39 @@ from collide import schema as S
 from collide.operators import learn as L
 from collide.operators import registry as R
 from collide.plans import etl as X
+from collide.session import fresh_dir
+from collide.sources import io as IO
+from collide.sources import tables as TB
 
 
 def train_and_register(spark: SparkSession, events: DataFrame, registry_path: str, model_name: str = "bdt",
-                       cfg: X.ETLConfig = X.ETLConfig(), **gbt_params) -> DataFrame:
-    """ETL (gate, cuts, split, scale) -> GBT fit with validation -> exact AUCs -> append run -> promote."""
-    data = X.etl(events, cfg)
-    feats = [c for c in S.FEATURES if c in data.columns]
+                       cfg: X.ETLConfig = X.ETLConfig(), store_path: str | None = None, metrics_path: str | None = None,
+                       model_path: str | None = None, **gbt_params) -> DataFrame:
+    """ETL (gate, cuts, split, scale) -> feature store -> GBT fit with validation -> exact AUCs -> register the
+    run with its metrics and tags -> promote.  ``metrics_path`` also logs the summary, ``model_path`` stores the model
+    with its settings."""
+    etl_version = cfg.config_hash()
+    root = store_path or fresh_dir(spark, "features")
+    version = IO.build_feature_store(spark, X.etl(events, cfg), root, etl_version)
+    data = IO.committed_data(spark, f"{root.rstrip('/')}/{version}")
+    feats = [c for c in S.FEATURES + S.DERIVED if c in data.columns]
+    began = time.time()
     model = L.fit_gbt(data, feats, **gbt_params)
+    fit_time = time.time() - began
     val_auc = L.exact_auc(L.score(model, data.where(F.col("split") == "val")))
     test_auc = L.exact_auc(L.score(model, data.where(F.col("split") == "test")))
     run_id = uuid.uuid4().hex
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    params = {k: str(v) for k, v in gbt_params.items()}
-    row = spark.createDataFrame(
-        [(model_name, run_id, now, float(val_auc), float(test_auc), params)],
-        "model_name string, run_id string, registered_at timestamp, val_auc double, test_auc double, "
-        "params map<string,string>")
-    row.write.mode("append").parquet(registry_path)                      # R3: append
-    runs = spark.read.parquet(registry_path)
-    prod = R.production_run(runs.where(F.col("model_name") == model_name)).first()
-    promoted = prod is not None and prod["production_run_id"] == run_id
-    out = [(model_name, run_id, float(val_auc), float(test_auc), int(model.stages[-1].getNumTrees),
-            bool(promoted), prod["production_run_id"] if prod else None, cfg.config_hash())]
+    metrics = {"val_auc": val_auc, "test_auc": test_auc, "fit_time_s": fit_time}
+    tags = {"model_type": model_name, "dataset": cfg.dataset_name, "etl_version": etl_version, "n_features": len(feats),
+            "feature_store_version": version}
+    if metrics_path:
+        TB.log_metrics(spark, metrics_path, run_id, metrics)
+    if model_path:
+        TB.save_model(spark, model, model_path, {**gbt_params, "features": feats}, {"run_id": run_id, "best_val_auc": val_auc})
+    promoted = TB.register_run(spark, registry_path, model_name, run_id, metrics, tags, promote=True)
+    prod = R.production_run(TB.read_runs(spark, registry_path).where(F.col("model_name") == model_name)).first()
+    out = [(model_name, run_id, float(val_auc), float(test_auc), int(model.stages[-1].getNumTrees), len(feats),
+            bool(promoted), prod["production_run_id"], etl_version)]
     return spark.createDataFrame(out, "model_name string, run_id string, val_auc double, test_auc double, "
-                                      "n_trees int, promoted boolean, production_run_id string, etl_version string")
+                                      "n_trees int, n_features int, promoted boolean, production_run_id string, "
+                                      "etl_version string")

@@ -3,8 +3,9 @@
 All paths live in the cluster's shared folder (``spark.checkpoint.dir``);
 existence is probed through the Hadoop FileSystem of the path, so the same
 code works on HDFS, object stores and local disk.  Every versioned write
-puts its one-row metadata file last: the metadata is the commit marker,
-and a reader never sees a half-written version.
+writes a data folder of its own and then publishes it by a numbered commit
+record (``sources.commits``): a reader never sees a half-written version, and of
+two writers at once the one with the higher number wins whole.
 """
 
 from __future__ import annotations
@@ -21,40 +22,34 @@ from pyspark.sql import types as T
 from collide import schema as S
 from collide.operators import features as D
 from collide.operators import prepare as P
+from collide.sources import commits as C
 
 
 # --------------------------------------------------------------------------- file system
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
+    fs, p = C.fs_of(spark, path)
     return bool(fs.exists(p))
 
 
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs(spark, path)
+    fs, p = C.fs_of(spark, path)
     if not fs.exists(p):
         return []
     return [str(s.getPath().toString()) for s in fs.listStatus(p) if s.isDirectory()]
 
 
-def write_json_marker(spark: SparkSession, path: str, meta: dict) -> None:
-    """One-row JSON file, written last as the commit marker of a versioned output."""
-    spark.createDataFrame([(json.dumps(meta, sort_keys=True, default=str),)], "value string") \
-        .coalesce(1).write.mode("overwrite").text(path)
+def write_json_marker(spark: SparkSession, path: str, meta: dict) -> int:
+    """Publish ``meta`` as the next commit record under ``path``."""
+    return C.commit(spark, path, meta)
 
 
 def marker_exists(spark: SparkSession, path: str) -> bool:
-    """A marker counts once its write is committed, not as soon as its folder appears."""
-    return exists(spark, f"{path}/_SUCCESS")
+    """A marker counts once its record is complete, not as soon as its folder appears."""
+    return C.latest(spark, path) is not None
 
 
 def commit_data(spark: SparkSession, df: DataFrame, base: str, meta: dict, partition_by: str | None = None) -> None:
-    """Write ``df`` to a new folder under ``base``, then point the marker at it: a reader sees the old
+    """Write ``df`` to a new folder under ``base``, then publish it: a reader sees the old
     version or the new one, never a half-written one."""
     data = f"data-{uuid.uuid4().hex[:12]}"
     w = df.write.partitionBy(partition_by) if partition_by else df.write
@@ -67,7 +62,15 @@ def committed_data(spark: SparkSession, base: str) -> DataFrame:
 
 
 def read_json_marker(spark: SparkSession, path: str) -> dict:
-    return json.loads(spark.read.text(path).first()["value"])
+    meta = C.latest(spark, path)
+    if meta is None:
+        raise FileNotFoundError(f"no commit record under {path}")
+    return meta
+
+
+def collect_orphans(spark: SparkSession, base: str, older_than_s: float = 86_400.0) -> list[str]:
+    """Delete data folders of a version that no commit record names (see ``commits.collect_orphans``)."""
+    return C.collect_orphans(spark, base, [f"{base}/_meta"], older_than_s)
 
 
 # --------------------------------------------------------------------------- S1-S3 CSV scans
@@ -206,7 +209,7 @@ def newest_version(spark: SparkSession, root: str) -> str | None:
     markers = [f"{d}/_meta" for d in list_dirs(spark, root) if marker_exists(spark, f"{d}/_meta")]
     if not markers:
         return None
-    m = F.from_json("value", "version string, created_at double")  # all markers in one scan
+    m = F.from_json("value", "version string, created_at double")  # all records in one scan
     top = spark.read.text(markers).select(F.max_by(m["version"], m["created_at"]).alias("v")).first()
     return top["v"]
 
