@@ -12,7 +12,7 @@ from collide import fixtures as FX
 from collide import schema as S
 from collide.catalog import query
 from collide.catalog.prepare import _ALL_SQL, _h_sql, _hash_split_sql
-from collide.catalog.sqlkit import r3, s_r3
+from collide.catalog.sqlkit import r3, s_r3, s_r3f
 from collide.operators import prepare as T
 from collide.operators import project as P
 from collide.plans import etl as X
@@ -28,7 +28,12 @@ def _coll(spark, sf):
 
 
 _CSV_SQL = FX.oracle(["collisions"], "select event_id, label, " + ", ".join(
-    f"cast({c} as float) as {c}" for c in S.FEATURES) + " from collisions")
+    f"cast({c} as float) as {c}" if c in S.LOW_LEVEL else f"{s_r3f(c)} as {c}" for c in S.FEATURES) + " from collisions")
+
+
+def _read_back(df):
+    """The columns of a scan; masses, which carry rounding noise of their own, to three decimals."""
+    return df.select("event_id", "label", *[F.col(c) if c in S.LOW_LEVEL else r3(c).alias(c) for c in S.FEATURES])
 
 
 @query("scan_csv", _CSV_SQL)
@@ -36,7 +41,7 @@ def scan_csv(spark, sf):
     """Collisions written as CSV with a header, re-read with the explicit schema (header detected)."""
     path = fresh_dir(spark, "csv")
     IO.write_events_csv(_coll(spark, sf).select("event_id", "label", *S.FEATURES), path)
-    return IO.read_events_csv(spark, path)
+    return _read_back(IO.read_events_csv(spark, path))
 
 
 @query("scan_csv_gz", _CSV_SQL)
@@ -44,7 +49,7 @@ def scan_csv_gz(spark, sf):
     """The same as gzip CSV (not splittable), repartitioned right after the scan."""
     path = fresh_dir(spark, "csvgz")
     IO.write_events_csv(_coll(spark, sf).select("event_id", "label", *S.FEATURES), path, "gzip")
-    return IO.read_events_csv(spark, path, partitions=spark.sparkContext.defaultParallelism)
+    return _read_back(IO.read_events_csv(spark, path, partitions=spark.sparkContext.defaultParallelism))
 
 
 @query("limit_first_n", FX.oracle(["collisions"], "select event_id, label, lepton_pt from collisions order by event_id limit 1000"))
@@ -57,7 +62,7 @@ def limit_first_n(spark, sf):
   select *, row_number() over (partition by label order by {_h_sql()}, event_id) as rk,
          count(*) over (partition by label) as n_c from collisions),
 q as (select least(5000 / 2, coalesce(max(case when label = 1 then n_c end), 0)) as qs from r)
-select label, {', '.join(S.LOW_LEVEL)} from r, q
+select event_id, label, {', '.join(S.LOW_LEVEL)} from r, q
 where (label = 1 and rk <= qs) or (label = 0 and rk <= least(5000 - qs, n_c))"""))
 def cached_read(spark, sf):
     """Read-through cache: a miss builds and writes, the second call hits; both return the same rows."""

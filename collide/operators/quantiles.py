@@ -54,42 +54,31 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     """(group..., column, p, value): exact, linearly interpolated quantiles per group and column."""
     g, cols, ps = list(group_cols), list(columns), [float(p) for p in probs]
     key = F.struct(*[F.col(c) for c in g]) if g else F.struct(F.lit(0).alias("all"))
-    wide = df.select(key.alias("k"), *[_value(c).alias(f"v{i}") for i, c in enumerate(cols)])
+    long = df.select(key.alias("k"), F.posexplode(F.array(*[_value(c) for c in cols])).alias("i", "v")).where("v is not null")
     slack = 4.0 / sketch
     probes = [x for p in ps for x in (max(0.0, p - slack), min(1.0, p + slack))]
-    aggs = []
-    for i in range(len(cols)):
-        v = F.col(f"v{i}")
-        aggs += [F.percentile_approx(v, probes, sketch).alias(f"q{i}"), F.min(v).alias(f"a{i}"), F.max(v).alias(f"z{i}"),
-                 F.count(v).alias(f"n{i}")]
-    sketched = wide.groupBy("k").agg(*aggs)
-    edges = []
-    for i in range(len(cols)):
-        whole = F.col(f"n{i}") <= small
-        for j, p in enumerate(ps):
-            lo, hi = F.col(f"q{i}")[2 * j], F.col(f"q{i}")[2 * j + 1]
-            edges += [F.when(whole | F.lit(p <= slack), F.col(f"a{i}")).otherwise(lo).alias(f"lo{i}_{j}"),
-                      F.when(whole | F.lit(p >= 1.0 - slack), F.col(f"z{i}")).otherwise(hi).alias(f"hi{i}_{j}")]
-    bracket = sketched.select("k", *edges)
+    v = F.col("v")
+    sketched = long.groupBy("k", "i").agg(F.percentile_approx(v, probes, sketch).alias("q"), F.min(v).alias("a"), F.max(v).alias("z"),
+                                          (F.count(v) <= small).alias("whole"))
+    edges = [F.struct(F.when(F.col("whole") | F.lit(p <= slack), F.col("a")).otherwise(F.col("q")[2 * j]).alias("lo"),
+                      F.when(F.col("whole") | F.lit(p >= 1.0 - slack), F.col("z")).otherwise(F.col("q")[2 * j + 1]).alias("hi"))
+             for j, p in enumerate(ps)]
+    bracket = sketched.select("k", "i", F.array(*edges).alias("e"))
     if few_groups(df, g):
-        bracket = F.broadcast(bracket)
-    held = wide.join(bracket, "k")
-    pairs = [(i, j) for i in range(len(cols)) for j in range(len(ps))]
-
-    counts = held.groupBy("k").agg(
-        *[F.count(f"v{i}").alias(f"n{i}") for i in range(len(cols))],
-        *[F.sum((F.col(f"v{i}") < F.col(f"lo{i}_{j}")).cast("long")).alias(f"b{i}_{j}") for i, j in pairs])
-    ranks = counts.select("k", F.inline(F.array(*[F.struct(
-        F.lit(i).alias("i"), F.lit(j).alias("j"), (F.lit(ps[j]) * (F.col(f"n{i}") - 1).cast("double")).alias("pos"),
-        F.col(f"n{i}").alias("n"), F.col(f"b{i}_{j}").alias("below")) for i, j in pairs]))).where("n > 0")
+        bracket = F.broadcast(bracket)  # a row per column and group
+    held = long.join(bracket, ["k", "i"])
+
+    counts = held.groupBy("k", "i").agg(F.count(v).alias("n"), *[
+        F.sum((v < F.col("e")[j]["lo"]).cast("long")).alias(f"b{j}") for j in range(len(ps))])
+    ranks = counts.select("k", "i", F.inline(F.array(*[F.struct(
+        F.lit(j).alias("j"), (F.lit(p) * (F.col("n") - 1).cast("double")).alias("pos"), F.col(f"b{j}").alias("below"))
+        for j, p in enumerate(ps)])))
     ranks = ranks.select("k", "i", "j", "pos", "below", F.explode(F.array_distinct(F.array(
         F.floor("pos").cast("long"), F.ceil("pos").cast("long")))).alias("r")) \
         .select("k", "i", "j", "pos", (F.col("r") - F.col("below")).alias("at"))
 
-    inside = held.select("k", F.inline(F.filter(F.array(*[F.struct(
-        F.lit(i).alias("i"), F.lit(j).alias("j"),
-        F.when(F.col(f"v{i}").between(F.col(f"lo{i}_{j}"), F.col(f"hi{i}_{j}")), F.col(f"v{i}")).alias("v"),
-        F.col(f"lo{i}_{j}").alias("lo"), F.col(f"hi{i}_{j}").alias("hi")) for i, j in pairs]), lambda x: x["v"].isNotNull())))
+    inside = held.select("k", "i", "v", F.posexplode("e").alias("j", "e")).where("v between e.lo and e.hi") \
+        .select("k", "i", "j", "v", "e.lo", "e.hi")
     own = ["k", "i", "j"]
     inside = inside.groupBy(*own, _cell(F.col("v"), F.col("lo"), F.col("hi")).alias("c"), "v").agg(F.count(F.lit(1)).alias("m"))
     cells = inside.groupBy(*own, "c").agg(F.sum("m").alias("cm"))
