@@ -35,10 +35,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from collide.llm.common import as_bytes, keyed_join, mix, slices, span_bytes_hash, staged
+from collide.llm.common import as_bytes, give_back, keyed_join, mix, slices, span_bytes_hash, staged
 
 LEAST, LONGEST, TOP, COVERED = 30, 4, 2000, 80
-SHARD, RANGE_BYTES, RANGES = 4 << 20, 8 << 20, 64
+SHARD, RANGE_BYTES, RANGES = 2 << 20, 16 << 20, 24
 BLOOM_BITS, BLOOM_HASHES = 1 << 25, 3
 #: Fixed by the contract: these end a piece, and blank and tab part its words.
 PIECE_ENDS, WORD_ENDS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
@@ -262,7 +262,7 @@ def read_words(texts: list[bytes], languages: list[str]):
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     lens = np.fromiter((len(t) for t in texts), np.int64, len(texts))
     doc = np.searchsorted(np.cumsum(lens + 1), starts, side="right")
-    piece = np.cumsum(kind == 2, dtype=np.int64)[starts]
+    piece = np.cumsum(kind == 2, dtype=np.int32)[starts]
     offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
     words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(buf[word])])
     names = pa.array(languages, pa.string()).cast(pa.binary())
@@ -404,17 +404,21 @@ def transducers(docs: DataFrame, lengths: range, ranges: int, bloom: np.ndarray
         texts: list[bytes] = []
         langs: list[str] = []
         held = 0
-        for batch in batches:
-            raw, of = as_bytes(batch.column(1)), batch.column(0).to_pylist()
-            for lo, hi in slices(raw, shard_bytes):
-                texts += raw[lo:hi]
-                langs += of[lo:hi]
-                held += sum(map(len, raw[lo:hi]))
-                if held >= shard_bytes:
-                    yield out(texts, langs)
-                    texts, langs, held = [], [], 0
-        if texts:
-            yield out(texts, langs)
+        try:
+            for batch in batches:
+                size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+                for lo, hi in slices([range(n) for n in size], shard_bytes):  # only a shard's texts leave Arrow
+                    texts += as_bytes(batch.column(1).slice(lo, hi - lo))
+                    langs += batch.column(0).slice(lo, hi - lo).to_pylist()
+                    held += sum(size[lo:hi])
+                    if held >= shard_bytes // 2:
+                        yield out(texts, langs)
+                        texts, langs, held = [], [], 0
+                        pa.default_memory_pool().release_unused()
+            if texts:
+                yield out(texts, langs)
+        finally:
+            give_back()
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, pending = None, []
@@ -430,15 +434,18 @@ def transducers(docs: DataFrame, lengths: range, ranges: int, bloom: np.ndarray
                 pa.array([now], pa.int32()), pa.array([list(totals.items())], pa.map_(pa.string(), pa.int64())),
                 pa.array([minimal(whole.pruned(least)).to_bytes()], pa.binary())], names=["range", "totals", "automaton"])
 
-        for batch in batches:
-            for b, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if b != now and pending:
-                    yield out()
-                    pending = []
-                now = b
-                pending = _unite([*pending, Transducer.from_bytes(raw.as_py()).expanded()])
-        if pending:
-            yield out()
+        try:
+            for batch in batches:
+                for b, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    if b != now and pending:
+                        yield out()
+                        pending = []
+                    now = b
+                    pending = _unite([*pending, Transducer.from_bytes(raw.as_py()).expanded()])
+            if pending:
+                yield out()
+        finally:
+            give_back()
 
     pieces = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
                          F.col(text).cast("string").alias("text")).mapInArrow(shards, "range int, automaton binary")
