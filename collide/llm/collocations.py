@@ -207,9 +207,8 @@ def union(parts: list[Counts]) -> Counts:
     parts = [p for p in parts if p.levels]
     if not parts:
         return Counts(pa.array([], pa.binary()), [])
-    symbols = pc.unique(pa.concat_arrays([p.symbols for p in parts]))
-    symbols = symbols.take(pc.array_sort_indices(symbols))
-    renamed = [pc.index_in(p.symbols, value_set=symbols).to_numpy(zero_copy_only=False).astype(np.int64) for p in parts]
+    symbols, ids = _symbols(pa.concat_arrays([p.symbols for p in parts]))
+    renamed = np.split(ids, np.cumsum([len(p.symbols) for p in parts])[:-1])
     levels, place = [], [np.zeros(1, np.int64) for _ in parts]
     for k in range(max(len(p.levels) for p in parts)):
         have = [i for i, p in enumerate(parts) if k < len(p.levels)]
@@ -385,11 +384,11 @@ def pair_filter(pairs: DataFrame, bits: int = BLOOM_BITS) -> np.ndarray:
 
 # --- Spark --------------------------------------------------------------------
 
-def _unite(pending: list[Counts], most: int = 1 << 19) -> list[Counts]:
-    """Unite the pieces so far once they hold ``most`` arcs more than the first of them."""
-    if sum(len(p.levels[-1][0]) for p in pending[1:]) > most:
-        return [union(pending)]
-    return pending
+def _unite(pending: list[Counts], most: int = 1 << 18) -> list[Counts]:
+    """Unite the pieces so far once the new ones hold as many arcs as the first (the union of all before), and
+    ``most`` at least: every arc takes part in few unions."""
+    size = [len(p.levels[-1][0]) if p.levels else 0 for p in pending]
+    return [union(pending)] if sum(size[1:]) > max(most, size[0]) else pending
 
 
 def transducers(docs: DataFrame, lengths: range, ranges: int, bloom: np.ndarray | None = None, least: int = LEAST,
