@@ -13,11 +13,14 @@ from collide import schema as S
 from collide.catalog import query
 from collide.catalog.prepare import _ALL_SQL, _h_sql, _hash_split_sql
 from collide.catalog.sqlkit import r3, s_r3, s_r3f
+from collide.catalog.validation import _rules_sql
 from collide.operators import prepare as T
 from collide.operators import project as P
 from collide.plans import etl as X
 from collide.session import fresh_dir
 from collide.sources import io as IO
+from collide.sources import quarantine as Q
+from collide.streaming import store as ST
 
 
 _CUT_SQL = "(select * from collisions where coalesce(lepton_pt, 0e0) + coalesce(jet1_pt, 0e0) > 0e0) c"
@@ -160,3 +163,35 @@ _BRANCHES = ([("event_id", "bigint")] + [(f"{o}_{k}", "array<float>") if k else
 def list_columns(spark, sf):
     """The branches of the ragged source as (name, type, position)."""
     return P.list_columns(spark.read.parquet(_ragged_path(spark, sf)))
+
+
+# The reasons of a row of ``dirty``, written apart from the Spark rule engine.
+_REASONS_SQL = "coalesce(array_to_string(list_sort([" + ", ".join(
+    f"case when {p} then '{c}:{r}' end" for c, r, p in _rules_sql("validator")) + "]), ','), '')"
+_QUARANTINE_SQL = FX.oracle(["dirty"], f"""
+select event_id, reasons = '' as good, reasons from (select event_id, {_REASONS_SQL} as reasons from dirty) t""")
+
+
+def _verdicts(good, bad):
+    """One row per event: which table it is in, and why."""
+    return good.select("event_id", F.lit(True).alias("good"), F.lit("").alias("reasons")).unionByName(
+        bad.select("event_id", F.lit(False).alias("good"), F.array_join(Q.REASONS, ",").alias("reasons")))
+
+
+@query("quarantine_csv", _QUARANTINE_SQL)
+def quarantine_csv(spark, sf):
+    """The dirty events as CSV, scanned permissively and split into good rows and rows with reasons in one write."""
+    path, base = fresh_dir(spark, "dirty-csv"), fresh_dir(spark, "quarantine")
+    IO.write_events_csv(FX.view(spark, sf, "dirty").select("event_id", "label", *S.FEATURES), path)
+    Q.write_judged(spark, Q.scan_permissive(spark, path), base)
+    return _verdicts(Q.good_rows(spark, base), Q.bad_rows(spark, base))
+
+
+@query("stream_store", _QUARANTINE_SQL)
+def stream_store(spark, sf):
+    """2.15: the dirty events as a stream of files into the store, batch by batch behind the row rules."""
+    src, root, ckpt = (fresh_dir(spark, n) for n in ("store-src", "store", "store-ckpt"))
+    FX.view(spark, sf, "dirty").repartition(4).write.parquet(src)
+    stream = spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 1).parquet(src)
+    ST.start(stream, root, ckpt).awaitTermination()
+    return _verdicts(ST.good(spark, root), ST.bad(spark, root))

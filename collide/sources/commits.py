@@ -77,6 +77,32 @@ def _read(spark: SparkSession, path: str) -> dict | None:
         return None
 
 
+def read_number(spark: SparkSession, log: str, n: int) -> dict | None:
+    """The complete record of that number, if there is one."""
+    path = f"{log}/{n:020d}.json"
+    fs, p = fs_of(spark, path)
+    return _read(spark, path) if fs.exists(p) else None
+
+
+def commit_as(spark: SparkSession, log: str, n: int, record: dict) -> bool:
+    """Publish ``record`` under the number ``n`` itself; False if a complete record has it.
+
+    For numbers that one writer at a time hands out (the batches of a stream): a record that does not parse is
+    what that writer left when it died, and is replaced.
+    """
+    fs, p = fs_of(spark, log)
+    fs.mkdirs(p)
+    path, text = f"{log}/{n:020d}.json", json.dumps(record, sort_keys=True, default=str) + "\n"
+    if _create(spark, path, text):
+        return True
+    if _read(spark, path) is not None:
+        return False
+    out = fs.create(fs_of(spark, path)[1], True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    return True
+
+
 def latest(spark: SparkSession, log: str) -> dict | None:
     """The complete record with the highest number."""
     for name in reversed(_names(spark, log)):
