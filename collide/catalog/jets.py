@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from collide import fixtures as FX
 from collide.catalog import query
 from collide.operators import jets as J
+from collide.operators import neighbours as NB
 
 CV = ["constituents"]
 
@@ -164,3 +165,40 @@ def edge_features(spark, sf):
     """Per node h_i and max over its 3 nearest neighbours of (h_j - h_i), averaged over the event's nodes."""
     d = J.edge_features(_jets(spark, sf), 3)
     return d.select("event_id", *[_r(c) for c in d.columns if c != "event_id"])
+
+
+# 64 events read out together (pile-up): groups of some hundreds of nodes, each node numbered within its event.
+_PILED = """piled as (
+  select event_id // 64 as readout, event_id * 64 + rk as node, pt, eta, phi from constituents),
+near as (
+  select a.readout, a.node as src, b.node as dst, a.pt as apt, b.pt as bpt, a.eta as aeta, b.eta as beta, a.phi as aphi, b.phi as bphi,
+         pow(a.eta - b.eta, 2) + pow(least(abs(a.phi - b.phi), 2e0 * pi() - abs(a.phi - b.phi)), 2) as d2
+  from piled a join piled b on a.readout = b.readout and a.node <> b.node),
+knn as (select * from (
+  select *, row_number() over (partition by readout, src order by round(d2, 9), dst) as rnk from near) t where rnk <= 3)"""
+
+
+def _piled(spark, sf):
+    c = FX.constituents(spark, sf)
+    return c.select(F.expr("event_id div 64").alias("readout"), (F.col("event_id") * 64 + F.col("rk")).alias("node"), "pt", "eta", "phi")
+
+
+@query("knn_cells", FX.oracle(CV, f", {_PILED}\nselect readout, src, count(*) as n, round(sum(d2), 6) + 0e0 as d2_sum, "
+                               "round(max(d2), 6) + 0e0 as d2_max from knn group by readout, src"))
+def knn_cells(spark, sf):
+    """N3 by grid cells: 3 nearest neighbours among 64 events read out together, phi around the circle."""
+    e = NB.knn_cells(_piled(spark, sf), 3, key="readout", node="node", wrap=True)
+    d = e.groupBy("readout", "src").agg(F.count(F.lit(1)).alias("n"), F.sum("d2").alias("d2_sum"), F.max("d2").alias("d2_max"))
+    return d.select("readout", "src", "n", _r("d2_sum", 6), _r("d2_max", 6))
+
+
+@query("ecf3_spread", FX.oracle(CV, f"""
+select t.event_id, round(case when t.n < 3 or t.ptj < 1e-10 then null else coalesce(p.s, 0e0) / pow(t.ptj, 3) end, 9) + 0e0 as ecf3
+from (select event_id, count(*) as n, sum(pt) as ptj from constituents group by event_id) t
+left join (select a.event_id, sum(a.pt * b.pt * c.pt * {_s_dr('a', 'b')} * {_s_dr('a', 'c')} * {_s_dr('b', 'c')}) as s
+           from constituents a join constituents b on a.event_id = b.event_id and a.rk < b.rk
+           join constituents c on a.event_id = c.event_id and b.rk < c.rk group by a.event_id) p
+  on t.event_id = p.event_id"""))
+def ecf3_spread(spark, sf):
+    """J5 with the jets of more than four constituents summed by leading indices over several tasks."""
+    return NB.ecf3_spread(_jets(spark, sf), large=4, triples=4).select("event_id", _r("ecf3"))

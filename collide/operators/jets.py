@@ -87,6 +87,21 @@ def _indexed(jet: Column) -> Column:
                                                   x["phi"].alias("phi"), i.alias("i")))
 
 
+def _after(js: Column, x: Column) -> Column:
+    return F.slice(js, x["i"] + 2, F.greatest(F.size(js) - x["i"] - 1, F.lit(0)))
+
+
+def ecf3_sum(jet: Column, beta: float = 1.0, leads=None) -> Column:
+    """The sum over triples i < j < k of J5, of the leading indices i for which ``leads(i)`` holds (None: all)."""
+    def triples(js: Column) -> Column:
+        chosen = js if leads is None else F.filter(js, lambda x: leads(x["i"]))
+        return F.aggregate(chosen, F.lit(0.0), lambda acc, x: acc + F.aggregate(
+            _after(js, x), F.lit(0.0), lambda a2, y: a2 + F.aggregate(
+                _after(js, y), F.lit(0.0), lambda a3, z: a3 + x["pt"] * y["pt"] * z["pt"]
+                * _pow(_dr(x, y) * _dr(x, z) * _dr(y, z), beta))))
+    return _bound(_indexed(jet), triples)
+
+
 def ecf(jet: Column, n: int = 2, beta: float = 1.0) -> Column:
     """Energy correlation function e_N for N = 2, 3 (null otherwise).
 
@@ -99,19 +114,10 @@ def ecf(jet: Column, n: int = 2, beta: float = 1.0) -> Column:
     size = F.size(jet)
     pt_jet = pt_sum(jet)
 
-    def after(js: Column, x: Column) -> Column:
-        return F.slice(js, x["i"] + 2, F.greatest(F.size(js) - x["i"] - 1, F.lit(0)))
-
     def pairs(js: Column) -> Column:
         return F.aggregate(js, F.lit(0.0), lambda acc, x: acc + F.aggregate(
-            after(js, x), F.lit(0.0), lambda a2, y: a2 + x["pt"] * y["pt"] * _pow(_dr(x, y), beta)))
-
-    def triples(js: Column) -> Column:
-        return F.aggregate(js, F.lit(0.0), lambda acc, x: acc + F.aggregate(
-            after(js, x), F.lit(0.0), lambda a2, y: a2 + F.aggregate(
-                after(js, y), F.lit(0.0), lambda a3, z: a3 + x["pt"] * y["pt"] * z["pt"]
-                * _pow(_dr(x, y) * _dr(x, z) * _dr(y, z), beta))))
-    total = _bound(_indexed(jet), pairs if n == 2 else triples)
+            _after(js, x), F.lit(0.0), lambda a2, y: a2 + x["pt"] * y["pt"] * _pow(_dr(x, y), beta)))
+    total = _bound(_indexed(jet), pairs) if n == 2 else ecf3_sum(jet, beta)
     norm = pt_jet * pt_jet if n == 2 else pt_jet * pt_jet * pt_jet
     bad = jet.isNull() | (size < F.lit(n)) | (pt_jet < F.lit(1e-10))
     return F.when(bad, F.lit(None).cast("double")).otherwise(total / norm)
