@@ -209,6 +209,19 @@ def _add(total: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return c
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The counts of all blocks that a task reads, added up as arrays: one row per id and reading task, not per writing task."""
+    total = np.zeros(1, np.int64)
+    for b in batches:
+        pairs = pc.list_flatten(b.column(0))
+        if len(pairs):
+            ids = pc.struct_field(pairs, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            total = np.append(total, np.zeros(max(0, int(ids.max()) + 1 - len(total)), np.int64))
+            np.add.at(total, ids, pc.struct_field(pairs, 1).to_numpy(zero_copy_only=False).astype(np.int64))
+    live = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(live, pa.int64()), pa.array(total[live], pa.int64())], names=["id", "n"])
+
+
 def _coded(lengths: np.ndarray, stride: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = canonical(lengths)
@@ -235,7 +248,7 @@ def write_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
      .mapInArrow(_blocks_of(vocab, end_id, block_ids), _RAW_DDL)
      .write.option("compression", "zstd").parquet(raw))
     stored = spark.read.schema(_RAW_DDL).parquet(raw)
-    counts = (stored.where("block < 0").select(F.explode("counts").alias("id", "n"))
+    counts = (stored.where("block < 0").select(F.map_entries("counts")).mapInArrow(_summed, "id long, n long")
               .groupBy("id").agg(F.sum("n").alias("n")).toPandas())  # at most one row per id of the vocabulary
     ids = stored.where("block >= 0").drop("counts")
     dense = np.zeros(int(counts["id"].max()) + 1 if len(counts) else 1, np.int64)
