@@ -122,6 +122,28 @@ def test_html_blocks():
     assert html_text.page_blocks("<p>x<p class=ad>y<p>z") == (["x", "z"], False)
 
 
+def test_html_names_of_wrappers():
+    """Names that say what an element has, wrappers that hold the only article, text beside teasers."""
+    read = html_text.page_blocks
+    for wrap in ("<div class='page no-sidebar'>%s</div>", "<section id='post-with-comments'>%s</section>",
+                 "<div class='cookie-page'><p>menu</p>%s</div>", "<div class=widget><div id=popup>%s</div></div>"):
+        assert read(wrap % "<article><p>one two</p></article>") == (["one two"], True), wrap
+    assert read("<article class='post has-sidebar'><p>one</p></article>") == (["one"], True)
+    assert read("<article class='post type-post category-search'><p>one</p></article>") == (["one"], True)
+    # comments and related pieces stay out, also where they are articles
+    comments = "<div class=comments><article id=c1><p>nice</p></article></div><article class='comment-body'><p>x</p></article>"
+    assert read("<article><p>one two</p></article>" + comments) == (["one two"], True)
+    assert read("<div class='has-ad'><p>one</p><div class='ad-slot'>buy</div></div>") == (["one"], False)
+    teaser = "<article><p>teaser</p></article>"
+    assert read(f"<main><p>the long text of this page</p>{teaser}<p>goes on</p></main>") == (
+        ["the long text of this page", "teaser", "goes on"], True)
+    assert read("<main><p>by me</p><article><p>the long text of this page</p></article></main>") == (
+        ["the long text of this page"], True)
+    # hidden parts and parts whose kind leaves them out are never taken back
+    assert read("<div hidden><article><p>x</p></article></div><p>y</p>") == (["y"], False)
+    assert read("<nav class=menu><article><p>x</p></article></nav><p>y</p>") == (["y"], False)
+
+
 def test_prefixes_never_lose_a_partner():
     rnd = random.Random(3)
     for _ in range(300):
