@@ -7,8 +7,9 @@ Platt scaling on rows it was not trained on, shifted to the label prior of all l
 rows, and scored in Arrow batches against one fixed threshold.
 
 Defined results: null or empty text has no words, fails the base rules and is not
-kept; with labels of one class only the verdict is "kept" for that class 1 and
-"not kept" for class 0; without labels everything that passes the base rules is kept.
+kept; with labels, or labelled documents, of one class only the verdict is "kept" for that
+class 1 and "not kept" for class 0; without labels, or without a labelled document, everything
+that passes the base rules is kept.
 """
 
 from __future__ import annotations
@@ -185,6 +186,10 @@ def _sampled(labelled: DataFrame, label: str, key: str, per_class: int) -> DataF
     return parts[0].unionByName(parts[1])
 
 
+def _constant(dim_bits: int, keep: bool) -> Model:
+    return Model(np.zeros(1 << dim_bits), 0.0, 0.0, 40.0 if keep else -40.0)
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
         per_class: int = PER_CLASS, dim_bits: int = DIM_BITS, l2: float = 1e-7, steps: int = 120) -> Model:
     """Train and calibrate.  The sample (at most 2 * ``per_class`` rows) is featurised on the
@@ -192,8 +197,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     known = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).where("k is not null and y in (0, 1)")
     prior = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(prior) < 2:
-        keep = not prior or 1 in prior
-        return Model(np.zeros(1 << dim_bits), 0.0, 0.0, 40.0 if keep else -40.0)
+        return _constant(dim_bits, not prior or 1 in prior)
     picked = F.broadcast(_sampled(known, "y", "k", per_class))
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(picked, "k")
 
@@ -217,6 +221,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     val = [np.concatenate([np.frombuffer(a, "<f4"), np.frombuffer(b, "<f4")]) for a, b in zip(got["wv"], got["cv"])]
     y = got["y"].to_numpy(float)
     del got
+    if len(set(y)) < 2:  # no labelled document, or documents of one label only
+        return _constant(dim_bits, not len(y) or y[0] == 1)
     held = mix(np.arange(len(y), dtype=_U)) % _U(4) == 0
     if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
         held = np.zeros(len(y), bool)

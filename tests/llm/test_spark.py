@@ -107,6 +107,10 @@ def test_quality(spark, docs, none):
     for y, kept in ((1, True), (0, False)):
         one = quality.fit(docs, labels.where(F.col("quality") == y))
         assert [r["quality"]["kept"] for r in quality.verdict(docs.where("doc_id = 1"), one).collect()] == [kept]
+    for ids, kept in (((1, 2), True), ((7, 9), False), ((4,), True)):  # both labels, documents of one or of neither
+        part = quality.fit(docs.where(F.col("doc_id").isin(*ids)), labels)
+        got = quality.verdict(docs.where("doc_id = 1"), part).first()["quality"]
+        assert got["kept"] is kept and 0 <= got["p_good"] <= 1
     assert quality.verdict(none, quality.fit(none, labels.limit(0))).count() == 0
 
 
