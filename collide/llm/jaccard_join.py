@@ -41,6 +41,7 @@ from collide.llm.common import (as_bytes, connected_components, free_name, give_
 
 ORDERS = 3
 BLOCK_TOKENS = 1 << 17
+TOKEN_BITS = 40  # of a token's number in the candidate steps
 _U = np.uint64
 
 
@@ -172,7 +173,8 @@ def _prefixes(bodies: DataFrame, percent: int, orders: int) -> DataFrame:
     counts = (bodies.select(F.explode("toks").alias("x")).select(token.alias("tok")).groupBy("tok")
               .agg(F.count(F.lit(1)).alias("c")).where("c > 1")
               .select("tok", (F.length(F.bin("c")) - 1).cast("int").alias("rank")))
-    seen = (flat.join(counts, "tok").groupBy("sid").agg(F.collect_list(F.struct("rank", "tok")).alias("live"))
+    packed = F.shiftleft(F.col("rank").cast("long"), TOKEN_BITS).bitwiseOR(F.col("tok"))  # one number, not a struct
+    seen = (flat.join(counts, "tok").groupBy("sid").agg(F.collect_list(packed).alias("live"))
             .join(bodies.select("sid", "n"), "sid"))
 
     @F.pandas_udf("array<array<long>>")
@@ -180,8 +182,8 @@ def _prefixes(bodies: DataFrame, percent: int, orders: int) -> DataFrame:
         for live, size in it:
             out = []
             for rows, n in zip(live, size):
-                rank = np.fromiter((r["rank"] for r in rows), np.int64, len(rows))
-                tok = np.fromiter((r["tok"] for r in rows), np.int64, len(rows))
+                both = np.asarray(rows, np.int64)
+                rank, tok = both >> TOKEN_BITS, both & ((1 << TOKEN_BITS) - 1)
                 left = n - needed(n, percent) + 1 - (n - len(tok))  # uncounted tokens come first
                 if left <= 0:
                     out.append(None)
