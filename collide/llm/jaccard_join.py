@@ -299,7 +299,11 @@ def _links(bodies: DataFrame, prefixes: DataFrame, classes: DataFrame, percent:
     """(a, b) set numbers: a spanning forest of the links inside every block."""
     members = staged(classes.join(bodies.select("sid", "n"), "sid"), "jac-members")
     blocks = _blocks(members, percent)
-    rows = blocks.join(bodies, "sid").join(prefixes, "sid")
+    # bodies and prefixes of sets without a possible partner stay where they are
+    several = members.groupBy("g").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("g")
+    wanted = staged(members.join(several, "g", "left_semi").select("sid"), "jac-wanted")
+    rows = (blocks.join(bodies.join(wanted, "sid", "left_semi"), "sid")
+            .join(prefixes.join(wanted, "sid", "left_semi"), "sid"))
 
     def verify(pdf: pd.DataFrame) -> pd.DataFrame:
         one = (pdf["c1"].iloc[0], pdf["s1"].iloc[0]) == (pdf["c2"].iloc[0], pdf["s2"].iloc[0])
