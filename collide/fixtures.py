@@ -40,14 +40,16 @@ _JETS = ("select event_id,\n         "
          + ",\n         ".join(_jet_cols(i) for i in range(1, 5))
          + "\nfrom constituents where rk <= 4 group by event_id")
 
-_BASE = """select o_orderkey as event_id,
+#: What an event has from its order alone.
+_OWN = """select o_orderkey as event_id,
        cast(case when o_orderstatus = 'F' then 1 else 0 end as int) as label,
        case when o_custkey % 50 = 0 then 0e0 else o_totalprice / 2000e0 end as lepton_pt,
        cast((o_custkey * 37) % 481 - 240 as double) / 100e0 as lepton_eta,
        cast((o_orderkey * 53) % 629 - 314 as double) / 100e0 as lepton_phi,
        cast((o_orderkey * 97 + o_custkey * 31) % 30000 as double) / 100e0 as missing_energy_magnitude,
        cast((o_orderkey * 71 + 13) % 629 - 314 as double) / 100e0 as missing_energy_phi,
-       """ + ",\n       ".join(
+       """
+_BASE = _OWN + ",\n       ".join(
     f"coalesce(jet{i}_{k}, 0e0) as jet{i}_{k}" for i in range(1, 5) for k in ("pt", "eta", "phi", "b_tag")
 ) + "\nfrom orders left join jets j on o_orderkey = j.event_id"
 
@@ -158,9 +160,23 @@ def oracle(names, select: str, *ctes: tuple[str, str]) -> str:
     return with_views(names, *ctes) + select
 
 
-def register_raw(spark: SparkSession, sf_dir: str, tables=("orders", "lineitem", "events")) -> None:
-    for t in tables:
-        spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet").createOrReplaceTempView(t)
+#: Rows of orders or line items that one task holds while it ranks, groups and joins them.
+ROWS_PER_TASK = 400_000
+_ORDER_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
+
+
+def register_raw(spark: SparkSession, sf_dir: str, tables=("orders", "lineitem", "events"), rows_per_task: int = ROWS_PER_TASK) -> None:
+    """The tables as temp views; orders and line items are dealt by their order key.
+
+    Both go to the same number of tasks, which grows with their rows (counted from the file footers), so
+    the rank window, the groups and the join over that key need no exchange besides this one, and no task sorts
+    more than about ``rows_per_task`` rows, whatever the size of a file split or the session's number of partitions.
+    """
+    frames = {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in tables}
+    dealt = [t for t in tables if t in _ORDER_KEYS]
+    tasks = max([spark.sparkContext.defaultParallelism, *[-(-frames[t].count() // rows_per_task) for t in dealt]])
+    for t, df in frames.items():
+        (df.repartition(tasks, _ORDER_KEYS[t]) if t in dealt else df).createOrReplaceTempView(t)
 
 
 def _materialized(spark: SparkSession, sf_dir: str, name: str, text: str, build) -> DataFrame:
@@ -186,6 +202,9 @@ def view(spark: SparkSession, sf_dir: str, name: str, materialize: bool = True)
     def build() -> DataFrame:
         register_raw(spark, sf_dir)
         return spark.sql(text)
+    if name == "dirty" and materialize:  # a projection of the events: nothing to sort, nothing to store twice
+        collisions(spark, sf_dir).createOrReplaceTempView("collisions")
+        return spark.sql(VIEWS[name][0])
     return _materialized(spark, sf_dir, name, text, build) if materialize else build()
 
 
@@ -213,13 +232,12 @@ def jets_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _jets_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = constituents(spark, sf_dir)
-    c.createOrReplaceTempView("_constituents_flat")
-    return c.sparkSession.sql("""
+    register_raw(spark, sf_dir, ("lineitem",))
+    return spark.sql(with_views(["constituents"]) + """
         select event_id,
                transform(array_sort(collect_list(struct(rk, pt, eta, phi))),
                          x -> named_struct('pt', x.pt, 'eta', x.eta, 'phi', x.phi, 'E', x.pt)) as jet
-        from _constituents_flat group by event_id""")
+        from constituents group by event_id""")
 
 
 def ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,12 +250,9 @@ def ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = constituents(spark, sf_dir)
-    b = view(spark, sf_dir, "base")
-    c.createOrReplaceTempView("_constituents_flat")
-    b.createOrReplaceTempView("_base_flat")
-    return c.sparkSession.sql("""
-        with g as (
+    register_raw(spark, sf_dir, ("orders", "lineitem"))
+    return spark.sql(with_views(["constituents"], ("own", f"{_OWN.rstrip().rstrip(',')} from orders")).rstrip() + """,
+        g as (
           select event_id,
             array_sort(collect_list(struct(-pt as k, rk, cast(pt as float) as pt, cast(eta as float) as eta,
                        cast(phi as float) as phi, cast(mass as float) as mass, cast(b_tag / 2e0 as float) as btag))) as jets,
@@ -245,7 +260,7 @@ def _ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
                        cast(eta as float) as eta, cast(phi as float) as phi, cast(0.106e0 as float) as mass) end)) as mus,
             array_sort(collect_list(case when flag = 'A' then struct(-lep_pt as k, rk, cast(lep_pt as float) as pt,
                        cast(eta as float) as eta, cast(phi as float) as phi, cast(0.000511e0 as float) as mass) end)) as els
-          from _constituents_flat group by event_id)
+          from constituents group by event_id)
         select b.event_id,
           coalesce(transform(mus, x -> x.pt), array()) as Muon_pt,
           coalesce(transform(mus, x -> x.eta), array()) as Muon_eta,
@@ -265,7 +280,7 @@ def _ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
           coalesce(size(jets), 0) as nJet,
           cast(b.missing_energy_magnitude as float) as MET_pt,
           cast(b.missing_energy_phi as float) as MET_phi
-        from _base_flat b left join g on b.event_id = g.event_id""")
+        from own b left join g on b.event_id = g.event_id""")
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
