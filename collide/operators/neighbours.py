@@ -11,19 +11,27 @@ at its level, and a cell is searched from 25 cells: the candidates of a level ar
 one position count k + 1 times at most as candidates (those with the smallest numbers), which changes no result.
 The span is that of all nodes: where the nodes of a group differ by less than 2^-24 of it, they share the finest cell
 and are compared with one another (the result is exact there too, the work is not linear).
+
+Groups of at most ``SMALL`` nodes are searched whole, each in one Arrow table after one exchange by the key: at most ``SMALL``
+comparisons a node, and no copies of the nodes per level.  Only larger groups are cut into cells.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from collide.operators import jets as J
 
 LEVELS = tuple(range(0, 25, 2))  # sides from the whole span down to 2^-24 of it
 RINGS = 2
+SMALL = 1024  # nodes of a group that is searched whole
 
 
 def _finite(c: str):
@@ -32,20 +40,72 @@ def _finite(c: str):
 
 
 def knn_cells(nodes: DataFrame, k: int, key: str = "event_id", node: str = "idx", c1: str = "eta", c2: str = "phi",
-              wrap: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+              wrap: bool = False, carry: tuple[str, ...] = (), small: int = SMALL) -> DataFrame:
     """N3 for groups of any size: (key, src, dst, rank, d2) of the k nearest nodes of every node within its key.
 
     One input row per node; (``key``, ``node``) names it.  Ties go to the smaller ``node``.  With ``wrap`` the
     second coordinate is an angle: its difference is taken around the circle.  A node whose coordinate is null,
     NaN or infinite has no neighbours and is none; a node alone has none; with fewer than k others all are given.  Rows of a null
-    key form no group.  ``carry`` adds ``x_<c>`` of the node and ``y_<c>`` of the neighbour.  One row (the span) comes to the driver.
+    key form no group.  ``carry`` adds ``x_<c>`` of the node and ``y_<c>`` of the neighbour.  Groups of more than
+    ``small`` nodes go by cells; one row (their span) comes to the driver.
     """
     if k < 1:
         raise ValueError("k must be 1 or more")
-    flat = nodes.where(_finite(c1) & _finite(c2) & F.col(key).isNotNull()).select(
+    flat = nodes.where(_finite(c1) & _finite(c2) & F.col(key).isNotNull() & F.col(node).isNotNull()).select(
         F.col(key).alias("g"), F.col(node).alias("i"), F.col(c1).cast("double").alias("u"),
         (F.pmod(F.col(c2).cast("double"), F.lit(2 * math.pi)) if wrap else F.col(c2).cast("double")).alias("v"),
         *[F.col(c).alias(f"y_{c}") for c in carry])
+    sizes = flat.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    large = sizes.where(F.col("n") > small).select("g")
+    if large.isEmpty():
+        out = _whole_groups(flat, k, wrap, carry)
+    else:
+        out = _whole_groups(flat.join(large, "g", "left_anti"), k, wrap, carry).unionByName(
+            _by_cells(flat.join(large, "g", "left_semi"), k, wrap, carry))
+    return out.withColumnRenamed("g", key)
+
+
+def _whole_groups(flat: DataFrame, k: int, wrap: bool, carry: tuple[str, ...]) -> DataFrame:
+    """(g, src, dst, rank, d2, ...) of groups that fit a table each: every node is compared with all of its group."""
+    kind = {f.name: f.dataType for f in flat.schema.fields}
+    schema = T.StructType([T.StructField("g", kind["g"]), T.StructField("src", kind["i"]), T.StructField("dst", kind["i"]),
+                           T.StructField("rank", T.IntegerType()), T.StructField("d2", T.DoubleType()),
+                           *[T.StructField(f"{s}_{c}", kind[f"y_{c}"]) for s in "xy" for c in carry]])
+
+    def search(t: pa.Table) -> pa.Table:
+        t = t.combine_chunks().sort_by("i")
+        u, v, n = t["u"].to_numpy(), t["v"].to_numpy(), t.num_rows
+        name = np.empty(n, np.int64)  # number of the node's name: rows may share one
+        name[:] = pc.rank(t["i"], tiebreaker="dense").to_numpy()
+        found = []
+        for lo in range(0, n, 256):
+            with np.errstate(over="ignore"):
+                dv = v[lo:lo + 256, None] - v
+                if wrap:
+                    dv = np.abs(dv)
+                    dv = np.minimum(dv, 2 * math.pi - dv)
+                d2 = (u[lo:lo + 256, None] - u) ** 2 + dv * dv
+            other = name[lo:lo + 256, None] != name
+            d2[~other] = np.inf
+            at = other if n <= k else other & (d2 <= np.partition(d2, k - 1, axis=1)[:, k - 1:k])
+            src, dst = np.nonzero(at)
+            found.append((src + lo, dst, d2[src, dst]))
+        src, dst, d2 = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((dst, d2, name[src]))
+        own = name[src[order]]
+        first = np.concatenate([[True], own[1:] != own[:-1]]) if len(own) else np.zeros(0, bool)
+        rank = np.arange(len(own)) - np.flatnonzero(first)[np.cumsum(first) - 1] + 1 if len(own) else np.zeros(0, np.int64)
+        best = order[rank <= k]
+        a, b = pa.array(src[best]), pa.array(dst[best])
+        cols = [t["g"].take(a), t["i"].take(a), t["i"].take(b), pa.array(rank[rank <= k].astype(np.int32)), pa.array(d2[best])]
+        cols += [t[f"y_{c}"].take(x) for x in (a, b) for c in carry]
+        return pa.table(cols, names=names)
+    names = schema.names
+    return flat.groupBy("g").applyInArrow(search, schema)
+
+
+def _by_cells(flat: DataFrame, k: int, wrap: bool, carry: tuple[str, ...]) -> DataFrame:
+    """(g, src, dst, rank, d2, ...) of groups of any size."""
     lo1, hi1, lo2, hi2 = flat.agg(F.min("u"), F.max("u"), F.min("v"), F.max("v")).first()
     if lo1 is None:  # no node
         lo1 = hi1 = lo2 = hi2 = 0.0
@@ -90,7 +150,7 @@ def knn_cells(nodes: DataFrame, k: int, key: str = "event_id", node: str = "idx"
     pairs = pairs.withColumn("d2", F.pow(F.col("x1") - F.col("u"), 2) + F.pow(dv, 2))
     order = Window.partitionBy("g", "src").orderBy("d2", "i")
     best = pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return best.select(F.col("g").alias(key), "src", F.col("i").alias("dst"), "rank", "d2",
+    return best.select("g", "src", F.col("i").alias("dst"), "rank", "d2",
                        *[f"x_{c}" for c in carry], *[f"y_{c}" for c in carry])
 
 

@@ -99,3 +99,22 @@ def test_ecf3_spread(spark):
     for g, v in want.items():
         assert (v is None) == (got[g] is None) and (v is None or abs(v - got[g]) <= 1e-9 * abs(v))
     assert got[3] is None and got[6] is None and got[7] is None and got[1] > 0
+
+
+@pytest.mark.parametrize("wrap", [False, True])
+def test_whole_groups_and_cells_agree(spark, wrap):
+    rng = np.random.default_rng(5)
+    rows = [(int(g), int(i), float(i), float(rng.integers(0, 12)) / 4, float(rng.uniform(-3, 3)))
+            for g, n in enumerate((1, 2, 3, 40, 300)) for i in range(n)]
+    rows += [(3, 7, 1.0, 0.5, 0.5), (3, 7, 1.0, 0.5, 0.5), (3, None, 1.0, 0.5, 0.5), (None, 1, 1.0, 0.0, 0.0)]
+    d = spark.createDataFrame(rows, SCHEMA)
+    cols = ["event_id", "src", "dst", "rank", "d2", "x_pt", "y_pt"]
+    got = [sorted(map(tuple, NB.knn_cells(d, 3, wrap=wrap, carry=("pt",), small=small).select(cols).collect()))
+           for small in (0, 50, 1024)]
+    assert got[0] == got[1] == got[2] and len(got[0]) > 900
+
+
+def test_groups_of_some_hundred_nodes_are_not_copied_per_level(spark):
+    d = spark.createDataFrame([(i % 3, i, 1.0, i * 0.01, i * 0.02) for i in range(300)], SCHEMA)
+    plan = NB.knn_cells(d, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.count("Exchange hashpartitioning") == 1
