@@ -21,6 +21,7 @@ from collide.session import fresh_dir
 from collide.sources import io as IO
 from collide.sources import quarantine as Q
 from collide.streaming import store as ST
+from collide.streaming.rowlocal import file_source
 
 
 _CUT_SQL = "(select * from collisions where coalesce(lepton_pt, 0e0) + coalesce(jet1_pt, 0e0) > 0e0) c"
@@ -191,7 +192,6 @@ def quarantine_csv(spark, sf):
 def stream_store(spark, sf):
     """2.15: the dirty events as a stream of files into the store, batch by batch behind the row rules."""
     src, root, ckpt = (fresh_dir(spark, n) for n in ("store-src", "store", "store-ckpt"))
-    FX.view(spark, sf, "dirty").repartition(4).write.parquet(src)
-    stream = spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 1).parquet(src)
+    stream = file_source(spark, FX.view(spark, sf, "dirty"), src)
     ST.start(stream, root, ckpt).awaitTermination()
     return _verdicts(ST.good(spark, root), ST.bad(spark, root))

@@ -10,6 +10,8 @@ executor or a restarted driver resumes exactly once).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,14 +29,26 @@ def derive_and_cut(df: DataFrame) -> DataFrame:
                     C.has_b_tag().alias("has_b_tag"))
 
 
+#: Rows of one file of a file source; its batches are as many as asked for, whatever the number of files.
+ROWS_PER_FILE = 250_000
+
+
+def file_source(spark: SparkSession, events: DataFrame, path: str, batches: int = 4, rows: int = ROWS_PER_FILE) -> DataFrame:
+    """The events as a stream of Parquet files in about ``batches`` micro-batches.
+
+    Files hold about ``rows`` rows, so none grows with the events and a batch is worked on by as many tasks as it has files."""
+    each = max(1, math.ceil(events.count() / (rows * batches)))  # files of a batch
+    events.repartition(each * batches).write.mode("overwrite").parquet(path)
+    return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", each).parquet(path)
+
+
 def stream_rowlocal(spark: SparkSession, events: DataFrame, files: int = 4) -> DataFrame:
     """Write the events as a file source, stream them through ``derive_and_cut`` with
-    availableNow, and return the sink's rows (same rows as the batch plan)."""
+    availableNow in about ``files`` batches, and return the sink's rows (same rows as the batch plan)."""
     src = fresh_dir(spark, "stream-src")
     sink = fresh_dir(spark, "stream-sink")
     ckpt = fresh_dir(spark, "stream-ckpt")
-    events.repartition(files).write.mode("overwrite").parquet(src)
-    stream = spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 1).parquet(src)
+    stream = file_source(spark, events, src, files)
     q = (derive_and_cut(stream).writeStream.format("parquet").option("path", sink)
          .option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
