@@ -68,16 +68,16 @@ def _decoded(spelled: pa.Array, ids: np.ndarray) -> bytes:
 
 
 def _encode_udf(name: str):
-    @F.pandas_udf("binary")
-    def ids(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("binary")
+    def ids(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
         enc, words = _encoder(name)
         try:
             for s in it:
-                texts = [t or "" for t in s]
-                out: list[bytes] = []
-                for lo, hi in slices(texts, 1 << 20):
-                    out += [x.astype("<u4").tobytes() for x in encode_all(texts[lo:hi], words, enc.encode_ordinary)]
-                yield pd.Series(out, index=s.index, dtype=object)
+                size, out = pc.fill_null(pc.binary_length(s), 0).to_pylist(), []
+                for lo, hi in slices([range(n) for n in size], 1 << 20):  # only a slice's texts and ids are Python objects
+                    texts = [t or "" for t in s.slice(lo, hi - lo).to_pylist()]
+                    out.append(pa.array([x.astype("<u4").tobytes() for x in encode_all(texts, words, enc.encode_ordinary)], pa.binary()))
+                yield pa.concat_arrays(out) if out else pa.array([], pa.binary())
         finally:
             give_back()
     return ids
