@@ -74,7 +74,7 @@ def _encode_udf(name: str):
         try:
             for s in it:
                 size, out = pc.fill_null(pc.binary_length(s), 0).to_pylist(), []
-                for lo, hi in slices([range(n) for n in size], 1 << 20):  # only a slice's texts and ids are Python objects
+                for lo, hi in slices([range(n) for n in size], 1 << 19):  # only a slice's texts and ids are Python objects
                     texts = [t or "" for t in s.slice(lo, hi - lo).to_pylist()]
                     out.append(pa.array([x.astype("<u4").tobytes() for x in encode_all(texts, words, enc.encode_ordinary)], pa.binary()))
                 yield pa.concat_arrays(out) if out else pa.array([], pa.binary())

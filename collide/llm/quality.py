@@ -19,7 +19,8 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,8 @@ from collide.llm.common import _SPACE, as_bytes, give_back, mix, shingle_hashes,
 DIM_BITS = 16
 PER_CLASS = 1500
 THRESHOLD = 0.5
+#: Bytes of text that a task turns into Python strings and arrays at a time (about a hundred times as much memory).
+SLICE = 1 << 18
 #: Fixed by the contract.
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -193,6 +196,14 @@ def _constant(dim_bits: int, keep: bool) -> Model:
     return Model(np.zeros(1 << dim_bits), 0.0, 0.0, 40.0 if keep else -40.0)
 
 
+def _text_slices(column: pa.Array, budget: int | None = None) -> Iterator[tuple[int, list[str], list[bytes]]]:
+    """(first row, texts, their bytes) of runs of about ``budget`` bytes: the other rows stay in Arrow."""
+    size = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    for lo, hi in slices([range(n) for n in size], budget or SLICE):
+        part = column.slice(lo, hi - lo)
+        yield lo, [t or "" for t in part.to_pylist()], as_bytes(part)
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
         per_class: int = PER_CLASS, dim_bits: int = DIM_BITS, l2: float = 1e-7, steps: int = 120) -> Model:
     """Train and calibrate.  The sample (at most 2 * ``per_class`` rows) is featurised on the
@@ -206,21 +217,24 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     index = "<u2" if dim_bits <= 16 else "<u4"
 
-    def grams(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            raw = as_bytes(pdf["t"])
-            for lo, hi in slices(raw):
-                f = features([t or "" for t in pdf["t"].iloc[lo:hi]], raw[lo:hi], dim_bits)
-                out = [[] for _ in range(hi - lo)]
-                for idx, doc in ((f.words, f.word_doc), (f.chars, f.char_doc)):
-                    ends = np.cumsum(np.bincount(doc, minlength=hi - lo))
-                    for row, own in zip(out, np.split(idx[np.argsort(doc, kind="stable")], ends[:-1])):
-                        u, c = np.unique(own, return_counts=True)
-                        row += [u.astype(index).tobytes(), (c / max(c.sum(), 1)).astype("<f4").tobytes()]
-                yield pd.DataFrame(out, columns=["wi", "wv", "ci", "cv"]).assign(
-                    k=pdf["k"].to_numpy()[lo:hi], y=pdf["y"].to_numpy()[lo:hi])
-
-    got = rows.mapInPandas(grams, "wi binary, wv binary, ci binary, cv binary, k long, y int").toPandas()
+    def grams(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            for b in it:
+                for lo, texts, raw in _text_slices(b.column("t")):
+                    f, n = features(texts, raw, dim_bits), len(texts)
+                    out = [[] for _ in range(n)]
+                    for idx, doc in ((f.words, f.word_doc), (f.chars, f.char_doc)):
+                        ends = np.cumsum(np.bincount(doc, minlength=n))
+                        for row, own in zip(out, np.split(idx[np.argsort(doc, kind="stable")], ends[:-1])):
+                            u, c = np.unique(own, return_counts=True)
+                            row += [u.astype(index).tobytes(), (c / max(c.sum(), 1)).astype("<f4").tobytes()]
+                    yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.binary()) for c in zip(*out)), b.column("k").slice(lo, n),
+                                                      b.column("y").slice(lo, n)], names=["wi", "wv", "ci", "cv", "k", "y"])
+        finally:
+            give_back()
+
+    got = rows.select(F.col("k").cast("long"), F.col("t").cast("string"), "y").mapInArrow(
+        grams, "wi binary, wv binary, ci binary, cv binary, k long, y int").toPandas()
     got = got.sort_values("k", kind="stable").drop_duplicates("k").reset_index(drop=True)
     y, idx, val = got["y"].to_numpy(float), [], []
     wi, wv, ci, cv = (got.pop(c).tolist() for c in ("wi", "wv", "ci", "cv"))
@@ -252,22 +266,21 @@ _OUT = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repea
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "quality") -> DataFrame:
     """``docs`` plus a struct of the base columns and the calibrated probability of good quality."""
-    @F.pandas_udf(_OUT)
-    def scored(it: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(_OUT)
+    def scored(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bits = int(np.log2(len(model.weight)))
+        names = [c.split()[0] for c in _OUT.split(", ")]
         try:
             for s in it:
-                raw, parts = as_bytes(s), []
-                for lo, hi in slices(raw):
-                    f = features([t or "" for t in s.iloc[lo:hi]], raw[lo:hi], bits)
-                    p = model.probability(margins(f, hi - lo, model.weight, model.bias))
-                    parts.append(np.vstack([f.base, p]))
+                parts = []
+                for _, texts, raw in _text_slices(s):
+                    f = features(texts, raw, bits)
+                    parts.append(np.vstack([f.base, model.probability(margins(f, len(texts), model.weight, model.bias))]))
                 got = np.hstack(parts) if parts else np.zeros((6, 0))
-                pdf = pd.DataFrame({c.split()[0]: got[i] for i, c in enumerate(_OUT.split(", "))})
-                yield pdf.astype({c.split()[0]: "int64" for c in _OUT.split(", ")[:5]})
+                yield pa.StructArray.from_arrays([pa.array(x.astype(np.int64)) for x in got[:5]] + [pa.array(got[5])], names=names)
         finally:
             give_back()
-    return docs.withColumn(out, scored(F.col(text)))
+    return docs.withColumn(out, scored(F.col(text).cast("string")))
 
 
 def verdict(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD,

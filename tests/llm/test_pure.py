@@ -1,8 +1,10 @@
 """Brute-force tests of the array kernels, without Spark."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from collide.llm import byte_bpe, histogram_shards, html_text, huffman_ids, jaccard_join, pretok, quality, token_counts, toxicity
@@ -112,6 +114,25 @@ def test_noisy_or_learns_the_offending_sentence():
     assert hot and sum(b"vile" in t for t in hot) / len(hot) > 0.95
 
 
+def test_quality_reads_a_batch_by_slices():
+    """Whatever an Arrow batch holds, only a slice of its texts is Python strings and work arrays at a time."""
+    texts = [f"document {i} has many words of its own " * 100 for i in range(1500)] + [None, ""]
+    column, weight = pa.array(texts), np.random.default_rng(1).normal(size=1 << quality.DIM_BITS)
+    raw = [(t or "").encode() for t in texts]
+    whole = quality.features([t or "" for t in texts], raw)
+    want = np.vstack([whole.base, quality.margins(whole, len(texts), weight, 0.5)])
+    got, first = [], []
+    tracemalloc.start()
+    for lo, part, own in quality._text_slices(column):
+        f = quality.features(part, own)
+        got.append(np.vstack([f.base, quality.margins(f, len(part), weight, 0.5)]))
+        first.append(lo)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(first) > 10 and np.array_equal(np.hstack(got), want)
+    assert peak < 60 << 20, peak
+
+
 def test_html_blocks():
     page = ("<!DOCTYPE html><html><head><title>no</title><script>var t='</p>';</script></head><body><nav><a>menu</a></nav>"
             "<div class='ad'>buy <div>now</div></div><article><h1>T &amp; x</h1><p>one\n <b>two<br>three<p hidden>gone"
