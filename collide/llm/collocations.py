@@ -4,9 +4,9 @@ Phrases of one to four words are counted by transducers over words: a path spell
 word, ..., and the arc that ends a phrase emits its count.  States with the same right side (arcs,
 counts and targets) are one state, so endings that many phrases share are stored once.
 
-1. Every shard (about ``SHARD`` bytes of text) sorts its n-grams, level by level, and builds its
-   minimal transducer incrementally from them; it is cut into prefix ranges (ranges of a
-   hash of language and first two words, so no common word fills a range).
+1. Every shard (about ``SHARD`` bytes of text) sorts its n-grams, level by level; a task unites shards
+   until they hold ``CUT_ARCS`` arcs, cuts them into prefix ranges (ranges of a hash of language and first
+   two words, so no common word fills a range) and builds the minimal transducer of each piece.
 2. The pieces of one prefix range meet in one task, which unites them one after another: paths are
    merged in sorted order and their counts summed; phrases below the least count leave.
    The first run counts words and pairs.  The frequent pairs go into a Bloom filter of fixed
@@ -39,6 +39,9 @@ from collide.llm.common import as_bytes, give_back, keyed_join, mix, slices, spa
 
 LEAST, LONGEST, TOP, COVERED = 30, 4, 2000, 80
 SHARD, RANGE_BYTES, RANGES = 2 << 20, 16 << 20, 24
+#: A task unites shards until they hold so many arcs before it cuts them into ranges: with more text there are more
+#: ranges, and a piece for every shard and range would make their number grow with the square of the text.
+CUT_ARCS = 1_000_000
 BLOOM_BITS, BLOOM_HASHES = 1 << 25, 3
 #: Fixed by the contract: these end a piece, and blank and tab part its words.
 PIECE_ENDS, WORD_ENDS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
@@ -60,19 +63,24 @@ class Counts:
     symbols: pa.Array
     levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
 
+    @property
+    def arcs(self) -> int:
+        return sum(len(label) for _, label, _ in self.levels)
+
     def pruned(self, least: int) -> Counts:
         """Phrases counted ``least`` times or more, with their prefixes."""
         need = [w >= least for _, _, w in self.levels]
         for k in range(len(need) - 1, 0, -1):
             need[k - 1][self.levels[k][0][need[k]]] = True
-        return self.picked([np.flatnonzero(n) for n in need], [w >= least for _, _, w in self.levels])
+        rows = [np.flatnonzero(n) for n in need]
+        return self.picked(rows, [w[at] >= least for (_, _, w), at in zip(self.levels, rows)])
 
     def picked(self, rows: list[np.ndarray], counted: list[np.ndarray]) -> Counts:
-        """The arcs ``rows`` (closed under parents); counts outside ``counted`` become zero."""
+        """The arcs ``rows`` (closed under parents); counts of those that are not ``counted`` become zero."""
         levels, back = [], np.zeros(1, np.int64)
         for (parent, label, weight), at, own in zip(self.levels, rows, counted):
             levels.append((np.searchsorted(back, parent[at]) if levels else np.zeros(len(at), np.int64),
-                           label[at], np.where(own[at], weight[at], 0)))
+                           label[at], np.where(own, weight[at], 0)))
             back = at
         while levels and not len(levels[-1][0]):
             levels.pop()
@@ -289,12 +297,15 @@ def _prefix_hash(h: np.ndarray, path: np.ndarray) -> np.ndarray:
 
 
 def ranges_of(counts: Counts, ranges: int) -> list[np.ndarray]:
-    """Prefix range of every path of one word or more (-1 for the language level)."""
-    h = _hashes(counts.symbols)
-    out = []
-    for k, path in enumerate(counts.paths()):
-        top = (_prefix_hash(h, path) >> _U(32)).astype(np.int64)
-        out.append((top * ranges) >> 32 if k else np.full(len(path), -1, np.int64))
+    """Prefix range (of ``_prefix_hash``) of every path of one word or more (-1 for the language level)."""
+    h, x, out = _hashes(counts.symbols), np.zeros(0, _U), []
+    for k, (parent, label, _) in enumerate(counts.levels):
+        if k < 3:
+            x = mix(x[parent] * _U(0x9E3779B97F4A7C15) + h[label]) if k else mix(h[label] + _U(1))
+            top = ((x >> _U(32)).astype(np.int64) * ranges) >> 32 if k else np.full(len(label), -1, np.int64)
+        else:  # as the path of two words that it begins with
+            top = out[-1][parent]
+        out.append(top)
     return out
 
 
@@ -338,7 +349,7 @@ def cut(counts: Counts, ranges: int) -> Iterator[tuple[int, Counts]]:
     if len(counts.levels) < 2:
         return
     of = ranges_of(counts, ranges)
-    own = [np.where(w > 0, r, -1) for r, (_, _, w) in zip(of, counts.levels)]
+    own = [np.where(w > 0, r, -1).astype(np.int16 if ranges < 1 << 15 else np.int64) for r, (_, _, w) in zip(of, counts.levels)]
     order = [np.argsort(o, kind="stable") for o in own]
     edges = [np.searchsorted(o[i], np.arange(ranges + 1)) for o, i in zip(own, order)]
     for b in range(ranges):
@@ -346,10 +357,10 @@ def cut(counts: Counts, ranges: int) -> Iterator[tuple[int, Counts]]:
         lead = np.zeros(0, np.int64)
         for k in range(len(own) - 1, -1, -1):
             mine = order[k][edges[k][b]:edges[k][b + 1]]
-            rows[k] = np.unique(np.concatenate([mine, lead]))
+            rows[k] = np.unique(np.concatenate([mine, lead])) if len(lead) else mine
             lead = counts.levels[k][0][rows[k]]
         if len(rows[0]):
-            yield b, counts.picked(rows, [o == b for o in own])
+            yield b, counts.picked(rows, [o[at] == b for o, at in zip(own, rows)])
 
 
 # --- the filter of frequent pairs ---------------------------------------------
@@ -391,17 +402,17 @@ def _unite(pending: list[Counts], most: int = 1 << 18) -> list[Counts]:
     return [union(pending)] if sum(size[1:]) > max(most, size[0]) else pending
 
 
-def transducers(docs: DataFrame, lengths: range, ranges: int, bloom: np.ndarray | None = None, least: int = LEAST,
-                lang: str = "lang", text: str = "text", shard_bytes: int = SHARD) -> DataFrame:
-    """(range, totals, automaton): per prefix range the united transducer of the phrases of ``lengths`` words
-    that are counted ``least`` times or more, and the words counted per language."""
+def pieces(docs: DataFrame, lengths: range, ranges: int, bloom: np.ndarray | None = None, lang: str = "lang",
+           text: str = "text", shard_bytes: int = SHARD, cut_arcs: int = CUT_ARCS) -> DataFrame:
+    """(range, automaton): the phrases of ``lengths`` words that a task counted, cut by prefix range."""
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(texts, langs):
-            pieces = [(b, minimal(c).to_bytes()) for b, c in cut(shard(texts, langs, lengths, bloom), ranges)]
-            return pa.RecordBatch.from_arrays([pa.array([b for b, _ in pieces], pa.int32()),
-                                               pa.array([x for _, x in pieces], pa.binary())], names=["range", "automaton"])
+        def out(whole):
+            found = [(b, minimal(c).to_bytes()) for b, c in cut(whole, ranges)]
+            return pa.RecordBatch.from_arrays([pa.array([b for b, _ in found], pa.int32()),
+                                               pa.array([x for _, x in found], pa.binary())], names=["range", "automaton"])
         texts: list[bytes] = []
         langs: list[str] = []
+        pending: list[Counts] = []
         held = 0
         try:
             for batch in batches:
@@ -411,14 +422,29 @@ def transducers(docs: DataFrame, lengths: range, ranges: int, bloom: np.ndarray
                     langs += batch.column(0).slice(lo, hi - lo).to_pylist()
                     held += sum(size[lo:hi])
                     if held >= shard_bytes // 2:
-                        yield out(texts, langs)
+                        pending.append(shard(texts, langs, lengths, bloom))
                         texts, langs, held = [], [], 0
-                        pa.default_memory_pool().release_unused()
+                        if sum(p.arcs for p in pending) >= cut_arcs:
+                            pending = [union(pending)]
+                            if pending[0].arcs >= cut_arcs // 2:
+                                yield out(pending[0])
+                                pending = []
+                            give_back()
             if texts:
-                yield out(texts, langs)
+                pending.append(shard(texts, langs, lengths, bloom))
+            if pending:
+                yield out(union(pending))
         finally:
             give_back()
 
+    return docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
+                       F.col(text).cast("string").alias("text")).mapInArrow(shards, "range int, automaton binary")
+
+
+def transducers(docs: DataFrame, lengths: range, ranges: int, bloom: np.ndarray | None = None, least: int = LEAST,
+                **options) -> DataFrame:
+    """(range, totals, automaton): per prefix range the united transducer of the phrases of ``lengths`` words
+    that are counted ``least`` times or more, and the words counted per language; ``options`` are those of ``pieces``."""
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, pending = None, []
 
@@ -446,9 +472,7 @@ def transducers(docs: DataFrame, lengths: range, ranges: int, bloom: np.ndarray
         finally:
             give_back()
 
-    pieces = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
-                         F.col(text).cast("string").alias("text")).mapInArrow(shards, "range int, automaton binary")
-    return (pieces.repartition(ranges, "range").sortWithinPartitions("range")
+    return (pieces(docs, lengths, ranges, bloom, **options).repartition(ranges, "range").sortWithinPartitions("range")
             .mapInArrow(unite, "range int, totals map<string,long>, automaton binary"))
 
 
@@ -490,6 +514,8 @@ def lookups(parts: DataFrame, automata: DataFrame, ranges: int) -> DataFrame:
             of = ranges_of(tree, ranges)
             for symbols, path, weight, r in ((tree.symbols, p, w, o) for p, (_, _, w), o in
                                              list(zip(tree.paths(), tree.levels, of))[1:]):
+                if not (weight > 0).any():  # an empty frame has no string columns
+                    continue
                 lang, phrase = _phrases(symbols, path[weight > 0])
                 yield pd.DataFrame({"lang": lang.to_pylist(), "part": phrase.to_pylist(), "range": r[weight > 0].astype(np.int32)})
 

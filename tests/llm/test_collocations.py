@@ -46,6 +46,29 @@ def test_automata_keep_counts():
     assert pieces == total
 
 
+def test_shards_of_a_task_are_united_before_they_are_cut(spark):
+    """Not one piece for every shard and range; what a task holds stays bounded by arcs."""
+    rows = [("en", f"a{i % 7} b{i % 5} c{i % 3} d{i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    want = None
+    for arcs, most in ((1 << 20, 4), (300, 60)):
+        got = C.pieces(docs, range(1, 3), 4, shard_bytes=100, cut_arcs=arcs).collect()
+        assert (4 if most == 4 else 5) <= len(got) <= most
+        total = Counter()
+        for r in got:
+            total.update(_dict(C.Transducer.from_bytes(r["automaton"]).expanded()))
+        assert want is None or total == want
+        want = total
+    assert sum(n for (_, p), n in want.items() if " " not in p) == 800
+
+
+def test_parts_of_one_length_are_looked_up(spark):
+    docs = spark.createDataFrame([("en", "a b c"), ("en", "a b")], "lang string, text string")
+    automata = C.transducers(docs, range(1, 3), 2, least=1)
+    parts = spark.createDataFrame([("en", "a b"), ("en", "b c")], "lang string, part string").coalesce(1)
+    assert sorted(map(tuple, C.lookups(parts, automata, 2).collect())) == [("en", "a b", 2, 2), ("en", "b c", 2, 1)]
+
+
 def test_states_with_one_right_side_are_one():
     rows = [(w, f"{v} end") for w in "abc" for v in ("p", "q")]
     small = C.minimal(C.of_paths([r[0] for r in rows], [r[1] for r in rows]))
